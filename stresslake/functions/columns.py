@@ -22,10 +22,13 @@ def one_of_type(value, dtype: T.DataType) -> Column:
     return F.lit(value).cast(dtype)
 
 
+def is_number(col: Column) -> Column:
+    return F.trim(col).rlike(NUMBER_PATTERN)
+
+
 def as_number(col: Column) -> Column:
     """Text to double; anything that is not a plain number gives NULL."""
-    text = F.trim(col)
-    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+    return F.when(is_number(col), F.trim(col).try_cast("double"))
 
 
 def as_timestamp(col: Column) -> Column:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stresslake.functions.columns import (
-    INTEGER_PATTERN, as_number, as_timestamp, has_time, percent, total,
+    INTEGER_PATTERN, as_number, as_timestamp, has_time, is_number, percent, total,
 )
 from stresslake.operators.cleaning import missing_columns, run_date
 from stresslake.operators.validate import null_counts
@@ -128,7 +128,7 @@ def _type_evidence(df: DataFrame, name: str, tag: str) -> dict[str, Column]:
     """Counts from which the semantic type of a text column follows."""
     text, stamp = F.trim(_ref(name)), as_timestamp(_ref(name))
     return {
-        f"{tag}_numeric": F.count_if(as_number(_ref(name)).isNotNull()),
+        f"{tag}_numeric": F.count_if(is_number(_ref(name))),
         f"{tag}_integer": F.count_if(text.rlike(INTEGER_PATTERN)),
         f"{tag}_stamp": F.count_if(stamp.isNotNull()),
         f"{tag}_timed": F.count_if(has_time(stamp)),
@@ -179,8 +179,12 @@ FORMAT_LABELS = {
 
 
 def _invalid_format(df: DataFrame, name: str, kind: str) -> Column:
-    parsed = _number(df, name) if kind in ("float", "int") else _timestamp(df, name)
-    return F.count_if(_ref(name).isNotNull() & parsed.isNull())
+    dtype = df.schema[name].dataType
+    if kind in ("float", "int"):
+        bad = F.lit(False) if isinstance(dtype, T.NumericType) else ~is_number(_ref(name).cast("string"))
+    else:
+        bad = _timestamp(df, name).isNull()
+    return F.count_if(_ref(name).isNotNull() & bad)
 
 
 @dataclass(frozen=True)
@@ -338,6 +342,9 @@ def first_filled_columns(df: DataFrame, max_columns: int = MAX_STAT_COLUMNS) ->
     return found
 
 
+_SUMMARY_FIELDS = ("distinct_count", "filled", "not_numeric", "lo", "hi", "weighted", "top")
+
+
 def column_statistics(
     df: DataFrame, max_columns: int = MAX_STAT_COLUMNS, columns: list[str] | None = None
 ) -> DataFrame:
@@ -349,46 +356,56 @@ def column_statistics(
     smaller text is the top value.
     """
     names = first_filled_columns(df, max_columns) if columns is None else columns
-    exact = {
-        c: isinstance(df.schema[c].dataType, (T.IntegralType, T.DecimalType)) for c in names
-    }
-    stacked = df.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("position"), F.lit(c).alias("column_name"),
-                 _ref(c).cast("string").alias("v"))
-        for i, c in enumerate(names)
-    ]))).where(F.col("v").isNotNull())
-    values = stacked.groupBy("position", "column_name", "v").agg(F.count(F.lit(1)).alias("n"))
-
-    number = as_number(F.col("v"))
-    exact_number = F.when(
-        F.col("column_name").isin([c for c in names if exact[c]]),
-        F.col("v").try_cast("decimal(28,8)"),
-    )
-    top = F.min(F.struct((-F.col("n")).alias("k"), F.col("v").alias("v")))
-    summary = values.groupBy("position", "column_name").agg(
-        F.count(F.lit(1)).alias("distinct_count"),
-        F.sum("n").alias("filled"),
-        F.count_if(number.isNull()).alias("not_numeric"),
-        F.min(number).alias("lo"), F.max(number).alias("hi"),
-        F.sum(number * F.col("n")).alias("float_sum"),
-        F.sum(exact_number * F.col("n").cast("decimal(18,0)")).alias("exact_sum"),
-        top.alias("top"),
-    )
-    numeric = F.col("not_numeric") == 0
-    mean = F.coalesce(
-        F.round(F.col("exact_sum") / F.col("filled").cast("decimal(20,0)"), 4).cast("double"),
-        F.round(F.col("float_sum") / F.col("filled"), 4),
-    )
-    return summary.select(
-        "position", "column_name",
-        F.when(numeric, "numeric").otherwise("categorical").alias("kind"),
-        F.when(numeric, F.round("lo", 4)).alias("min_value"),
-        F.when(numeric, F.round("hi", 4)).alias("max_value"),
-        F.when(numeric, mean).alias("mean_value"),
-        "distinct_count",
-        F.when(~numeric, F.col("top.v")).alias("top_value"),
-        F.when(~numeric, percent(-F.col("top.k"), F.col("filled"))).alias("top_pct"),
+    text = df.select([_ref(c).cast("string").alias(c) for c in names])
+    values = (
+        text.unpivot([], [_ref(c) for c in names], "column_name", "v")
+        .where(F.col("v").isNotNull())
+        .groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("number", as_number(F.col("v")))
     )
+    n, number = F.col("n"), F.col("number")
+
+    def summary(name: str) -> list[Column]:
+        here = F.col("column_name") == name
+        if isinstance(df.schema[name].dataType, (T.IntegralType, T.DecimalType)):
+            weighted = F.col("v").try_cast("decimal(28,8)") * n.cast("decimal(18,0)")
+        else:
+            weighted = number * n
+        return [
+            F.count_if(here),
+            F.sum(F.when(here, n)),
+            F.count_if(here & number.isNull()),
+            F.min(F.when(here, number)),
+            F.max(F.when(here, number)),
+            F.sum(F.when(here, weighted)),
+            F.min(F.when(here, F.struct((-n).alias("k"), F.col("v").alias("v")))),
+        ]
+
+    def row(position: int, name: str) -> Column:
+        def got(field: str) -> Column:
+            return F.col(f"{field}_{position}")
+
+        numeric = got("not_numeric") == 0
+        mean = got("weighted") / got("filled").cast("decimal(20,0)")
+        return F.struct(
+            F.lit(position).alias("position"),
+            F.lit(name).alias("column_name"),
+            F.when(numeric, "numeric").otherwise("categorical").alias("kind"),
+            F.when(numeric, F.round(got("lo"), 4)).alias("min_value"),
+            F.when(numeric, F.round(got("hi"), 4)).alias("max_value"),
+            F.when(numeric, F.round(mean, 4).cast("double")).alias("mean_value"),
+            got("distinct_count").alias("distinct_count"),
+            F.when(~numeric, got("top")["v"]).alias("top_value"),
+            F.when(~numeric, percent(-got("top")["k"], got("filled"))).alias("top_pct"),
+        )
+
+    # One row without grouping: every task folds its values, nothing is sorted.
+    one_row = values.agg(*[
+        c.alias(f"{field}_{i}")
+        for i, name in enumerate(names)
+        for c, field in zip(summary(name), _SUMMARY_FIELDS, strict=True)
+    ])
+    return one_row.select(F.inline(F.array(*[row(i, c) for i, c in enumerate(names)])))
 
 
 # --- record count, score and report ---------------------------------------------
@@ -480,7 +497,11 @@ def quality_report(
     extra = [c for c in df.columns if c not in spec.columns]
     counts = profile_counts(df, spec, as_of)
     copies = duplicate_metrics(df, spec, key).drop("total_rows")
-    joined = counts.join(copies, "table_name")
+    # Two one-row results with other columns each, folded into one row.
+    parts = counts.unionByName(copies, allowMissingColumns=True)
+    joined = parts.groupBy("table_name").agg(
+        *[F.max(c).alias(c) for c in parts.columns if c != "table_name"]
+    )
 
     cells = F.col("total_rows") * len(df.columns)
     missing_n, extra_n = F.lit(len(absent)), F.lit(len(extra))

@@ -490,3 +490,71 @@ def kpi_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = regional_totals(spark, sf_dir, "cash")
     part = kpi.select_slice(totals, scenarios=[1, 5], regions=["ASIA", "EUROPE"])
     return part.select("scenario_id", "region_code", money("total_stressed_liquidity"), "n")
+
+
+# --- layered runs ---------------------------------------------------------------
+# Intermediate tables go to the session's shared checkpoint folder.
+
+
+@register("ingest_latest_snapshot", sql.INGESTED)
+def ingest_latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two raw drops of the same table; bronze holds the newer one."""
+    layout = Layout(writers.scratch_root(spark))
+    rows = domains.domain(spark, sf_dir, "intraday").drop("as_of_timestamp_date")
+    old = rows.withColumn("net_position", F.col("net_position") * 2)
+    writers.write_csv_drop(old, layout.raw("intraday"), "intraday", "20240101")
+    writers.write_csv_drop(rows, layout.raw("intraday"), "intraday", "20240102")
+    medallion.ingest_table(spark, layout, "intraday")
+    return readers.read_table(spark, layout.bronze("intraday")).select(
+        F.col("intraday_id").cast("bigint").alias("intraday_id"),
+        iso("as_of_timestamp_date"), "region_code", "currency_code", "net_position",
+    )
+
+
+@register("layer_roundtrip", sql.LAYER_TOTALS)
+def layer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All four domains through bronze, silver, gold and aggregates on storage."""
+    # Their rows spread over many days, with few on each.
+    layout = Layout(writers.scratch_root(spark), undated=("transactions", "loans", "intraday"))
+    for name in TRANSFORMABLE:
+        bronze = cleaning.to_bronze(domains.domain(spark, sf_dir, name), name)
+        partitions = layout.partitions(SPECS[name], "bronze")
+        writers.write_partitioned(bronze, layout.bronze(name), partitions)
+    factors = scenario.scenario_table(spark).withColumn(
+        "market_stress_factor", F.col("market_stress_factor").cast("decimal(6,2)")
+    )
+    writers.write_unpartitioned(factors, layout.bronze("scenario"))
+    medallion.run_pipeline(spark, layout, rates=EXACT_RATES)
+    return reduce(DataFrame.unionByName, [
+        readers.read_table(spark, layout.aggregate(f"aggregates_{n}")).select(
+            F.lit(n).alias("table_name"), "scenario_id", "region_code",
+            money(SPECS[n].measure.total, "total"),
+        )
+        for n in TRANSFORMABLE
+    ])
+
+
+@register("report_export", sql.REPORTED)
+def report_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold, its aggregate and the combined view as report extracts."""
+    layout = Layout(writers.scratch_root(spark))
+    spec = SPECS["cash"]
+    writers.write_partitioned(
+        gold(spark, sf_dir, "cash"), layout.gold("cash"), spec.gold_partitions
+    )
+    medallion.aggregate(spark, layout, ["cash"])
+    medallion.export(spark, layout, ["cash"])
+
+    def extract(name: str, value: str, region: Column) -> DataFrame:
+        rows = spark.read.parquet(layout.report(name))
+        return (
+            rows.groupBy("scenario_id", region.alias("region_code"))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"))
+            .select(F.lit(name).alias("extract"), "scenario_id", "region_code", "n", money("total"))
+        )
+
+    return (
+        extract("cash", "stressed_liquidity", F.col("region_code"))
+        .unionByName(extract("aggregates_cash", "total_stressed_liquidity", F.col("region_code")))
+        .unionByName(extract("aggregates_combined", "liq_total", F.lit("ALL")))
+    )

@@ -28,7 +28,7 @@ DOMAIN = {
          CAST(l_shipdate AS DATE) AS business_date,
          CAST(l_extendedprice AS DECIMAL(18,2)) AS loan_amount,
          CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))
-              AS DECIMAL(18,4)) AS outstanding_balance,
+              AS DECIMAL(18,4)) AS outstanding_balance, l_tax * 100 AS interest_rate,
          region_code, currency_code
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN geo ON s_nationkey = n_nationkey)""",
     "intraday": """intraday AS (
@@ -522,6 +522,30 @@ QUALITY_REPORT = with_(RAW_TXN, RAW_LOANS) + _report(
     _missing("loans", RAW_LOAN_COLUMNS), ["tranche"], "loan_id, tranche",
 )
 
+# --- layered runs ---------------------------------------------------------------
+
+INGESTED = with_(GEO, DOMAIN["intraday"]) + """
+SELECT intraday_id, CAST(as_of_timestamp_date AS VARCHAR) AS as_of_timestamp_date, region_code,
+       currency_code, CAST(net_position AS DOUBLE) AS net_position FROM intraday"""
+
+_DISTINCT = {n: f"{n}_rows AS (SELECT DISTINCT * FROM {n})" for n in TRANSFORMABLE}
+LAYER_TOTALS = with_(GEO, *DOMAIN.values(), FX, SCEN, *_DISTINCT.values()) + "\nUNION ALL ".join(
+    f"SELECT '{n}' AS table_name, scenario_id, region_code, {money(f'SUM({_usd(n)})', 'total')} "
+    f"FROM {_expanded(n).replace(n, n + '_rows', 1)} GROUP BY scenario_id, region_code"
+    for n in TRANSFORMABLE
+)
+
+_CASH_SUM = money(f"SUM({_usd('cash')})", "total")
+REPORTED = base("cash") + f"""
+SELECT 'cash' AS extract, scenario_id, region_code, COUNT(*) AS n, {_CASH_SUM}
+FROM {_expanded("cash")} GROUP BY scenario_id, region_code
+UNION ALL
+SELECT 'aggregates_cash', scenario_id, region_code, 1, {_CASH_SUM}
+FROM {_expanded("cash")} GROUP BY scenario_id, region_code
+UNION ALL
+SELECT 'aggregates_combined', scenario_id, 'ALL', 1, {_CASH_SUM}
+FROM {_expanded("cash")} GROUP BY scenario_id"""
+
 # --- reporting measures ---------------------------------------------------------
 
 KPI_CARDS = _combined_ctes() + "SELECT scenario_id, " + ", ".join(

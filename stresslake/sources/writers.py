@@ -19,16 +19,18 @@ MAX_RECORDS_PER_FILE = 5_000_000
 
 
 def write_partitioned(
-    df: DataFrame, path: str, partitions: Sequence[str] = (), fmt: str | None = None
+    df: DataFrame, path: str, partitions: Sequence[str] = (), fmt: str | None = None,
+    rebalance: bool = True,
 ) -> None:
     """Overwrite a table, partitioned by the given columns.
 
     Rebalancing on the partition columns keeps the number of files per directory
-    low, and adaptive execution cuts a large partition into several tasks.
+    low, and adaptive execution cuts a large partition into several tasks. Rows
+    that already arrive grouped by directory are better written as they come.
     """
     columns = list(partitions)
     require_columns(df, columns, f"write {path}")
-    out = df.hint("rebalance", *columns) if columns else df
+    out = df.hint("rebalance", *columns) if columns and rebalance else df
     writer = out.write.mode("overwrite").format(fmt or table_format(df.sparkSession))
     writer = writer.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     (writer.partitionBy(*columns) if columns else writer).save(path)

@@ -245,9 +245,18 @@ class Layout:
 
     Aggregates are kept beside the gold base tables, never inside them, so a
     base table can be read and rewritten without touching its aggregates.
+
+    Tables are partitioned by region and date. Where a table holds little data per
+    day, that makes very many small files; name it in ``undated`` to leave the
+    date out of its directories.
     """
 
     root: str
+    undated: tuple[str, ...] = ()
+
+    def partitions(self, spec: TableSpec, layer: str) -> list[str]:
+        columns = spec.gold_partitions if layer == "gold" else spec.partitions
+        return [c for c in columns if c != spec.date_col or spec.name not in self.undated]
 
     def path(self, layer: str, table: str) -> str:
         folder = SPECS[table].folder if table in SPECS else table
