@@ -12,9 +12,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A decimal literal with optional exponent, or an infinity.
-NUMBER_PATTERN = r"^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf(inity)?))$"
-INTEGER_PATTERN = r"^[+-]?[0-9]+$"
+# A decimal number with optional exponent, or an infinity. Possessive quantifiers
+# keep the match linear: there is one way only to read a number.
+NUMBER_PATTERN = (
+    r"^[+-]?+(?:(?:[0-9]++\.?+[0-9]*+|\.[0-9]++)(?:[eE][+-]?+[0-9]++)?+|(?i:inf(?:inity)?+))$"
+)
 
 
 def one_of_type(value, dtype: T.DataType) -> Column:
@@ -44,8 +46,24 @@ def as_date(col: Column, dtype: T.DataType) -> Column:
     return F.to_date(col)
 
 
-def has_time(ts: Column) -> Column:
-    return F.date_trunc("day", ts) != F.date_trunc("second", ts)
+WHOLE, FRACTION, MIDNIGHT, WORDS = "whole", "fraction", "000000", "words"
+
+
+def text_kind(col: Column) -> Column:
+    """What a text value reads as; NULL stays NULL.
+
+    ``whole`` or ``fraction`` for numbers, the time of day as ``HHmmss`` for dates
+    and timestamps (``000000`` for a plain date), else ``words``. A value is parsed
+    once, and no parse fails by exception on the numbers and words that fill most
+    columns.
+    """
+    text = F.trim(col)
+    marks = [text.contains(m) for m in (".", "e", "E", "n", "N")]
+    number = F.when(reduce(lambda a, b: a | b, marks), FRACTION).otherwise(WHOLE)
+    time = F.date_format(as_timestamp(col), "HHmmss")
+    return F.when(is_number(col), number).when(
+        col.isNotNull(), F.coalesce(time, F.lit(WORDS))
+    )
 
 
 def percent(part: Column, whole: Column) -> Column:

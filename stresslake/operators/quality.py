@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stresslake.functions.columns import (
-    INTEGER_PATTERN, as_number, as_timestamp, has_time, is_number, percent, total,
+    FRACTION, MIDNIGHT, WHOLE, WORDS, as_number, as_timestamp, percent, text_kind, total,
 )
 from stresslake.operators.cleaning import missing_columns, run_date
 from stresslake.operators.validate import null_counts
@@ -37,8 +37,8 @@ def _ref(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def _is_text(dtype: T.DataType) -> bool:
-    return isinstance(dtype, T.StringType)
+def _count(condition: Column) -> Column:
+    return F.count(F.when(condition, F.lit(1)))
 
 
 def _number(df: DataFrame, name: str) -> Column:
@@ -62,7 +62,7 @@ def _timestamp(df: DataFrame, name: str) -> Column:
 def null_metrics(df: DataFrame) -> DataFrame:
     """NULL count and percentage per column."""
     rows = F.count(F.lit(1)).alias("_rows")
-    nulls = [F.count_if(_ref(c).isNull()).alias(f"_n{i}") for i, c in enumerate(df.columns)]
+    nulls = [_count(_ref(c).isNull()).alias(f"_n{i}") for i, c in enumerate(df.columns)]
     per_column = F.array(*[
         F.struct(
             F.lit(c).alias("column_name"),
@@ -124,15 +124,24 @@ def duplicate_metrics(df: DataFrame, table: str | TableSpec, key: tuple[str, ...
 # --- one-pass counts ------------------------------------------------------------
 
 
-def _type_evidence(df: DataFrame, name: str, tag: str) -> dict[str, Column]:
-    """Counts from which the semantic type of a text column follows."""
-    text, stamp = F.trim(_ref(name)), as_timestamp(_ref(name))
-    return {
-        f"{tag}_numeric": F.count_if(is_number(_ref(name))),
-        f"{tag}_integer": F.count_if(text.rlike(INTEGER_PATTERN)),
-        f"{tag}_stamp": F.count_if(stamp.isNotNull()),
-        f"{tag}_timed": F.count_if(has_time(stamp)),
-    }
+def _is_parsed(df: DataFrame, name: str) -> bool:
+    """Whether a column has to be read as text to know what it holds."""
+    dtype = df.schema[name].dataType
+    return not isinstance(
+        dtype, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    )
+
+
+def _with_kinds(df: DataFrame, names: list[str]) -> DataFrame:
+    """Add ``_k<i>``, the kind of value, for the parsed columns among ``names``.
+
+    A projection below the aggregate: each value is looked at once, however many
+    counts use it.
+    """
+    return df.withColumns({
+        f"_k{i}": text_kind(_ref(c).cast("string"))
+        for i, c in enumerate(df.columns) if c in names and _is_parsed(df, c)
+    })
 
 
 def _semantic_type(dtype: T.DataType, tag: str) -> Column:
@@ -150,16 +159,12 @@ def _semantic_type(dtype: T.DataType, tag: str) -> Column:
     filled, nulls = F.col(f"{tag}_filled"), F.col(f"{tag}_null")
     if isinstance(dtype, T.DateType):
         return F.when(filled == 0, "unknown").otherwise("date")
-    if not _is_text(dtype):
-        return F.lit("string")
-    whole = (F.col(f"{tag}_integer") == filled) & (nulls == 0)
+    whole, number = F.col(f"{tag}_whole"), F.col(f"{tag}_number")
+    midnight, words = F.col(f"{tag}_midnight"), F.col(f"{tag}_words")
     return (
         F.when(filled == 0, "float")
-        .when(F.col(f"{tag}_numeric") == filled, F.when(whole, "int").otherwise("float"))
-        .when(
-            F.col(f"{tag}_stamp") == filled,
-            F.when(F.col(f"{tag}_timed") > 0, "datetime").otherwise("date"),
-        )
+        .when(number == filled, F.when((whole == filled) & (nulls == 0), "int").otherwise("float"))
+        .when((number == 0) & (words == 0), F.when(midnight == filled, "date").otherwise("datetime"))
         .otherwise("string")
     )
 
@@ -178,13 +183,13 @@ FORMAT_LABELS = {
 }
 
 
-def _invalid_format(df: DataFrame, name: str, kind: str) -> Column:
-    dtype = df.schema[name].dataType
+def _invalid_format(dtype_parsed: bool, tag: str, kind: str) -> Column:
+    """Values that do not read as the expected kind, from the counts of a column."""
+    if not dtype_parsed:
+        return F.lit(0).cast("bigint")
     if kind in ("float", "int"):
-        bad = F.lit(False) if isinstance(dtype, T.NumericType) else ~is_number(_ref(name).cast("string"))
-    else:
-        bad = _timestamp(df, name).isNull()
-    return F.count_if(_ref(name).isNotNull() & bad)
+        return F.col(f"{tag}_filled") - F.col(f"{tag}_number")
+    return F.col(f"{tag}_number") + F.col(f"{tag}_words")
 
 
 @dataclass(frozen=True)
@@ -239,7 +244,7 @@ def business_rule_checks(
     schema = "rule_name string, violations bigint, status string"
     if not rules:
         return df.sparkSession.createDataFrame([], schema)
-    one_row = df.agg(*[F.count_if(r.violated).alias(f"_r{i}") for i, r in enumerate(rules)])
+    one_row = df.agg(*[_count(r.violated).alias(f"_r{i}") for i, r in enumerate(rules)])
     return one_row.select(F.inline(F.array(*[
         F.struct(
             F.lit(r.label).alias("rule_name"),
@@ -250,25 +255,28 @@ def business_rule_checks(
     ])))
 
 
-def _column_counts(df: DataFrame, names: list[str], types: bool) -> list[Column]:
+def _column_counts(df: DataFrame, names: list[str]) -> list[Column]:
+    """Aggregates over :func:`_with_kinds` of ``df``, named ``_c<i>_<what>``."""
     out = []
     for i, name in enumerate(df.columns):
         if name not in names:
             continue
-        tag = f"_c{i}"
-        evidence = {
-            f"{tag}_null": F.count_if(_ref(name).isNull()),
-            f"{tag}_filled": F.count(_ref(name)),
-        }
-        if types and _is_text(df.schema[name].dataType):
-            evidence |= _type_evidence(df, name, tag)
-        out += [c.alias(alias) for alias, c in evidence.items()]
+        counts = {"null": _count(_ref(name).isNull()), "filled": F.count(_ref(name))}
+        if _is_parsed(df, name):
+            kind = F.col(f"_k{i}")
+            counts |= {
+                "whole": _count(kind == WHOLE),
+                "number": _count(kind.isin(WHOLE, FRACTION)),
+                "midnight": _count(kind == MIDNIGHT),
+                "words": _count(kind == WORDS),
+            }
+        out += [c.alias(f"_c{i}_{what}") for what, c in counts.items()]
     return out
 
 
 def semantic_types(df: DataFrame) -> DataFrame:
     """Detected type per column: int, float, date, datetime, string or unknown."""
-    one_row = df.agg(*_column_counts(df, df.columns, types=True))
+    one_row = _with_kinds(df, df.columns).agg(*_column_counts(df, df.columns))
     return one_row.select(F.inline(F.array(*[
         F.struct(
             F.lit(name).alias("column_name"),
@@ -282,7 +290,9 @@ def schema_check(df: DataFrame, table: str | TableSpec) -> DataFrame:
     """Expected and found columns: ``ok``, ``missing``, ``extra`` or ``type_mismatch``."""
     expected = spec_for(table).columns
     held = [c for c in df.columns if c in expected]
-    one_row = df.agg(F.count(F.lit(1)).alias("_rows"), *_column_counts(df, held, types=True))
+    one_row = _with_kinds(df, held).agg(
+        F.count(F.lit(1)).alias("_rows"), *_column_counts(df, held)
+    )
     rows = []
     for name in [*expected, *[c for c in df.columns if c not in expected]]:
         want = expected.get(name)
@@ -304,22 +314,22 @@ def schema_check(df: DataFrame, table: str | TableSpec) -> DataFrame:
 
 def format_validity(df: DataFrame, table: str | TableSpec) -> DataFrame:
     """Values that do not parse, for each number or date column that has values."""
+    kinds = spec_for(table).columns
     checked = [
-        (c, kind) for c, kind in spec_for(table).columns.items()
-        if kind in FORMAT_LABELS and c in df.columns
+        (i, c, kinds[c]) for i, c in enumerate(df.columns) if kinds.get(c) in FORMAT_LABELS
     ]
-    one_row = df.agg(
-        *[F.count(_ref(c)).alias(f"_f{i}") for i, (c, _) in enumerate(checked)],
-        *[_invalid_format(df, c, kind).alias(f"_i{i}") for i, (c, kind) in enumerate(checked)],
+    names = [c for _, c, _ in checked]
+    one_row = _with_kinds(df, names).agg(
+        F.count(F.lit(1)).alias("_rows"), *_column_counts(df, names)
     )
     rows = one_row.select(F.inline(F.array(*[
         F.struct(
             F.lit(c).alias("column_name"),
             F.lit(FORMAT_LABELS[kind]).alias("check_name"),
-            F.col(f"_i{i}").alias("invalid_count"),
-            F.col(f"_f{i}").alias("_filled"),
+            _invalid_format(_is_parsed(df, c), f"_c{i}", kind).alias("invalid_count"),
+            F.col(f"_c{i}_filled").alias("_filled"),
         )
-        for i, (c, kind) in enumerate(checked)
+        for i, c, kind in checked
     ])))
     return rows.where("_filled > 0").drop("_filled")
 
@@ -372,9 +382,9 @@ def column_statistics(
         else:
             weighted = number * n
         return [
-            F.count_if(here),
+            _count(here),
             F.sum(F.when(here, n)),
-            F.count_if(here & number.isNull()),
+            _count(here & number.isNull()),
             F.min(F.when(here, number)),
             F.max(F.when(here, number)),
             F.sum(F.when(here, weighted)),
@@ -451,16 +461,18 @@ def profile_counts(
     """All row counts of the report in one pass: one row per table."""
     spec = spec_for(table)
     held = [c for c in df.columns if c in spec.columns]
-    formats = [(c, spec.columns[c]) for c in held if spec.columns[c] in FORMAT_LABELS]
     rules = business_rules(df, spec, as_of)
-    counts = df.agg(
+    counts = _with_kinds(df, held).agg(
         F.count(F.lit(1)).alias("total_rows"),
-        *_column_counts(df, held, types=True),
-        *[F.count_if(_ref(c).isNull()).alias(f"_c{i}_null")
+        *_column_counts(df, held),
+        *[_count(_ref(c).isNull()).alias(f"_c{i}_null")
           for i, c in enumerate(df.columns) if c not in held],
-        *[_invalid_format(df, c, kind).alias(f"_i{i}") for i, (c, kind) in enumerate(formats)],
-        *[F.count_if(r.violated).alias(f"_r{i}") for i, r in enumerate(rules)],
+        *[_count(r.violated).alias(f"_r{i}") for i, r in enumerate(rules)],
     )
+    invalid = [
+        _invalid_format(_is_parsed(df, c), f"_c{i}", spec.columns[c])
+        for i, c in enumerate(df.columns) if spec.columns.get(c) in FORMAT_LABELS
+    ]
     mismatches = [
         F.when(type_matches(
             _semantic_type(df.schema[c].dataType, f"_c{df.columns.index(c)}"), spec.columns[c]
@@ -478,7 +490,7 @@ def profile_counts(
         total(nulls).alias("overall_nulls"),
         worst["c"].alias("worst_column"),
         total(mismatches).alias("type_mismatches"),
-        total([F.col(f"_i{i}") for i in range(len(formats))]).alias("invalid_formats"),
+        total(invalid).alias("invalid_formats"),
         total([F.col(f"_r{i}") for i in range(len(rules))]).alias("rule_violations"),
     )
 
