@@ -1,9 +1,9 @@
 """Data-quality profile of one table.
 
-Everything that is a count over rows (NULLs, bad formats, rule violations, type
-evidence) comes from a single aggregate. Copies of rows and of keys need one
-exchange each, and the column statistics one more. Results are DataFrames; the
-pre-load gate reads one summary row.
+NULLs, bad formats and type evidence of all columns come from one pass that reads
+each value once; the business rules read only their own columns. Copies of rows and
+of keys need one exchange each, and the column statistics one more. Results are
+DataFrames; the pre-load gate reads one summary row.
 
 Raw drops are profiled as text (see ``sources.readers.read_text_columns``), so the
 checks see what is in the file. Typed frames work too.
@@ -12,6 +12,7 @@ checks see what is in the file. Typed frames work too.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -124,55 +125,119 @@ def duplicate_metrics(df: DataFrame, table: str | TableSpec, key: tuple[str, ...
 # --- one-pass counts ------------------------------------------------------------
 
 
-def _is_parsed(df: DataFrame, name: str) -> bool:
-    """Whether a column has to be read as text to know what it holds."""
-    dtype = df.schema[name].dataType
-    return not isinstance(
-        dtype, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
-    )
+def _declared(dtype: T.DataType) -> str:
+    """Semantic type that a column's declared type settles, or ``text``."""
+    if isinstance(dtype, T.IntegralType):
+        return "int"
+    if isinstance(dtype, T.NumericType):
+        return "float"
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return "datetime"
+    return "date" if isinstance(dtype, T.DateType) else "text"
+
+
+def _column_list(df: DataFrame, expected: dict[str, str]) -> DataFrame:
+    """Found and expected columns as rows, in schema order, missing ones last."""
+    names = [*df.columns, *missing_columns(df, expected)]
+    rows = [
+        F.struct(
+            F.lit(i).alias("position"),
+            F.lit(c).alias("column_name"),
+            F.lit(_declared(df.schema[c].dataType) if c in df.columns else None)
+            .cast("string").alias("declared"),
+            F.lit(expected.get(c)).cast("string").alias("expected_type"),
+        )
+        for i, c in enumerate(names)
+    ]
+    return df.sparkSession.range(0, 1, 1, 1).select(F.inline(F.array(*rows)))
 
 
-def _with_kinds(df: DataFrame, names: list[str]) -> DataFrame:
-    """Add ``_k<i>``, the kind of value, for the parsed columns among ``names``.
+def describe_columns(df: DataFrame, expected: dict[str, str] | None = None) -> DataFrame:
+    """One row per column: NULLs, values, what the values read as, semantic type.
 
-    A projection below the aggregate: each value is looked at once, however many
-    counts use it.
+    The columns are stacked into (name, value) rows inside the task, each value is
+    read once, and counts per name are folded before the exchange. One small
+    expression thus serves any number of columns. ``expected`` adds registry
+    columns that the frame lacks; their ``declared`` is NULL.
     """
-    return df.withColumns({
-        f"_k{i}": text_kind(_ref(c).cast("string"))
-        for i, c in enumerate(df.columns) if c in names and _is_parsed(df, c)
-    })
+    value = [
+        (_ref(c).cast("string") if _declared(df.schema[c].dataType) == "text"
+         else F.when(_ref(c).isNotNull(), F.lit(""))).alias(c)
+        for c in df.columns
+    ]
+    kind = F.col("kind")
+    counts = (
+        df.select(value)
+        .unpivot([], [_ref(c) for c in df.columns], "column_name", "v")
+        .select("column_name", text_kind(F.col("v")).alias("kind"))
+        .groupBy("column_name")
+        .agg(
+            _count(kind.isNull()).alias("null_count"),
+            F.count(kind).alias("filled"),
+            _count(kind == WHOLE).alias("whole"),
+            _count(kind.isin(WHOLE, FRACTION)).alias("number"),
+            _count(kind == MIDNIGHT).alias("midnight"),
+            _count(kind == WORDS).alias("words"),
+        )
+    )
+    # The list leads, so that columns of an empty table are described too.
+    joined = _column_list(df, expected or {}).join(counts, "column_name", "left")
+    zero = F.lit(0).cast("bigint")
+    filled = joined.select(
+        "position", "column_name", "declared", "expected_type",
+        *[F.coalesce(c, zero).alias(c) for c in counts.columns if c != "column_name"],
+    )
+    return filled.withColumn("semantic_type", _semantic_type())
 
 
-def _semantic_type(dtype: T.DataType, tag: str) -> Column:
-    """Type name of a column from its declared type or its counts.
+def _semantic_type() -> Column:
+    """Type name from the declared type or, for text, from the counts.
 
     A text column of whole numbers is ``int`` only without NULLs, and an entirely
     empty one is ``float``: that is how a typed reader of the file would see it.
     """
-    if isinstance(dtype, T.IntegralType):
-        return F.lit("int")
-    if isinstance(dtype, (T.FractionalType, T.DecimalType)):
-        return F.lit("float")
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.lit("datetime")
-    filled, nulls = F.col(f"{tag}_filled"), F.col(f"{tag}_null")
-    if isinstance(dtype, T.DateType):
-        return F.when(filled == 0, "unknown").otherwise("date")
-    whole, number = F.col(f"{tag}_whole"), F.col(f"{tag}_number")
-    midnight, words = F.col(f"{tag}_midnight"), F.col(f"{tag}_words")
-    return (
+    declared, filled, number = F.col("declared"), F.col("filled"), F.col("number")
+    whole = (F.col("whole") == filled) & (F.col("null_count") == 0)
+    all_dates = (number == 0) & (F.col("words") == 0)
+    of_text = (
         F.when(filled == 0, "float")
-        .when(number == filled, F.when((whole == filled) & (nulls == 0), "int").otherwise("float"))
-        .when((number == 0) & (words == 0), F.when(midnight == filled, "date").otherwise("datetime"))
+        .when(number == filled, F.when(whole, "int").otherwise("float"))
+        .when(all_dates, F.when(F.col("midnight") == filled, "date").otherwise("datetime"))
         .otherwise("string")
     )
+    return (
+        F.when(declared == "text", of_text)
+        .when((declared == "date") & (filled == 0), "unknown")
+        .otherwise(declared)
+    )
 
 
-def type_matches(actual: Column, expected: str) -> Column:
+def _accepted(actual: Column, expected: Column) -> Column:
     """``float`` accepts ``int`` and ``datetime`` accepts ``date``."""
-    accepted = {"float": ["float", "int"], "datetime": ["datetime", "date"]}
-    return actual.isin(*accepted.get(expected, [expected]))
+    return (
+        (actual == expected)
+        | ((expected == "float") & (actual == "int"))
+        | ((expected == "datetime") & (actual == "date"))
+    )
+
+
+def _issue() -> Column:
+    expected, actual = F.col("expected_type"), F.col("semantic_type")
+    return (
+        F.when(expected.isNull(), "extra")
+        .when(F.col("declared").isNull(), "missing")
+        .when(_accepted(actual, expected), "ok")
+        .otherwise("type_mismatch")
+    )
+
+
+def _invalid_count() -> Column:
+    """Values of a text column that do not read as its expected number or date."""
+    expected = F.col("expected_type")
+    bad = F.when(
+        expected.isin("float", "int"), F.col("filled") - F.col("number")
+    ).when(expected.isin("date", "datetime"), F.col("number") + F.col("words"))
+    return F.when(F.col("declared") == "text", bad)
 
 
 FORMAT_LABELS = {
@@ -183,15 +248,6 @@ FORMAT_LABELS = {
 }
 
 
-def _invalid_format(dtype_parsed: bool, tag: str, kind: str) -> Column:
-    """Values that do not read as the expected kind, from the counts of a column."""
-    if not dtype_parsed:
-        return F.lit(0).cast("bigint")
-    if kind in ("float", "int"):
-        return F.col(f"{tag}_filled") - F.col(f"{tag}_number")
-    return F.col(f"{tag}_number") + F.col(f"{tag}_words")
-
-
 @dataclass(frozen=True)
 class Rule:
     """A row-level business rule: where ``violated`` is true the row breaks it."""
@@ -255,83 +311,32 @@ def business_rule_checks(
     ])))
 
 
-def _column_counts(df: DataFrame, names: list[str]) -> list[Column]:
-    """Aggregates over :func:`_with_kinds` of ``df``, named ``_c<i>_<what>``."""
-    out = []
-    for i, name in enumerate(df.columns):
-        if name not in names:
-            continue
-        counts = {"null": _count(_ref(name).isNull()), "filled": F.count(_ref(name))}
-        if _is_parsed(df, name):
-            kind = F.col(f"_k{i}")
-            counts |= {
-                "whole": _count(kind == WHOLE),
-                "number": _count(kind.isin(WHOLE, FRACTION)),
-                "midnight": _count(kind == MIDNIGHT),
-                "words": _count(kind == WORDS),
-            }
-        out += [c.alias(f"_c{i}_{what}") for what, c in counts.items()]
-    return out
-
-
 def semantic_types(df: DataFrame) -> DataFrame:
     """Detected type per column: int, float, date, datetime, string or unknown."""
-    one_row = _with_kinds(df, df.columns).agg(*_column_counts(df, df.columns))
-    return one_row.select(F.inline(F.array(*[
-        F.struct(
-            F.lit(name).alias("column_name"),
-            _semantic_type(df.schema[name].dataType, f"_c{i}").alias("semantic_type"),
-        )
-        for i, name in enumerate(df.columns)
-    ])))
+    return describe_columns(df).select("column_name", "semantic_type")
 
 
 def schema_check(df: DataFrame, table: str | TableSpec) -> DataFrame:
     """Expected and found columns: ``ok``, ``missing``, ``extra`` or ``type_mismatch``."""
     expected = spec_for(table).columns
-    held = [c for c in df.columns if c in expected]
-    one_row = _with_kinds(df, held).agg(
-        F.count(F.lit(1)).alias("_rows"), *_column_counts(df, held)
+    known = F.col("expected_type").isNotNull()
+    return describe_columns(df, expected).select(
+        "column_name", "expected_type",
+        F.when(known, F.col("semantic_type")).alias("actual_type"),
+        _issue().alias("issue"),
     )
-    rows = []
-    for name in [*expected, *[c for c in df.columns if c not in expected]]:
-        want = expected.get(name)
-        if want is None:
-            actual, issue = F.lit(None).cast("string"), F.lit("extra")
-        elif name not in df.columns:
-            actual, issue = F.lit(None).cast("string"), F.lit("missing")
-        else:
-            actual = _semantic_type(df.schema[name].dataType, f"_c{df.columns.index(name)}")
-            issue = F.when(type_matches(actual, want), "ok").otherwise("type_mismatch")
-        rows.append(F.struct(
-            F.lit(name).alias("column_name"),
-            F.lit(want).cast("string").alias("expected_type"),
-            actual.alias("actual_type"),
-            issue.alias("issue"),
-        ))
-    return one_row.select(F.inline(F.array(*rows)))
 
 
 def format_validity(df: DataFrame, table: str | TableSpec) -> DataFrame:
     """Values that do not parse, for each number or date column that has values."""
     kinds = spec_for(table).columns
-    checked = [
-        (i, c, kinds[c]) for i, c in enumerate(df.columns) if kinds.get(c) in FORMAT_LABELS
-    ]
-    names = [c for _, c, _ in checked]
-    one_row = _with_kinds(df, names).agg(
-        F.count(F.lit(1)).alias("_rows"), *_column_counts(df, names)
+    checked = [c for c in df.columns if kinds.get(c) in FORMAT_LABELS]
+    labels = [F.when(F.col("expected_type") == k, v) for k, v in FORMAT_LABELS.items()]
+    described = describe_columns(df.select([_ref(c) for c in checked]), {c: kinds[c] for c in checked})
+    return described.where("filled > 0").select(
+        "column_name", F.coalesce(*labels).alias("check_name"),
+        F.coalesce(_invalid_count(), F.lit(0).cast("bigint")).alias("invalid_count"),
     )
-    rows = one_row.select(F.inline(F.array(*[
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.lit(FORMAT_LABELS[kind]).alias("check_name"),
-            _invalid_format(_is_parsed(df, c), f"_c{i}", kind).alias("invalid_count"),
-            F.col(f"_c{i}_filled").alias("_filled"),
-        )
-        for i, c, kind in checked
-    ])))
-    return rows.where("_filled > 0").drop("_filled")
 
 
 # --- column statistics ----------------------------------------------------------
@@ -455,44 +460,18 @@ def quality_score(
     }
 
 
-def profile_counts(
-    df: DataFrame, table: str | TableSpec, as_of: str | None = None
-) -> DataFrame:
-    """All row counts of the report in one pass: one row per table."""
+def profile_counts(df: DataFrame, table: str | TableSpec) -> DataFrame:
+    """NULLs, type mismatches and unreadable values of a table as one row."""
     spec = spec_for(table)
-    held = [c for c in df.columns if c in spec.columns]
-    rules = business_rules(df, spec, as_of)
-    counts = _with_kinds(df, held).agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        *_column_counts(df, held),
-        *[_count(_ref(c).isNull()).alias(f"_c{i}_null")
-          for i, c in enumerate(df.columns) if c not in held],
-        *[_count(r.violated).alias(f"_r{i}") for i, r in enumerate(rules)],
-    )
-    invalid = [
-        _invalid_format(_is_parsed(df, c), f"_c{i}", spec.columns[c])
-        for i, c in enumerate(df.columns) if spec.columns.get(c) in FORMAT_LABELS
-    ]
-    mismatches = [
-        F.when(type_matches(
-            _semantic_type(df.schema[c].dataType, f"_c{df.columns.index(c)}"), spec.columns[c]
-        ), 0).otherwise(1)
-        for c in held
-    ]
-    nulls = [F.col(f"_c{i}_null") for i in range(len(df.columns))]
-    worst = F.array_max(F.array(*[
-        F.struct(n.alias("n"), F.lit(-i).alias("p"), F.lit(c).alias("c"))
-        for i, (c, n) in enumerate(zip(df.columns, nulls, strict=True))
-    ]))
-    return counts.select(
-        F.lit(spec.name).alias("table_name"),
-        "total_rows",
-        total(nulls).alias("overall_nulls"),
-        worst["c"].alias("worst_column"),
-        total(mismatches).alias("type_mismatches"),
-        total(invalid).alias("invalid_formats"),
-        total([F.col(f"_r{i}") for i in range(len(rules))]).alias("rule_violations"),
-    )
+    mismatch = F.when(_issue() == "type_mismatch", F.lit(1)).otherwise(0)
+    worst = F.max(F.struct("null_count", (-F.col("position")).alias("p"), "column_name"))
+    described = describe_columns(df, spec.columns).where(F.col("declared").isNotNull())
+    return described.agg(
+        F.sum("null_count").alias("overall_nulls"),
+        worst["column_name"].alias("worst_column"),
+        F.sum(mismatch).alias("type_mismatches"),
+        F.coalesce(F.sum(_invalid_count()), F.lit(0)).alias("invalid_formats"),
+    ).select(F.lit(spec.name).alias("table_name"), "*")
 
 
 def quality_report(
@@ -507,10 +486,18 @@ def quality_report(
     key = key or spec.key
     absent = missing_columns(df, spec.columns)
     extra = [c for c in df.columns if c not in spec.columns]
-    counts = profile_counts(df, spec, as_of)
-    copies = duplicate_metrics(df, spec, key).drop("total_rows")
-    # Two one-row results with other columns each, folded into one row.
-    parts = counts.unionByName(copies, allowMissingColumns=True)
+    rules = business_rule_checks(df, spec, as_of).agg(
+        F.coalesce(F.sum("violations"), F.lit(0)).alias("rule_violations")
+    )
+    # One-row results with other columns each, folded into one row.
+    parts = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True),
+        [
+            profile_counts(df, spec),
+            rules.select(F.lit(spec.name).alias("table_name"), "*"),
+            duplicate_metrics(df, spec, key),
+        ],
+    )
     joined = parts.groupBy("table_name").agg(
         *[F.max(c).alias(c) for c in parts.columns if c != "table_name"]
     )
