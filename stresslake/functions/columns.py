@@ -88,10 +88,13 @@ def total(cols: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, cols, F.lit(0).cast("bigint"))
 
 
-def shrink(col: Column, scale: int) -> Column:
-    """Hand decimal width back after a sum.
+def exact_product(left: Column, left_type: T.DataType, right: Column, right_type: T.DataType) -> Column:
+    """``left * right``, keeping all decimals of a sum.
 
-    ``sum`` widens a decimal to 38 digits; a further product would then have to
-    cut decimals. 28 digits before another factor keep the product exact.
+    ``sum`` widens a decimal to 38 digits, and a product of that width would have
+    to drop decimals. The sum is narrowed to what leaves the product exact; a value
+    too large for it raises instead of being rounded.
     """
-    return col.cast(T.DecimalType(28, scale))
+    if isinstance(left_type, T.DecimalType) and isinstance(right_type, T.DecimalType):
+        left = left.cast(T.DecimalType(37 - right_type.precision, left_type.scale))
+    return left * right

@@ -13,9 +13,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from stresslake.functions.columns import shrink
+from stresslake.functions.columns import exact_product
 from stresslake.operators.cleaning import require_columns
 from stresslake.operators.fx import Rates, attach_rates
 from stresslake.operators.scenario import DEFAULT_SET, ScenarioSet, expand_scenarios
@@ -45,8 +44,10 @@ def roll_up(totals: DataFrame, table: str | TableSpec) -> DataFrame:
     return totals.groupBy(SCENARIO).agg(F.sum(measure.total).alias(measure.combined))
 
 
-def _exact(col: Column, dtype: T.DataType) -> Column:
-    return shrink(col, dtype.scale) if isinstance(dtype, T.DecimalType) else col
+def _times(df: DataFrame, left: str, right: str) -> Column:
+    return exact_product(
+        F.col(left), df.schema[left].dataType, F.col(right), df.schema[right].dataType
+    )
 
 
 def stress_totals(
@@ -75,15 +76,14 @@ def stress_sums(
 ) -> DataFrame:
     """Second half of :func:`stress_totals`, over (keys, currency, ``_sum``, ``_rows``)."""
     measure = spec_for(table).measure
-    raw = _exact(F.col("_sum"), sums.schema["_sum"].dataType)
-    in_base = attach_rates(sums, rates).withColumn("_sum", raw * F.col(RATE))
+    rated = attach_rates(sums, rates)
+    in_base = rated.withColumn("_sum", _times(rated, "_sum", RATE))
     per_key = in_base.groupBy(*keys).agg(F.sum("_sum").alias("_sum"), F.sum("_rows").alias("_rows"))
-    base = _exact(F.col("_sum"), per_key.schema["_sum"].dataType)
-    stressed = expand_scenarios(per_key, scenarios).select(
-        SCENARIO, *keys, (base * F.col(FACTOR)).alias(measure.total),
+    expanded = expand_scenarios(per_key, scenarios)
+    return expanded.select(
+        SCENARIO, *keys, _times(expanded, "_sum", FACTOR).alias(measure.total),
         *([F.col("_rows").alias("n")] if with_count else []),
     )
-    return stressed
 
 
 def combine(totals: Mapping[str, DataFrame], fill_key: bool = False) -> DataFrame:

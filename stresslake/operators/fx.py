@@ -21,12 +21,24 @@ from stresslake.specs import BASE_CURRENCY, CURRENCY, FALLBACK_RATES, RATE, Tabl
 
 # A rate table of this many rows is a few hundred kB and safe to broadcast.
 MAX_BROADCAST_RATES = 10_000
-EXACT_TYPE = "decimal(12,6)"
 _REPEATED = "rates hold a currency more than once; rows would multiply"
 
 Rates = Mapping[str, object] | DataFrame
 
 
+def rate_type_of(rates: Mapping[str, object]) -> str:
+    """Double, or the decimal type that holds all rates if they are ``Decimal``.
+
+    Rates that are all missing count as doubles.
+    """
+    known = [r for r in rates.values() if r is not None]
+    if not known or not all(isinstance(r, Decimal) for r in known):
+        return "double"
+    scale = max(6, *(-r.as_tuple().exponent for r in known))
+    whole = max(6, *(r.adjusted() + 1 for r in known))
+    return f"decimal({whole + scale},{scale})"
+
+
 def rates_frame(
     spark: SparkSession, rates: Mapping[str, object] = FALLBACK_RATES, rate_type: str | None = None
 ) -> DataFrame:
@@ -34,9 +46,7 @@ def rates_frame(
 
     Rates are doubles unless all of them are ``Decimal``; then they stay exact.
     """
-    if rate_type is None:
-        exact = all(isinstance(r, Decimal) for r in rates.values())
-        rate_type = EXACT_TYPE if exact else "double"
+    rate_type = rate_type or rate_type_of(rates)
     literal = F.array(*[
         F.struct(
             F.lit(code).alias(CURRENCY),
@@ -145,8 +155,7 @@ def convert_to_base(
 
     A NULL or unknown currency leaves the amount as it is.
     """
-    exact = all(isinstance(r, Decimal) for r in rates.values())
-    rate_type = EXACT_TYPE if exact else "double"
+    rate_type = rate_type_of(rates)
     pairs = [
         F.lit(x) for code, rate in rates.items() for x in (code.upper(), Decimal(str(rate)))
     ]

@@ -169,7 +169,7 @@ def fx_convert_feed_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fx_convert_inverted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A feed quoted per USD: inverting it turns 4 units per USD into 0.25 USD each."""
     quoted = {"USD": 1, "EUR": Decimal("0.8"), "JPY": 160, "AED": 4}
-    live = fx.rates_frame(spark, quoted, fx.EXACT_TYPE)
+    live = fx.rates_frame(spark, quoted, "decimal(12,6)")
     chosen = fx.resolve_rates(live, fx.rates_frame(spark, EXACT_RATES), direction="base_to_quote")
     usd = fx.convert_amounts(domains.domain(spark, sf_dir, "transactions"), "transactions", chosen)
     return (
