@@ -1,0 +1,68 @@
+"""Repeatable random draws as integer column arithmetic.
+
+A draw depends on the row's key, a purpose number and the seed only, never on how
+rows are partitioned, so lost tasks can be recomputed and engines agree.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+PRIME = 2_147_483_647
+# Multipliers of the position shuffle; at least one is coprime to any size met here.
+STEPS = (1_000_003, 999_983, 999_979)
+
+
+def idiv(a: Column, b: Column | int) -> Column:
+    return F.call_function("div", a, b if isinstance(b, Column) else F.lit(b).cast("bigint"))
+
+
+def draw(key: Column, purpose: int, seed: int) -> Column:
+    """Whole number in [0, PRIME): two rounds of squaring modulo a prime."""
+    x = (F.pmod(key.cast("bigint"), F.lit(PRIME).cast("bigint")) * 48271 + (seed * 7919 + purpose * 104729)) % PRIME
+    for step in (16807, 69621):
+        x = (x * x + x * step + (purpose + 1)) % PRIME
+    return x
+
+
+def between(key: Column, purpose: int, seed: int, low: Column | int, high: Column | int) -> Column:
+    """Uniform whole number in [low, high]; the span may be up to 4.2e9."""
+    low = low if isinstance(low, Column) else F.lit(low).cast("bigint")
+    high = high if isinstance(high, Column) else F.lit(high).cast("bigint")
+    return low + idiv(draw(key, purpose, seed) * (high - low + 1), PRIME)
+
+
+def unit(key: Column, purpose: int, seed: int) -> Column:
+    """Uniform double in (0, 1)."""
+    return (draw(key, purpose, seed) + 0.5) / float(PRIME)
+
+
+def normal(key: Column, purpose: int, seed: int) -> Column:
+    """Standard normal from two uniform draws (Box and Muller)."""
+    radius = F.sqrt(F.lit(-2.0) * F.log(unit(key, purpose, seed)))
+    return radius * F.cos(F.lit(6.283185307179586) * unit(key, purpose + 1, seed))
+
+
+def weighted(pick: Column, names: Sequence[str], weights: Sequence[int]) -> Column:
+    """Name for a pick in [0, 100) by integer percentages."""
+    out, upto = [], 0
+    for name, weight in zip(names[:-1], weights[:-1], strict=True):
+        upto += weight
+        out.append(F.when(pick < upto, name))
+    return F.coalesce(*out, F.lit(names[-1]))
+
+
+def step_for(size: int) -> int:
+    return next(s for s in STEPS if size % s)
+
+
+def shuffled(position: Column, size: Column, steps: Column, offset: int) -> Column:
+    """Position in a fixed permutation of [0, size): picks without replacement.
+
+    Multiplying by a number coprime to the size visits every position once, so
+    neither a sort nor a window over the group is needed.
+    """
+    return (position * steps + offset) % size

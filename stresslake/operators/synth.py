@@ -1,0 +1,302 @@
+"""Synthetic banking tables of any size, as column expressions over a row position.
+
+Rows are split over four regions in contiguous blocks. Every value follows from the
+row's position and the seed, so generation is one narrow stage: no row is sampled
+from another table, and references (a loan of the same region) are computed from
+the rule that made the referenced rows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from stresslake.functions.draws import between, draw, idiv, normal, shuffled, step_for, weighted
+from stresslake.operators.scenario import scenario_table
+from stresslake.specs import SCENARIO_END, SCENARIO_START, spec_for
+
+SEED = 42
+# Region, currency, USD per unit, and in percent the transaction
+# multiplier, loan multiplier and cash volatility.
+REGIONS = (
+    ("NAMER", "USD", 1.0000, 108, 112, 110),
+    ("EUROPE", "EUR", 1.0900, 100, 100, 100),
+    ("APAC", "JPY", 0.0068, 112, 92, 113),
+    ("MEA", "AED", 0.2723, 95, 105, 107),
+)
+CUSTOMERS, BRANCHES, LOANS = 1600, 200, 1800           # per region
+INTRADAY_CUSTOMERS, INTRADAY_BRANCHES = 300, 25
+BUCKETS = ("Small", "Medium", "Large", "Extreme")
+BUCKET_WEIGHTS = (30, 40, 20, 10)
+BUCKET_RANGES = ((100, 1_000), (1_000, 10_000), (10_000, 100_000), (100_000, 1_000_000))
+TRANSACTION_TYPES = ("Deposit", "Withdrawal", "Transfer", "Loan Payment", "Card Payment")
+TRANSACTION_WEIGHTS = (25, 20, 22, 18, 15)
+LOAN_TYPES = ("Retail", "SME", "Corporate", "Mega Corporate")
+LOAN_WEIGHTS = (40, 35, 20, 5)
+LOAN_RANGES = (
+    (50_000, 500_000), (250_000, 2_000_000), (1_000_000, 10_000_000), (8_000_000, 50_000_000),
+)
+LOAN_DAYS = ("2025-01-01", 525)      # first start day, last offset
+POSITION_DAYS = ("2026-06-01", 29)
+OFFSET = 17
+
+
+def even_split(total: int) -> list[int]:
+    """Rows per region, the remainder going to the first ones."""
+    base, rest = divmod(total, len(REGIONS))
+    return [base + (i < rest) for i in range(len(REGIONS))]
+
+
+def spine(spark: SparkSession, rows: int) -> DataFrame:
+    return spark.range(rows).select(F.col("id").alias("pos"))
+
+
+def _per_region(values) -> Column:
+    """The value of the row's region, from a literal list."""
+    return F.element_at(F.array(*[F.lit(v) for v in values]), F.col("_region"))
+
+
+def _with_region(positions: DataFrame, total: int) -> DataFrame:
+    """Add region number, position within the region, and the region's codes."""
+    sizes = even_split(total)
+    starts = [sum(sizes[:i]) for i in range(len(sizes))]
+    number = F.lit(1) + sum(
+        (F.when(F.col("pos") >= s, 1).otherwise(0) for s in starts[1:]), F.lit(0)
+    )
+    placed = positions.select(F.col("pos").cast("bigint").alias("pos"), number.alias("_region"))
+    return placed.withColumns({
+        "_rpos": F.col("pos") - _per_region(starts).cast("bigint"),
+        "_size": _per_region([max(s, 1) for s in sizes]).cast("bigint"),
+        "_step": _per_region([step_for(max(s, 1)) for s in sizes]).cast("bigint"),
+        "region_code": _per_region([r[0] for r in REGIONS]),
+        "currency_code": _per_region([r[1] for r in REGIONS]),
+    })
+
+
+def _code(kind: str, digits: int, number: Column) -> Column:
+    return F.format_string(f"{kind}_%s_%0{digits}d", F.col("region_code"), number)
+
+
+def _person(number: Column, branches: int) -> dict[str, Column]:
+    """Customer, account and branch of the region's customer ``number`` (from 1)."""
+    return {
+        "customer_id": _code("CUST", 6, number),
+        "account_id": _code("ACC", 6, number),
+        "branch_id": _code("BR", 4, (number - 1) % branches + 1),
+    }
+
+
+def _loan_number(slot: Column, per_region: list[int]) -> Column:
+    """Master loan (from 1) behind the region's generated loan in a slot."""
+    sizes = [max(LOANS, n) for n in per_region]
+    size = _per_region(sizes).cast("bigint")
+    steps = _per_region([step_for(s) for s in sizes]).cast("bigint")
+    return shuffled(slot, size, steps, OFFSET) + 1
+
+
+def _some_loan(key: Column, purpose: int, seed: int, loan_rows: int) -> Column:
+    """Id of a random generated loan of the row's region."""
+    per_region = even_split(loan_rows)
+    count = _per_region([max(n, 1) for n in per_region]).cast("bigint")
+    slot = between(key, purpose, seed, F.lit(0).cast("bigint"), count - 1)
+    return _code("LOAN", 6, _loan_number(slot, per_region))
+
+
+def _day(first: str, offset: Column) -> Column:
+    return F.date_add(F.lit(first).cast("date"), offset.cast("int"))
+
+
+def _bucket_bound(side: int) -> Column:
+    out = [F.when(F.col("_bucket") == b, r[side] * 100) for b, r in zip(BUCKETS, BUCKET_RANGES, strict=True)]
+    return F.coalesce(*out).cast("bigint")
+
+
+def _scaled(cents: Column, percent: Column) -> Column:
+    return idiv(cents * percent + 50, 100)
+
+
+def _money(cents: Column) -> Column:
+    return cents / F.lit(100.0)
+
+
+def _finish(df: DataFrame, table: str) -> DataFrame:
+    return df.select([F.col(f.name).cast(f.dataType) for f in spec_for(table).schema])
+
+
+def loans(positions: DataFrame, total: int, seed: int = SEED, stamp: str = "20260630") -> DataFrame:
+    key = F.col("pos")
+    df = _with_region(positions, total)
+    number = _loan_number(F.col("_rpos"), even_split(total))
+    df = df.withColumns({
+        "_loan": number,
+        "loan_type": weighted(draw(key, 1, seed) % 100, LOAN_TYPES, LOAN_WEIGHTS),
+    })
+    bounds = [
+        F.coalesce(*[F.when(F.col("loan_type") == t, r[side] * 100)
+                     for t, r in zip(LOAN_TYPES, LOAN_RANGES, strict=True)]).cast("bigint")
+        for side in (0, 1)
+    ]
+    mega = F.col("loan_type") == LOAN_TYPES[-1]
+    low = F.when(mega, 350).otherwise(400).cast("bigint")
+    high = F.when(mega, 1000).otherwise(1600).cast("bigint")
+    df = df.withColumns({
+        "_amount": _scaled(between(key, 2, seed, *bounds), _per_region([r[4] for r in REGIONS])),
+        "_share": between(key, 3, seed, 1500, 9500),
+        "start_date": _day(LOAN_DAYS[0], between(key, 4, seed, 0, LOAN_DAYS[1])),
+        "_term": between(key, 5, seed, 90, 720),
+        "interest_rate": _money(between(key, 6, seed, low, high)),
+    })
+    df = df.withColumns({
+        "loan_id": _code("LOAN", 6, F.col("_loan")),
+        **_person((F.col("_loan") - 1) % CUSTOMERS + 1, BRANCHES),
+        "loan_start_date": F.col("start_date"),
+        "loan_amount": _money(F.col("_amount")),
+        "outstanding_balance": _money(F.least(idiv(F.col("_amount") * F.col("_share"), 10000), F.col("_amount"))),
+        "end_date": F.date_add("start_date", F.col("_term").cast("int")),
+        "baseline": F.lit(f"loan_{stamp}"),
+    })
+    return _finish(df, "loans")
+
+
+def cash(positions: DataFrame, total: int, seed: int = SEED, stamp: str = "20260630") -> DataFrame:
+    key, seed = F.col("pos"), seed + 1
+    df = _with_region(positions, total).withColumns({
+        "_opening": _scaled(
+            between(key, 1, seed, 5_000_000, 500_000_000), _per_region([r[5] for r in REGIONS])),
+        "business_date": _day(POSITION_DAYS[0], between(key, 4, seed, 0, POSITION_DAYS[1])),
+    })
+    df = df.withColumn("_closing", idiv(F.col("_opening") * between(key, 2, seed, 8800, 11200), 10000))
+    df = df.withColumns({
+        "cash_position_id": F.format_string("CASHPOS_%07d", key + 1),
+        **_person(between(key, 5, seed, 1, CUSTOMERS), BRANCHES),
+        "opening_balance": _money(F.col("_opening")),
+        "closing_balance": _money(F.col("_closing")),
+        "available_liquidity": _money(idiv(F.col("_closing") * between(key, 3, seed, 7000, 9800), 10000)),
+        "start_date": F.col("business_date"),
+        "end_date": F.date_add("business_date", 1),
+        "baseline": F.lit(f"cash_{stamp}"),
+    })
+    return _finish(df, "cash")
+
+
+def transactions(
+    positions: DataFrame, total: int, seed: int = SEED, stamp: str = "20260630",
+    loan_rows: int | None = None,
+) -> DataFrame:
+    """``loan_rows`` is the size of the loans table that loan ids point into."""
+    key, seed = F.col("pos"), seed + 2
+    loan_rows = loan_rows or max(total, spec_for("loans").default_rows)
+    df = _with_region(positions, total).withColumn(
+        "_bucket", weighted(draw(key, 1, seed) % 100, BUCKETS, BUCKET_WEIGHTS))
+    cents = between(key, 2, seed, _bucket_bound(0), _bucket_bound(1))
+    df = df.withColumns({
+        "transaction_id": F.format_string("TXN_%08d", key + 1),
+        **_person(between(key, 5, seed, 1, CUSTOMERS), BRANCHES),
+        "transaction_date": _day(POSITION_DAYS[0], between(key, 4, seed, 0, POSITION_DAYS[1])),
+        "transaction_type": weighted(draw(key, 6, seed) % 100, TRANSACTION_TYPES, TRANSACTION_WEIGHTS),
+        "transaction_amount": _money(_scaled(cents, _per_region([r[3] for r in REGIONS]))),
+        "loan_id": _some_loan(key, 7, seed, loan_rows),
+        "baseline": F.lit(f"transaction_{stamp}"),
+        "amount_bucket": F.col("_bucket"),
+    })
+    df = df.withColumns({"start_date": F.col("transaction_date"), "end_date": F.col("transaction_date")})
+    return _finish(df, "transactions")
+
+
+def _share_of(total: int, least: int, divisor: int) -> Column:
+    """Per region: ``max(least, rows // divisor)``."""
+    return _per_region([max(least, s // divisor) for s in even_split(total)])
+
+
+def intraday(
+    positions: DataFrame, total: int, seed: int = SEED, stamp: str = "20260630",
+    loan_rows: int | None = None, day: str = "2026-06-30",
+) -> DataFrame:
+    """Dormant, negative and extreme rows are disjoint and exact in number."""
+    key, seed = F.col("pos"), seed + 3
+    loan_rows = loan_rows or max(total, spec_for("loans").default_rows)
+    df = _with_region(positions, total)
+    dormant, negative = _share_of(total, 10, 50), _share_of(total, 8, 66)
+    extreme = _share_of(total, 6, 80)
+    rank = F.col("_rank")
+    df = df.withColumns({
+        "_rank": shuffled(F.col("_rpos"), F.col("_size"), F.col("_step"), OFFSET),
+        "_bucket": weighted(draw(key, 1, seed) % 100, BUCKETS, BUCKET_WEIGHTS),
+    }).withColumn(
+        "_class",
+        F.when(rank < dormant, "dormant").when(rank < dormant + negative, "negative")
+        .when(rank < dormant + negative + extreme, "extreme").otherwise("usual"),
+    )
+
+    def flow(purpose: int, multiplier: int) -> Column:
+        cents = between(key, purpose, seed, _bucket_bound(0), _bucket_bound(1))
+        cents = _scaled(cents, _per_region([r[multiplier] for r in REGIONS]))
+        large = _scaled(cents, between(key, purpose + 10, seed, 200, 400))
+        return (
+            F.when(F.col("_class") == "dormant", F.lit(0).cast("bigint"))
+            .when(F.col("_class") == "extreme", large).otherwise(cents)
+        )
+
+    df = df.withColumns({"_in": flow(2, 3), "_out": flow(3, 5)})
+    gap = F.abs(F.col("_in") - F.col("_out"))
+    some = F.when(gap != 0, gap).otherwise(between(key, 9, seed, 100_000, 1_000_000))
+    is_negative = F.col("_class") == "negative"
+    df = df.withColumn("_out", F.when(is_negative, F.col("_in") + some).otherwise(F.col("_out")))
+    second = between(key, 4, seed, 0, 86_399)
+    today = F.lit(day).cast("date")
+    df = df.withColumns({
+        "intraday_id": F.format_string("INTRA_%08d", key + 1),
+        **_person(between(key, 5, seed, 1, INTRADAY_CUSTOMERS), INTRADAY_BRANCHES),
+        "loan_id": _some_loan(key, 7, seed, loan_rows),
+        "as_of_timestamp": F.timestamp_add("SECOND", second, today.cast("timestamp")),
+        "inflow_amount": _money(F.col("_in")),
+        "outflow_amount": _money(F.col("_out")),
+        "net_position": _money(F.col("_in") - F.col("_out")),
+        "start_date": today,
+        "end_date": today,
+        "baseline": F.lit(f"intraday_{stamp}"),
+    })
+    return _finish(df, "intraday")
+
+
+def fx_rates(
+    positions: DataFrame, total: int, seed: int = SEED, stamp: str = "20260630",
+    day: str = "2026-06-30",
+) -> DataFrame:
+    """Normal noise of 1.5 % around the region's rate, with shocks up and down."""
+    key, seed = F.col("pos"), seed + 4
+    df = _with_region(positions, total).withColumn(
+        "_rank", shuffled(F.col("_rpos"), F.col("_size"), F.col("_step"), OFFSET))
+    shocks = _share_of(total, 4, 100)
+    level = _per_region([r[2] for r in REGIONS])
+    factor = (
+        F.when(F.col("_rank") < shocks, between(key, 3, seed, 10_300, 11_000) / F.lit(10000.0))
+        .when(F.col("_rank") < shocks * 2, between(key, 3, seed, 9_000, 9_700) / F.lit(10000.0))
+        .otherwise(F.lit(1.0) + normal(key, 1, seed) * F.lit(0.015))
+    )
+    second = between(key, 4, seed, 0, 86_399)
+    df = df.withColumn("fx_rate_to_usd", F.round(level * factor, 6))
+    df = df.withColumns({
+        "fx_rate_id": _code("FX", 6, F.col("_rpos") + 1),
+        "fx_rate_from_usd": F.round(F.lit(1.0) / F.nullif(F.col("fx_rate_to_usd"), F.lit(0.0)), 6),
+        "as_of_timestamp": F.timestamp_add("SECOND", second, F.lit(day).cast("timestamp")),
+        "start_date": F.lit(SCENARIO_START),
+        "end_date": F.lit(SCENARIO_END),
+        "baseline": F.lit(f"fx_rates_{stamp}"),
+    })
+    return _finish(df, "fx_rates")
+
+
+GENERATORS = {
+    "loans": loans, "cash": cash, "transactions": transactions, "intraday": intraday,
+    "fx_rates": fx_rates,
+}
+
+
+def generate(spark: SparkSession, table: str, rows: int | None = None, **options) -> DataFrame:
+    """A synthetic table by name, with the registry's number of rows by default."""
+    spec = spec_for(table)
+    if spec.name == "scenario":
+        return scenario_table(spark)
+    rows = rows or spec.default_rows
+    return GENERATORS[spec.name](spine(spark, rows), rows, **options)

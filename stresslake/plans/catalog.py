@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stresslake.operators import aggregates as agg
-from stresslake.operators import cleaning, fx, kpi, quality, scenario, validate
+from stresslake.operators import cleaning, fx, kpi, quality, scenario, synth, validate
 from stresslake.plans import domains, medallion
 from stresslake.plans import oracle as sql
 from stresslake.sources import readers, writers
@@ -463,9 +463,10 @@ def kpi_region_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("kpi_daily_trend", sql.KPI_TREND)
 def kpi_daily_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = domains.domain(spark, sf_dir, "intraday")
-    daily = agg.stress_totals(
-        rows, "intraday", EXACT_RATES, scenario.DECIMAL_SET, ("region_code", "as_of_timestamp_date")
+    day = "as_of_timestamp_date"
+    sums = domains.regional_sums(spark, sf_dir, "intraday", (day,))
+    daily = agg.stress_sums(
+        sums, "intraday", EXACT_RATES, scenario.DECIMAL_SET, ("region_code", day)
     )
     trend = kpi.daily_trend(daily, "intraday")
     values = ["daily_total", "previous_total", "change", "running_total"]
@@ -492,6 +493,32 @@ def kpi_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.select("scenario_id", "region_code", money("total_stressed_liquidity"), "n")
 
 
+# --- synthetic tables -----------------------------------------------------------
+# One made row per row of a given table, whose key serves as the row position.
+
+_SPINES = {
+    "loans": ("part", "p_partkey"),
+    "cash": ("customer", "c_custkey"),
+    "transactions": ("orders", "o_orderkey"),
+    "intraday": ("events", "event_id"),
+    "fx_rates": ("supplier", "s_suppkey"),
+}
+
+
+def _register_synthetic(name: str, source: str, key: str) -> None:
+    @register(f"synth_{name}", sql.synthetic(name, source, key))
+    def made(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = domains.table(spark, sf_dir, source)
+        total = rows.count()
+        out = synth.GENERATORS[name](rows.select(F.col(key).alias("pos")), total)
+        stamps = [c for c, kind in SPECS[name].columns.items() if kind in ("date", "datetime")]
+        return out.withColumns({c: F.col(c).cast("string") for c in stamps})
+
+
+for _name, (_source, _key) in _SPINES.items():
+    _register_synthetic(_name, _source, _key)
+
+
 # --- layered runs ---------------------------------------------------------------
 # Intermediate tables go to the session's shared checkpoint folder.
 

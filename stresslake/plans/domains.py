@@ -144,8 +144,10 @@ def domain(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     )
 
 
-def regional_sums(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Raw amount and row count per region and currency.
+def regional_sums(
+    spark: SparkSession, sf_dir: str, name: str, by: tuple[str, ...] = ()
+) -> DataFrame:
+    """Raw amount and row count per region, currency and the columns in ``by``.
 
     Rows are summed per join key before the key is looked up. A key that holds a
     large part of the table is folded on the map side, and the join then sees it
@@ -154,12 +156,12 @@ def regional_sums(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     amount = F.col(SPECS[name].measure.source.removesuffix("_usd"))
     sums = [F.sum(amount).alias("_sum"), F.count(F.lit(1)).alias("_rows")]
     if name == "cash":
-        return cash(spark, sf_dir).groupBy("region_code", "currency_code").agg(*sums)
+        return cash(spark, sf_dir).groupBy("region_code", "currency_code", *by).agg(*sums)
     rows, key, places, place_key = _PLACED[name]
-    per_key = rows(spark, sf_dir).groupBy(key).agg(*sums)
+    per_key = rows(spark, sf_dir).groupBy(key, *by).agg(*sums)
     return (
         per_key.join(places(spark, sf_dir), F.col(key) == F.col(place_key))
-        .groupBy("region_code", "currency_code")
+        .groupBy("region_code", "currency_code", *by)
         .agg(F.sum("_sum").alias("_sum"), F.sum("_rows").alias("_rows"))
     )
 

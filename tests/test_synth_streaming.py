@@ -1,0 +1,68 @@
+import pytest
+from pyspark.sql import functions as F
+
+from stresslake.functions.draws import STEPS, draw, shuffled, step_for
+from stresslake.operators import quality, synth
+from stresslake.sources import readers, writers
+from stresslake.specs import SPECS, Layout
+from stresslake.streaming.landing import stream_to_bronze
+
+
+def test_rows_split_evenly():
+    assert synth.even_split(10) == [3, 3, 2, 2] and synth.even_split(4000) == [1000] * 4
+
+
+@pytest.mark.parametrize("size", [1, 7, 1800, STEPS[0], 5 * STEPS[0]])
+def test_steps_are_coprime(size):
+    assert size == 1 or size % step_for(size)
+
+
+def test_shuffle_visits_every_position_once(spark):
+    df = spark.range(1800).select(
+        shuffled(F.col("id"), F.lit(1800), F.lit(step_for(1800)), 17).alias("p"))
+    assert df.distinct().count() == 1800 and df.agg(F.min("p"), F.max("p")).first()[:] == (0, 1799)
+
+
+def test_draws_spread_and_do_not_depend_on_partitions(spark):
+    u = spark.range(0, 20000, 1, 8).select("id", draw(F.col("id"), 1, 42).alias("x"))
+    other = spark.range(0, 20000, 1, 3).select("id", draw(F.col("id"), 1, 42).alias("x"))
+    assert u.exceptAll(other).count() == 0
+    tenths = [r[0] for r in u.groupBy(F.floor(F.col("x") / 214748365)).count().select("count").collect()]
+    assert len(tenths) == 10 and min(tenths) > 1800 and max(tenths) < 2200
+
+
+@pytest.mark.parametrize("name", list(synth.GENERATORS))
+def test_generated_tables_pass_the_profile(spark, name):
+    df = synth.generate(spark, name, 400)
+    assert df.schema.simpleString() == SPECS[name].schema.simpleString()
+    report = quality.quality_report(df, name, expected_rows=400, as_of="2026-07-01").first()
+    assert report["passed_checks"] == 9
+
+
+def test_references_and_classes(spark):
+    loans = synth.generate(spark, "loans", 5000)
+    txn = synth.generate(spark, "transactions", 2000, loan_rows=5000)
+    assert txn.join(loans, ["loan_id", "region_code"], "left_anti").count() == 0
+    assert loans.where("outstanding_balance > loan_amount").count() == 0
+    moves = synth.generate(spark, "intraday", 4000)
+    zero = moves.where("inflow_amount = 0 AND outflow_amount = 0").groupBy("region_code").count()
+    assert {r["count"] for r in zero.collect()} == {20}
+    assert moves.where("round(inflow_amount - outflow_amount, 2) <> net_position").count() == 0
+    assert synth.generate(spark, "scenario").count() == 5
+
+
+def test_loans_grow_beyond_the_master(spark):
+    loans = synth.generate(spark, "loans", 20_000)
+    assert loans.select("loan_id").distinct().count() == 20_000
+
+
+def test_stream_takes_each_file_once(spark, tmp_path):
+    layout = Layout(str(tmp_path), undated=("cash",))
+    for stamp, rows in (("20260601", 8), ("20260602", 12)):
+        writers.write_csv_drop(synth.generate(spark, "cash", rows), layout.raw("cash"), "cash", stamp)
+        stream_to_bronze(spark, layout, "cash").awaitTermination()
+    bronze = readers.read_table(spark, layout.bronze("cash"))
+    assert bronze.count() == 20
+    assert bronze.schema["opening_balance"].dataType.typeName() == "double"
+    stream_to_bronze(spark, layout, "cash").awaitTermination()
+    assert readers.read_table(spark, layout.bronze("cash")).count() == 20
