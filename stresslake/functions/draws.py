@@ -1,4 +1,4 @@
-"""Repeatable random draws as integer column arithmetic.
+"""Repeatable random draws as column expressions.
 
 A draw depends on the row's key, a purpose number and the seed only, never on how
 rows are partitioned, so lost tasks can be recomputed and engines agree.
@@ -11,7 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-PRIME = 2_147_483_647
+# Draws are whole numbers below this.
+SIZE = 2**31
 # Multipliers of the position shuffle; at least one is coprime to any size met here.
 STEPS = (1_000_003, 999_983, 999_979)
 
@@ -21,23 +22,25 @@ def idiv(a: Column, b: Column | int) -> Column:
 
 
 def draw(key: Column, purpose: int, seed: int) -> Column:
-    """Whole number in [0, PRIME): two rounds of squaring modulo a prime."""
-    x = (F.pmod(key.cast("bigint"), F.lit(PRIME).cast("bigint")) * 48271 + (seed * 7919 + purpose * 104729)) % PRIME
-    for step in (16807, 69621):
-        x = (x * x + x * step + (purpose + 1)) % PRIME
-    return x
+    """Whole number in [0, SIZE) from the MD5 of key, purpose and seed.
+
+    The key is used once, so that nested expressions stay small when the optimizer
+    merges projections and pushes filters into them.
+    """
+    text = F.concat(key.cast("string"), F.lit(f":{purpose}:{seed}"))
+    return idiv(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint"), 2)
 
 
 def between(key: Column, purpose: int, seed: int, low: Column | int, high: Column | int) -> Column:
     """Uniform whole number in [low, high]; the span may be up to 4.2e9."""
     low = low if isinstance(low, Column) else F.lit(low).cast("bigint")
     high = high if isinstance(high, Column) else F.lit(high).cast("bigint")
-    return low + idiv(draw(key, purpose, seed) * (high - low + 1), PRIME)
+    return low + idiv(draw(key, purpose, seed) * (high - low + 1), SIZE)
 
 
 def unit(key: Column, purpose: int, seed: int) -> Column:
     """Uniform double in (0, 1)."""
-    return (draw(key, purpose, seed) + 0.5) / float(PRIME)
+    return (draw(key, purpose, seed) + 0.5) / float(SIZE)
 
 
 def normal(key: Column, purpose: int, seed: int) -> Column:

@@ -598,18 +598,15 @@ FROM {_expanded("cash")}
 WHERE scenario_id IN (1, 5) AND region_code IN ('ASIA', 'EUROPE') GROUP BY scenario_id, region_code"""
 
 # --- synthetic tables -----------------------------------------------------------
-# The integer draws written out for the other engine. ``n`` is the number of rows,
+# The draws written out for the other engine. ``n`` is the number of rows,
 # ``g`` the region number, ``r`` the position within the region, ``m`` its size.
 
-_P = 2_147_483_647
+_P = 2**31
 _SEED = 42
 
 
 def _draw(purpose: int, seed: int) -> str:
-    x = f"(((pos % {_P}) * 48271 + {seed * 7919 + purpose * 104729}) % {_P})"
-    for step in (16807, 69621):
-        x = f"(({x} * {x} + {x} * {step} + {purpose + 1}) % {_P})"
-    return x
+    return f"(CAST('0x' || substr(md5(pos || ':{purpose}:{seed}'), 1, 8) AS BIGINT) // 2)"
 
 
 def _between(purpose: int, seed: int, low: object, high: object) -> str:

@@ -27,8 +27,15 @@ def test_draws_spread_and_do_not_depend_on_partitions(spark):
     u = spark.range(0, 20000, 1, 8).select("id", draw(F.col("id"), 1, 42).alias("x"))
     other = spark.range(0, 20000, 1, 3).select("id", draw(F.col("id"), 1, 42).alias("x"))
     assert u.exceptAll(other).count() == 0
-    tenths = [r[0] for r in u.groupBy(F.floor(F.col("x") / 214748365)).count().select("count").collect()]
-    assert len(tenths) == 10 and min(tenths) > 1800 and max(tenths) < 2200
+    tenth = F.floor(F.col("x") / 214748365)
+    counts = [r[0] for r in u.groupBy(tenth).count().select("count").collect()]
+    assert len(counts) == 10 and min(counts) > 1800 and max(counts) < 2200
+    pairs = spark.range(20000).select(*[
+        draw(F.col("id") + shift, purpose, 42).alias(name)
+        for name, shift, purpose in (("a", 0, 1), ("b", 0, 2), ("c", 1, 1))
+    ])
+    ab, ac = pairs.select(F.corr("a", "b"), F.corr("a", "c")).first()
+    assert abs(ab) < 0.03 and abs(ac) < 0.03
 
 
 @pytest.mark.parametrize("name", list(synth.GENERATORS))
