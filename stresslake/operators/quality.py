@@ -83,33 +83,46 @@ def worst_null_column(df: DataFrame) -> DataFrame:
     )
 
 
-def surplus_rows(df: DataFrame, *columns: str) -> DataFrame:
-    """Rows beyond the first of each group of equal values (NULLs are equal).
+def _row_groups(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Groups of equal values (NULLs are equal) with their size ``_n``.
 
     Groups are counted before the exchange, so copies travel as one row per task.
     """
-    groups = df.groupBy(*(columns or [f"`{c}`" for c in df.columns])).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
+    return df.groupBy(*[_ref(c) for c in columns]).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def _surplus(groups: DataFrame) -> DataFrame:
     return groups.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"),
         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("surplus_rows"),
     )
 
 
+def surplus_rows(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows beyond the first of each group of equal values in ``columns`` (default all)."""
+    return _surplus(_row_groups(df, list(columns) or df.columns))
+
+
 def duplicate_metrics(df: DataFrame, table: str | TableSpec, key: tuple[str, ...] = ()) -> DataFrame:
-    """Surplus rows, their percentage, and surplus rows by primary key."""
+    """Surplus rows, their percentage, and surplus rows by primary key.
+
+    Keys are counted over the row groups rather than the rows: both counts start
+    from one exchange, and the table is read once.
+    """
     spec = spec_for(table)
     key = key or spec.key
     label = F.lit(spec.name).alias("table_name")
-    copies = surplus_rows(df).select(label, "total_rows", F.col("surplus_rows").alias("_copies"))
+    groups = _row_groups(df, df.columns)
     zero = F.lit(0).cast("bigint")
-    parts = copies.withColumn("_keys", zero)
+    parts = _surplus(groups).select(
+        label, "total_rows", F.col("surplus_rows").alias("_copies"), zero.alias("_keys")
+    )
     if not missing_columns(df, key):
-        by_key = surplus_rows(df, *key).select(
-            label, zero.alias("total_rows"), zero.alias("_copies"), F.col("surplus_rows").alias("_keys")
-        )
-        parts = parts.unionByName(by_key)
+        by_key = groups.groupBy(*[_ref(c) for c in key]).agg(F.sum("_n").alias("_n"))
+        parts = parts.unionByName(_surplus(by_key).select(
+            label, zero.alias("total_rows"), zero.alias("_copies"),
+            F.col("surplus_rows").alias("_keys"),
+        ))
     return (
         parts.groupBy("table_name")
         .agg(*[F.sum(c).alias(c) for c in ("total_rows", "_copies", "_keys")])
