@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,3 +98,12 @@ def exact_product(left: Column, left_type: T.DataType, right: Column, right_type
     if isinstance(left_type, T.DecimalType) and isinstance(right_type, T.DecimalType):
         left = left.cast(T.DecimalType(37 - right_type.precision, left_type.scale))
     return left * right
+
+
+def literal_frame(spark: SparkSession, rows: Column) -> DataFrame:
+    """A small frame from a literal array of structs.
+
+    It stays an expression of the plan, with a size the optimizer can see, where a
+    frame made from local objects would be an opaque input.
+    """
+    return spark.range(0, 1, 1, 1).select(F.inline(rows))

@@ -13,7 +13,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stresslake.functions.columns import one_of_type
+from stresslake.functions.columns import literal_frame, one_of_type
 from stresslake.operators.cleaning import (
     default_column, dedup_rows, ensure_date, normalize_names, require_columns,
 )
@@ -54,7 +54,7 @@ def rates_frame(
         )
         for code, rate in rates.items()
     ]).cast(f"array<struct<{CURRENCY}:string,{RATE}:{rate_type}>>")
-    return spark.range(0, 1, 1, 1).select(F.inline(literal))
+    return literal_frame(spark, literal)
 
 
 def resolve_rates(

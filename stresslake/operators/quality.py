@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stresslake.functions.columns import (
-    FRACTION, MIDNIGHT, WHOLE, WORDS, as_number, as_timestamp, percent, text_kind, total,
+    FRACTION, MIDNIGHT, WHOLE, WORDS, as_number, as_timestamp, literal_frame, percent, text_kind,
+    total,
 )
 from stresslake.operators.cleaning import missing_columns, run_date
 from stresslake.operators.validate import null_counts
@@ -162,7 +163,7 @@ def _column_list(df: DataFrame, expected: dict[str, str]) -> DataFrame:
         )
         for i, c in enumerate(names)
     ]
-    return df.sparkSession.range(0, 1, 1, 1).select(F.inline(F.array(*rows)))
+    return literal_frame(df.sparkSession, F.array(*rows))
 
 
 def describe_columns(df: DataFrame, expected: dict[str, str] | None = None) -> DataFrame:

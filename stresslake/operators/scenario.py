@@ -8,7 +8,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stresslake.functions.columns import stress_level
+from stresslake.functions.columns import literal_frame, stress_level
 from stresslake.operators.cleaning import default_date, require_columns
 from stresslake.specs import (
     FACTOR, SCENARIO, SCENARIO_END, SCENARIO_START, SCENARIOS, TableSpec, spec_for,
@@ -26,11 +26,15 @@ DECIMAL_SET: ScenarioSet = (DEFAULT_SET[0], "decimal(6,2)")
 
 def scenario_table(spark: SparkSession) -> DataFrame:
     """The built-in scenario table in the registry schema."""
-    columns = spec_for("scenario").columns
-    rows = [(*map(str, row), SCENARIO_START, SCENARIO_END) for row in SCENARIOS]
-    text = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns))
     schema = spec_for("scenario").schema
-    return text.select([F.col(f.name).cast(f.dataType) for f in schema])
+    rows = [
+        F.struct(*[
+            F.lit(str(value)).cast(f.dataType).alias(f.name)
+            for value, f in zip((*row, SCENARIO_START, SCENARIO_END), schema, strict=True)
+        ])
+        for row in SCENARIOS
+    ]
+    return literal_frame(spark, F.array(*rows))
 
 
 def scenario_set(scenarios: DataFrame, limit: int | None = DEFAULT_LIMIT) -> ScenarioSet:
