@@ -371,6 +371,13 @@ def first_filled_columns(df: DataFrame, max_columns: int = MAX_STAT_COLUMNS) ->
     return found
 
 
+def _fits_exactly(dtype: T.DataType) -> bool:
+    """Whether values fit decimal(28,8), in which means are summed without rounding."""
+    if isinstance(dtype, T.DecimalType):
+        return dtype.scale <= 8 and dtype.precision - dtype.scale <= 20
+    return isinstance(dtype, T.IntegralType)
+
+
 _SUMMARY_FIELDS = ("distinct_count", "filled", "not_numeric", "lo", "hi", "weighted", "top")
 
 
@@ -396,7 +403,7 @@ def column_statistics(
 
     def summary(name: str) -> list[Column]:
         here = F.col("column_name") == name
-        if isinstance(df.schema[name].dataType, (T.IntegralType, T.DecimalType)):
+        if _fits_exactly(df.schema[name].dataType):
             weighted = F.col("v").try_cast("decimal(28,8)") * n.cast("decimal(18,0)")
         else:
             weighted = number * n

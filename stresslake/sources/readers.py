@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stresslake.functions.columns import as_date, as_number, as_timestamp
-from stresslake.specs import TableSpec, spec_for
+from stresslake.specs import REGION, TableSpec, spec_for
 
 # Text that a typed CSV reader takes as "no value".
 NULL_WORDS = (
@@ -28,9 +28,19 @@ def table_format(spark: SparkSession) -> str:
 def read_table(
     spark: SparkSession, path: str, fmt: str | None = None, schema: T.StructType | str | None = None
 ) -> DataFrame:
-    """A layer table. Pass ``schema`` to keep partition column types as written."""
+    """A layer table.
+
+    Types of partition columns are guessed from directory names, which would turn a
+    region ``01`` into a number. Regions are therefore always read as text.
+    """
     reader = spark.read.format(fmt or table_format(spark))
-    return (reader if schema is None else reader.schema(schema)).load(path)
+    if schema is not None:
+        return reader.schema(schema).load(path)
+    df = reader.load(path)
+    if REGION not in df.columns or df.schema[REGION].dataType == T.StringType():
+        return df
+    kept = [T.StructField(REGION, T.StringType()) if f.name == REGION else f for f in df.schema]
+    return reader.schema(T.StructType(kept)).load(path)
 
 
 def read_if_exists(

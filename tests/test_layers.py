@@ -64,6 +64,13 @@ def test_rewrite_of_a_base_table_keeps_its_aggregates(spark, tmp_path):
     assert readers.read_table(spark, layout.gold("cash")).count() == 1
 
 
+def test_numeric_looking_regions_stay_text(spark, tmp_path):
+    rows = spark.sql("SELECT '01' AS region_code, DATE'2024-01-01' AS business_date, 1 AS v")
+    writers.write_partitioned(rows, str(tmp_path / "t"), ["region_code", "business_date"])
+    back = readers.read_table(spark, str(tmp_path / "t"))
+    assert tuple(back.select("region_code", "business_date", "v").first()) == ("01", dt.date(2024, 1, 1), 1)
+
+
 def raw_rows(spark, name, n):
     """``n`` rows in the registry schema, two regions and three days."""
     made = {"string": F.concat(F.lit("v"), F.col("id")), "float": F.col("id") * 1.0 + 10,

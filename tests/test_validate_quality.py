@@ -112,6 +112,11 @@ def test_statistics_skip_empty_columns_and_break_ties(spark):
     assert got["d"]["distinct_count"] == 1
 
 
+def test_mean_of_wide_decimals(spark):
+    df = spark.sql("SELECT CAST(v AS DECIMAL(38,0)) AS w FROM VALUES ('1000000000000000000000000'), ('3000000000000000000000000') AS t(v)")
+    assert quality.column_statistics(df).first()["mean_value"] == pytest.approx(2e24)
+
+
 def test_report_of_a_clean_and_an_empty_table(spark):
     from stresslake.operators.scenario import scenario_table
     report = quality.quality_report(scenario_table(spark), "scenario", expected_rows=5).first()
