@@ -47,3 +47,10 @@ def test_hot_key_results_are_whole(spark, skewed, name):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_geography_beyond_the_bound_is_joined(spark, sf_dir, monkeypatch):
+    wanted = sorted(map(tuple, domains.customers(spark, sf_dir).collect()))
+    monkeypatch.setattr(domains, "MAX_NATIONS", 3)
+    monkeypatch.setattr(domains, "_REGIONS", {})
+    assert sorted(map(tuple, domains.customers(spark, sf_dir).collect())) == wanted
