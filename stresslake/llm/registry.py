@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stresslake.llm.secrets import op9_secrets
 from stresslake.llm.simhash import op3_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
+    "op9_secrets": op9_secrets,
 }
 ORACLE: dict[str, str] = {}
