@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stresslake.llm.mixing import OP1_SQL, op1_mixing
 from stresslake.llm.secrets import op9_secrets
 from stresslake.llm.simhash import op3_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
     "op3_simhash": op3_simhash,
     "op9_secrets": op9_secrets,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op1_mixing": OP1_SQL}
