@@ -62,10 +62,13 @@ def _pieces(text: Column, pattern: str, anchor: Column) -> Column:
     """Gaps and matches in order: what precedes each match, and the match.
 
     Both lists come from one pattern, ``gap + match``, so they have equal length.
-    Texts without the anchor are not searched.
+    ``\\G`` ties each search to the end of the one before; without it the text after
+    the last match would be searched again from each of its characters. Texts without
+    the anchor are not searched.
     """
-    whole = F.regexp_extract_all(text, F.lit(f"(?s)(.*?)({pattern})"), F.lit(1))
-    match = F.regexp_extract_all(text, F.lit(f"(?s)(.*?)({pattern})"), F.lit(2))
+    tied = F.lit(rf"\G(?s)(.*?)({pattern})")
+    whole = F.regexp_extract_all(text, tied, F.lit(1))
+    match = F.regexp_extract_all(text, tied, F.lit(2))
     empty = F.array().cast("array<string>")
     return F.when(anchor, F.arrays_zip(whole.alias("gap"), match.alias("match"))).otherwise(
         F.arrays_zip(empty.alias("gap"), empty.alias("match"))
