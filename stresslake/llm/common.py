@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -16,6 +17,18 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def share_code(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    It adds to the workers' path. Clusters whose machines lack that folder ship the
+    package as usual (``--py-files``).
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder of the session; an own temporary one only where none is named."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")

@@ -6,13 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stresslake.llm.common import share_code
 from stresslake.llm.mixing import OP1_SQL, op1_mixing
+from stresslake.llm.pieces import op7_pieces
 from stresslake.llm.secrets import op9_secrets
 from stresslake.llm.simhash import op3_simhash
+from stresslake.llm.toxicity import op2_toxicity
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_mixing": op1_mixing,
-    "op3_simhash": op3_simhash,
-    "op9_secrets": op9_secrets,
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _ready(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        share_code(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES: dict[str, Query] = {
+    query.__name__: _ready(query)
+    for query in (op1_mixing, op2_toxicity, op3_simhash, op7_pieces, op9_secrets)
 }
 ORACLE: dict[str, str] = {"op1_mixing": OP1_SQL}
