@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stresslake.llm.common import share_code
+from stresslake.llm.embedding_dedup import op10_embedding_dedup
+from stresslake.llm.knn import OP5_SQL, op5_topk
+from stresslake.llm.language import op6_language
+from stresslake.llm.licenses import op8_licenses
 from stresslake.llm.mixing import OP1_SQL, op1_mixing
 from stresslake.llm.pieces import op7_pieces
 from stresslake.llm.secrets import op9_secrets
 from stresslake.llm.simhash import op3_simhash
+from stresslake.llm.tokens import op4_token_counts
 from stresslake.llm.toxicity import op2_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +31,9 @@ def _ready(query: Query) -> Query:
 
 QUERIES: dict[str, Query] = {
     query.__name__: _ready(query)
-    for query in (op1_mixing, op2_toxicity, op3_simhash, op7_pieces, op9_secrets)
+    for query in (
+        op1_mixing, op2_toxicity, op3_simhash, op4_token_counts, op5_topk, op6_language,
+        op7_pieces, op8_licenses, op9_secrets, op10_embedding_dedup,
+    )
 }
-ORACLE: dict[str, str] = {"op1_mixing": OP1_SQL}
+ORACLE: dict[str, str] = {"op1_mixing": OP1_SQL, "op5_topk": OP5_SQL}
