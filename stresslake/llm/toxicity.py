@@ -30,12 +30,14 @@ from stresslake.llm.common import held_out, materialize, read
 
 MAX_POSITIVE = 2_000
 MAX_UNLABELLED = 6_000
-MAX_CANDIDATES = 4_000
+MAX_CANDIDATES = 30_000
 MAX_FEATURES = 1_500
 # A feature stands in this many toxic texts at least, and one more for each 200 of them.
 MIN_DOCUMENTS = 3
 # Log-likelihood ratio against equal frequency in both samples.
 MIN_EVIDENCE = 8.0
+# The more features are tried, the more stand out by chance: a share of ln(candidates).
+EVIDENCE_PER_LOG = 1.2
 STEMS = (4, 5, 6)
 CLASSIFIERS = 3
 STEPS = 200
@@ -149,8 +151,8 @@ def _feature_lists(texts: DataFrame) -> DataFrame:
     return texts.select(extract("text").alias("features"))
 
 
-def _matrix(texts: DataFrame, vocabulary: dict[str, int]) -> np.ndarray:
-    """Presence of each feature per document; documents and features are both bounded."""
+def _listed(texts: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
+    """``at``: numbers of the features that each text has."""
 
     @F.pandas_udf("array<int>")
     def index(column: pd.Series) -> pd.Series:
@@ -158,7 +160,12 @@ def _matrix(texts: DataFrame, vocabulary: dict[str, int]) -> np.ndarray:
             sorted(vocabulary[f] for f in features(t) if f in vocabulary) for t in column
         ])
 
-    rows = texts.select(index("text").alias("at")).collect()
+    return texts.select(index("text").alias("at"))
+
+
+def _matrix(texts: DataFrame, vocabulary: dict[str, int]) -> np.ndarray:
+    """Presence of each feature per document; documents and features are both bounded."""
+    rows = _listed(texts, vocabulary).collect()
     out = np.zeros((len(rows), len(vocabulary)), np.float32)
     for i, r in enumerate(rows):
         out[i, r["at"]] = 1
@@ -200,23 +207,24 @@ def train(
     if not candidates:
         return None
     vocabulary = {r["f"]: i for i, r in enumerate(candidates)}
-
     in_pos = np.array([r["count"] for r in candidates], float)
     in_unl = np.zeros(len(candidates))
-    x_unl = _matrix(unlabelled, vocabulary)
-    in_unl = x_unl.sum(0)
+    listed = _listed(unlabelled, vocabulary).select(F.explode("at").alias("f"))
+    for r in listed.groupBy("f").count().collect():
+        in_unl[r["f"]] = r["count"]
     p, q = (in_pos + 0.5) / (n_pos + 1), (in_unl + 0.5) / (n_unl + 1)
     # U holds toxic texts too, so a mark of toxicity is at most 1 / prior times as
     # frequent in P. Features must be frequent enough to tell that from chance.
     evidence = 2 * (in_pos * np.log(p / q) - n_pos * (p - q))
+    least_evidence = max(MIN_EVIDENCE, EVIDENCE_PER_LOG * np.log(len(candidates)))
     order = np.argsort(-evidence, kind="stable")
-    chosen = [i for i in order if p[i] > 3 * q[i] and evidence[i] > MIN_EVIDENCE][:max_features]
+    chosen = [i for i in order if p[i] > 3 * q[i] and evidence[i] > least_evidence][:max_features]
     if not chosen:
         return None
     names = {candidates[i]["f"]: k for k, i in enumerate(chosen)}
     # Frequent features get larger values, so the fit leans on them first.
     scale = np.sqrt(p[chosen] / p[chosen].max()).astype(np.float32)
-    x_pos, x_unl = _matrix(positive, names) * scale, x_unl[:, chosen] * scale
+    x_pos, x_unl = _matrix(positive, names) * scale, _matrix(unlabelled, names) * scale
     fits = [fit_nnpu(x_pos, x_unl, prior, seed) for seed in range(CLASSIFIERS)]
     weights = np.array([w for w, _ in fits]) * scale
     return ToxicityModel(names, weights, np.array([b for _, b in fits]))
