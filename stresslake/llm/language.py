@@ -17,7 +17,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -198,9 +198,16 @@ def train(docs: DataFrame, max_documents: int = MAX_DOCUMENTS) -> PPMModel:
 def predict_columns(model: PPMModel, text: Column) -> Column:
     """A struct of ``lang_pred`` and ``score`` for each whole text."""
 
-    @F.pandas_udf("lang_pred string, score double")
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([model.predict(t) for t in texts], columns=["lang_pred", "score"])
+    @F.arrow_udf("lang_pred string, score double")
+    def predict(texts: pa.Array) -> pa.Array:
+        names, scores = [], []
+        for text in texts:
+            name, score = model.predict(text.as_py())
+            names.append(name)
+            scores.append(score)
+        return pa.StructArray.from_arrays(
+            [pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"]
+        )
 
     return predict(text)
 

@@ -280,7 +280,7 @@ def _run_in_tasks(docs: DataFrame, row, schema: str, model_path: str, column: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(PieceModel.load(model.value))
         for batch in batches:
-            rows = [row(encoder, v) for v in batch.column(column).to_pylist()]
+            rows = [row(encoder, v.as_py()) for v in batch.column(column)]
             values = list(zip(*rows, strict=True)) if rows else [()] * len(added)
             arrays = [
                 pa.array(v, to_arrow[f.dataType.simpleString()])

@@ -19,7 +19,6 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -80,9 +79,9 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 def with_fingerprint(docs: DataFrame, text: str = "text", name: str = "simhash") -> DataFrame:
     """``docs`` with the SimHash of each whole text as a long. NULL counts as no words."""
 
-    @F.pandas_udf("long")
-    def simhash(texts: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint(t) for t in texts], dtype="int64")
+    @F.arrow_udf("long")
+    def simhash(texts: pa.Array) -> pa.Array:
+        return pa.array([fingerprint(t.as_py()) for t in texts], pa.int64())
 
     return docs.withColumn(name, simhash(F.col(text)))
 

@@ -21,7 +21,7 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -129,13 +129,15 @@ def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
     Copies of one text would make its rare words look typical of the class.
     """
 
-    @F.pandas_udf("a long, b long, c long")
-    def sketch(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([_sketch(t) for t in texts], columns=["a", "b", "c"])
+    @F.arrow_udf("array<long>")
+    def sketch(texts: pa.Array) -> pa.Array:
+        return pa.array([_sketch(t.as_py()) for t in texts], pa.list_(pa.int64()))
 
     found = docs.join(F.broadcast(ids), docs["doc_id"] == ids["id"], "left_semi")
     found = found.select("text").where("text IS NOT NULL")
-    found = materialize(found.withColumn("s", sketch("text")).select("text", "s.*"))
+    found = materialize(found.withColumn("s", sketch("text")).select(
+        "text", *[F.col("s")[i].alias(name) for i, name in enumerate("abc")]
+    ))
     # The smallest text of a group is taken, so that reruns agree.
     for name in "abc":
         least = F.min(F.struct("text", "a", "b", "c")).alias("r")
@@ -144,9 +146,9 @@ def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def _feature_lists(texts: DataFrame) -> DataFrame:
-    @F.pandas_udf("array<string>")
-    def extract(column: pd.Series) -> pd.Series:
-        return pd.Series([sorted(features(t)) for t in column])
+    @F.arrow_udf("array<string>")
+    def extract(column: pa.Array) -> pa.Array:
+        return pa.array([sorted(features(t.as_py())) for t in column], pa.list_(pa.string()))
 
     return texts.select(extract("text").alias("features"))
 
@@ -154,11 +156,11 @@ def _feature_lists(texts: DataFrame) -> DataFrame:
 def _listed(texts: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
     """``at``: numbers of the features that each text has."""
 
-    @F.pandas_udf("array<int>")
-    def index(column: pd.Series) -> pd.Series:
-        return pd.Series([
-            sorted(vocabulary[f] for f in features(t) if f in vocabulary) for t in column
-        ])
+    @F.arrow_udf("array<int>")
+    def index(column: pa.Array) -> pa.Array:
+        return pa.array([
+            sorted(vocabulary[f] for f in features(t.as_py()) if f in vocabulary) for t in column
+        ], pa.list_(pa.int32()))
 
     return texts.select(index("text").alias("at"))
 
@@ -238,9 +240,9 @@ def score_column(model: ToxicityModel | None, text: Column) -> Column:
     if model is None:
         return F.lit(0.0)
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series([model.score(t) for t in texts], dtype="float64")
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array([model.score(t.as_py()) for t in texts], pa.float64())
 
     return score(text)
 
