@@ -6,6 +6,7 @@ from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stresslake.functions.columns import as_date, as_number
 from stresslake.specs import REGION, TableSpec, spec_for
@@ -60,8 +61,13 @@ def ensure_numeric(df: DataFrame, name: str, default: float = 0.0) -> DataFrame:
     """Double column without NULLs; bad text, NULL and a missing column give ``default``."""
     if name not in df.columns:
         return df.withColumn(name, F.lit(float(default)))
-    is_text = df.schema[name].dataType.typeName() == "string"
-    value = as_number(F.col(name)) if is_text else F.col(name).cast("double")
+    dtype = df.schema[name].dataType
+    if isinstance(dtype, T.NumericType):
+        value = F.col(name).cast("double")
+    elif isinstance(dtype, T.StringType):
+        value = as_number(F.col(name))
+    else:  # dates and the like hold no number
+        value = F.lit(None).cast("double")
     return df.withColumn(name, F.coalesce(value, F.lit(float(default))))
 
 

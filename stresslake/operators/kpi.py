@@ -95,9 +95,9 @@ def daily_trend(daily: DataFrame, table: str | TableSpec) -> DataFrame:
 
 
 def scenario_comparison(
-    totals: DataFrame, table: str | TableSpec, scenarios: Sequence[int] = (1, 2, 3, 4, 5)
+    totals: DataFrame, table: str | TableSpec, scenarios: Sequence[int]
 ) -> DataFrame:
-    """One row per region, one column per scenario."""
+    """One row per region, one column for each of the given scenarios."""
     measure = spec_for(table).measure
     wide = totals.groupBy(REGION).pivot(SCENARIO, list(scenarios)).agg(F.sum(measure.total))
     return wide.toDF(REGION, *[f"scenario_{s}" for s in scenarios])

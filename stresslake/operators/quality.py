@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +28,6 @@ from stresslake.operators.validate import null_counts
 from stresslake.specs import TableSpec, spec_for
 
 # Report limits, grades and texts.
-MAX_STAT_COLUMNS = 4
 GOOD, ATTENTION, POOR = "GOOD", "NEEDS ATTENTION", "POOR"
 GOOD_FROM, ATTENTION_FROM = 95.0, 85.0
 PROCEED = "Proceed to ingestion"
@@ -356,21 +356,6 @@ def format_validity(df: DataFrame, table: str | TableSpec) -> DataFrame:
 # --- column statistics ----------------------------------------------------------
 
 
-def first_filled_columns(df: DataFrame, max_columns: int = MAX_STAT_COLUMNS) -> list[str]:
-    """The first columns, in schema order, that hold any value.
-
-    Each probe stops at the first value it meets, so usually only a few row
-    groups are read rather than the table.
-    """
-    found: list[str] = []
-    for name in df.columns:
-        if len(found) == max_columns:
-            break
-        if df.select(_ref(name)).where(_ref(name).isNotNull()).head(1):
-            found.append(name)
-    return found
-
-
 def _fits_exactly(dtype: T.DataType) -> bool:
     """Whether values fit decimal(28,8), in which means are summed without rounding."""
     if isinstance(dtype, T.DecimalType):
@@ -378,43 +363,57 @@ def _fits_exactly(dtype: T.DataType) -> bool:
     return isinstance(dtype, T.IntegralType)
 
 
-_SUMMARY_FIELDS = ("distinct_count", "filled", "not_numeric", "lo", "hi", "weighted", "top")
+_SUMMARY_FIELDS = ("distinct_count", "spellings", "filled", "not_numeric", "lo", "hi", "weighted", "top")
 
 
 def column_statistics(
-    df: DataFrame, max_columns: int = MAX_STAT_COLUMNS, columns: list[str] | None = None
+    df: DataFrame, max_columns: int | None = None, columns: list[str] | None = None
 ) -> DataFrame:
     """Range, mean and distinct count of number columns; top value of the others.
 
-    The columns are stacked and grouped by value once: the counts per value give
-    distinct, extremes, mean and top value together. Equal values are folded on
-    the map side, so a frequent value does not gather anywhere. On a tie the
-    smaller text is the top value.
+    All columns that hold a value, in schema order, or the first ``max_columns`` of
+    them. An empty table gives an empty frame. The columns are stacked and grouped by
+    value once: the counts per value give distinct, extremes, mean and top value
+    together. Equal values are folded on the map side, so a frequent value does not
+    gather anywhere. Spellings of one number in a text column (``1``, ``01``) are one
+    value of a numeric column. On a tie the smaller text is the top value. Building
+    the frame runs no job.
     """
-    names = first_filled_columns(df, max_columns) if columns is None else columns
+    names = columns or df.columns
     text = df.select([_ref(c).cast("string").alias(c) for c in names])
-    values = (
+    typed = [c for c in names if isinstance(df.schema[c].dataType, T.NumericType)]
+    number = as_number(F.col("v"))
+    # The number itself groups texts; typed numbers have one spelling each.
+    spelt = F.when(~F.col("column_name").isin(*typed), F.col("number").cast("string"))
+    per_text = (
         text.unpivot([], [_ref(c) for c in names], "column_name", "v")
         .where(F.col("v").isNotNull())
         .groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("number", as_number(F.col("v")))
+        .withColumn("number", number)
+        .withColumn("value", F.coalesce(spelt, F.col("v")))
+    )
+    top = F.min(F.struct((-F.col("n")).alias("k"), F.col("v").alias("v")))
+    values = per_text.groupBy("column_name", "value").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("spellings"), F.first("number").alias("number"),
+        top.alias("top"),
     )
     n, number = F.col("n"), F.col("number")
 
     def summary(name: str) -> list[Column]:
         here = F.col("column_name") == name
         if _fits_exactly(df.schema[name].dataType):
-            weighted = F.col("v").try_cast("decimal(28,8)") * n.cast("decimal(18,0)")
+            weighted = F.col("value").try_cast("decimal(28,8)") * n.cast("decimal(18,0)")
         else:
             weighted = number * n
         return [
             _count(here),
+            F.sum(F.when(here, F.col("spellings"))),
             F.sum(F.when(here, n)),
             _count(here & number.isNull()),
             F.min(F.when(here, number)),
             F.max(F.when(here, number)),
             F.sum(F.when(here, weighted)),
-            F.min(F.when(here, F.struct((-n).alias("k"), F.col("v").alias("v")))),
+            F.min(F.when(here, F.col("top"))),
         ]
 
     def row(position: int, name: str) -> Column:
@@ -430,9 +429,10 @@ def column_statistics(
             F.when(numeric, F.round(got("lo"), 4)).alias("min_value"),
             F.when(numeric, F.round(got("hi"), 4)).alias("max_value"),
             F.when(numeric, F.round(mean, 4).cast("double")).alias("mean_value"),
-            got("distinct_count").alias("distinct_count"),
+            F.when(numeric, got("distinct_count")).otherwise(got("spellings")).alias("distinct_count"),
             F.when(~numeric, got("top")["v"]).alias("top_value"),
             F.when(~numeric, percent(-got("top")["k"], got("filled"))).alias("top_pct"),
+            got("filled").alias("_filled"),
         )
 
     # One row without grouping: every task folds its values, nothing is sorted.
@@ -441,7 +441,11 @@ def column_statistics(
         for i, name in enumerate(names)
         for c, field in zip(summary(name), _SUMMARY_FIELDS, strict=True)
     ])
-    return one_row.select(F.inline(F.array(*[row(i, c) for i, c in enumerate(names)])))
+    found = one_row.select(F.inline(F.array(*[row(i, c) for i, c in enumerate(names)])))
+    # One row per column of the table: numbered among those that hold a value.
+    place = F.row_number().over(W.orderBy("position")) - 1
+    found = found.where("_filled > 0").withColumn("position", place).drop("_filled")
+    return found if max_columns is None else found.where(F.col("position") < max_columns)
 
 
 # --- record count, score and report ---------------------------------------------

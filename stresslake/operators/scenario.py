@@ -14,10 +14,6 @@ from stresslake.specs import (
     FACTOR, SCENARIO, SCENARIO_END, SCENARIO_START, SCENARIOS, TableSpec, spec_for,
 )
 
-DEFAULT_LIMIT = 5
-# Scenarios travel inside the plan as a literal; more than this is refused.
-MAX_SCENARIOS = 1_000
-
 # id and factor pairs, with the Spark type of the factor
 ScenarioSet = tuple[Sequence[tuple[int, object]], str]
 DEFAULT_SET: ScenarioSet = ([(row[0], row[-1]) for row in SCENARIOS], "double")
@@ -37,20 +33,10 @@ def scenario_table(spark: SparkSession) -> DataFrame:
     return literal_frame(spark, F.array(*rows))
 
 
-def scenario_set(scenarios: DataFrame, limit: int | None = DEFAULT_LIMIT) -> ScenarioSet:
-    """Ids and factors of the first ``limit`` scenarios by id (``None``: all).
-
-    A scenario set is hand-written configuration. It is read once, in bounded
-    size, so that expansion needs neither a join nor an exchange.
-    """
-    require_columns(scenarios, [SCENARIO, FACTOR], "scenario")
-    wanted = MAX_SCENARIOS + 1 if limit is None else limit
-    if wanted > MAX_SCENARIOS + 1:
-        raise ValueError(f"at most {MAX_SCENARIOS} scenarios in one run")
-    rows = scenarios.select(SCENARIO, FACTOR).orderBy(SCENARIO, FACTOR).limit(wanted).collect()
-    if len(rows) > MAX_SCENARIOS:
-        raise ValueError(f"more than {MAX_SCENARIOS} scenarios; run them in batches")
-    return [tuple(r) for r in rows], scenarios.schema[FACTOR].dataType.simpleString()
+def first_scenarios(scenarios: DataFrame, limit: int | None = None) -> DataFrame:
+    """Ids and factors of all scenarios, or of the first ``limit`` by id."""
+    rows = require_columns(scenarios, [SCENARIO, FACTOR], "scenario").select(SCENARIO, FACTOR)
+    return rows if limit is None else rows.orderBy(SCENARIO, FACTOR).limit(limit)
 
 
 def active_scenarios(scenarios: DataFrame, day: str) -> DataFrame:
@@ -60,17 +46,20 @@ def active_scenarios(scenarios: DataFrame, day: str) -> DataFrame:
 
 
 def expand_scenarios(
-    df: DataFrame, scenarios: ScenarioSet | DataFrame = DEFAULT_SET,
-    limit: int | None = DEFAULT_LIMIT,
+    df: DataFrame, scenarios: ScenarioSet | DataFrame = DEFAULT_SET, limit: int | None = None,
 ) -> DataFrame:
     """Every row once per scenario, with ``scenario_id`` and the factor added.
 
-    The scenarios are a literal array that each row unfolds in place: a narrow
-    step inside the stage, without an exchange or a nested-loop join.
+    A scenario table is joined without a key: all combinations are the result, and
+    Spark picks the side to send by measured size. Scenarios that the caller passes as
+    a literal become an array that each row unfolds in place. ``limit`` takes the first
+    scenarios by id.
     """
     if isinstance(scenarios, DataFrame):
-        scenarios = scenario_set(scenarios, limit)
+        return df.crossJoin(first_scenarios(scenarios, limit))
     pairs, factor_type = scenarios
+    if limit is not None:
+        pairs = sorted(pairs, key=lambda p: p[0])[:limit]
     # The cast types the array even when it is empty (then no row is left).
     array_type = f"array<struct<{SCENARIO}:int,{FACTOR}:{factor_type}>>"
     literal = F.array(*[
@@ -95,7 +84,7 @@ def add_stress(df: DataFrame, table: str | TableSpec) -> DataFrame:
 
 def to_gold(
     df: DataFrame, table: str | TableSpec, scenarios: ScenarioSet | DataFrame = DEFAULT_SET,
-    limit: int | None = DEFAULT_LIMIT, as_of: str | None = None,
+    limit: int | None = None, as_of: str | None = None,
 ) -> DataFrame:
     """Silver to gold: expand over scenarios, stress the amount, make sure of the date."""
     spec = spec_for(table)

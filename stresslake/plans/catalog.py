@@ -14,11 +14,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stresslake.operators import aggregates as agg
-from stresslake.operators import cleaning, fx, kpi, quality, scenario, synth, validate
+from stresslake.operators import cleaning, fx, kpi, quality, scenario, validate
 from stresslake.plans import domains, medallion
 from stresslake.plans import oracle as sql
 from stresslake.sources import readers, writers
-from stresslake.specs import FALLBACK_RATES, SPECS, TRANSFORMABLE, Layout
+from stresslake.specs import FALLBACK_RATES, SCENARIOS, SPECS, TRANSFORMABLE, Layout
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -64,7 +64,7 @@ def regional_totals(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # --- stress totals --------------------------------------------------------------
 
-_GOLD_NAMES = {
+_TOTAL_NAMES = {
     "transactions": "agg_transaction_stress",
     "cash": "agg_liquidity_stress",
     "loans": "agg_loan_exposure",
@@ -75,9 +75,9 @@ _GOLD_NAMES = {
 def _register_totals(name: str) -> None:
     total = SPECS[name].measure.total
 
-    @register(_GOLD_NAMES[name], sql.region_totals(name))
-    def gold_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-        totals = agg.by_scenario_region(gold(spark, sf_dir, name), name)
+    @register(_TOTAL_NAMES[name], sql.region_totals(name))
+    def totals_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+        totals = regional_totals(spark, sf_dir, name)
         return totals.select("scenario_id", "region_code", money(total))
 
     @register(f"stress_totals_{name}", sql.region_totals(name, with_count=True))
@@ -94,6 +94,7 @@ _COMBINED = [SPECS[n].measure.combined for n in TRANSFORMABLE]
 
 @register("combined_metrics", sql.combined())
 def combined_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By way of expanded gold rows; its equal by early sums is the rollup below."""
     totals = {n: agg.by_scenario(gold(spark, sf_dir, n), n) for n in TRANSFORMABLE}
     return agg.combine(totals).select("scenario_id", *map(money, _COMBINED))
 
@@ -154,8 +155,9 @@ def fx_latest_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("fx_convert_feed_rates", sql.CONVERT_FEED)
 def fx_convert_feed_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transactions at the newest feed rates, summed per currency."""
-    chosen = fx.resolve_rates(feed_answer(spark, sf_dir), fx.rates_frame(spark, EXACT_RATES), "per_currency")
+    """Transactions at the newest rates of the whole feed, summed per currency."""
+    newest = fx.latest_rates(domains.fx_feed(spark, sf_dir))
+    chosen = fx.resolve_rates(newest, fx.rates_frame(spark, EXACT_RATES), "per_currency")
     rows = domains.domain(spark, sf_dir, "transactions")
     usd = fx.convert_amounts(rows, "transactions", chosen)
     return (
@@ -205,21 +207,24 @@ def scenario_expand_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("scenario_first_n", sql.SCENARIO_FIRST_N)
 def scenario_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only the first three scenarios by id, read from a scenario table."""
-    chosen = scenario.scenario_set(scenario.scenario_table(spark), 3)
     rows = domains.domain(spark, sf_dir, "cash")
     return (
-        scenario.expand_scenarios(rows, chosen)
-        .groupBy("scenario_id").agg(F.count(F.lit(1)).alias("n"))
+        scenario.expand_scenarios(rows, scenario.scenario_table(spark), 3)
+        .groupBy("scenario_id")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("closing_balance").alias("closing_balance"))
+        .select("scenario_id", "n", money("closing_balance"))
     )
 
 
 @register("stress_level_distribution", sql.LEVELS)
 def stress_level_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Record counts per level straight from the expanded rows."""
-    rows = scenario.add_stress(
-        scenario.expand_scenarios(domains.loan_rows(spark, sf_dir), scenario.DECIMAL_SET), "loans"
+    """Records and stressed exposure per level straight from the expanded rows."""
+    rows = gold(spark, sf_dir, "loans")
+    return (
+        rows.groupBy("stress_level")
+        .agg(F.count(F.lit(1)).alias("records"), F.sum("stressed_exposure").alias("stressed_exposure"))
+        .select("stress_level", "records", money("stressed_exposure"))
     )
-    return rows.groupBy("stress_level").agg(F.count(F.lit(1)).alias("records"))
 
 
 # --- cleaning -------------------------------------------------------------------
@@ -228,10 +233,8 @@ def stress_level_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("dedup_rows", sql.DEDUP_ROWS)
 def dedup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each line sent twice; one copy of each is left."""
-    lines = domains.table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag"
-    )
-    return cleaning.dedup_rows(lines.unionByName(lines))
+    lines = domains.table(spark, sf_dir, "lineitem")
+    return cleaning.dedup_rows(lines.unionByName(lines)).withColumn("l_shipdate", iso("l_shipdate"))
 
 
 @register("clean_numeric_string_date", sql.CLEAN_TYPES)
@@ -258,6 +261,9 @@ def normalize_names(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias(" Order Key"),
         F.col("o_orderpriority").alias("PRIORITY "),
         F.col("o_orderstatus").alias("Order Status"),
+        F.col("o_custkey").alias("Cust Key"),
+        F.col("o_totalprice").alias("TOTAL price"),
+        F.col("o_orderdate").cast("date").cast("string").alias("Order_Date "),
     )
     return cleaning.normalize_names(orders)
 
@@ -314,7 +320,7 @@ def validate_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("validate_gold", sql.VALIDATE_GOLD)
 def validate_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [
-        validate.validate_gold(gold(spark, sf_dir, n), n) for n in ("transactions", "cash")
+        validate.validate_gold(gold(spark, sf_dir, n), n) for n in TRANSFORMABLE
     ])
 
 
@@ -475,8 +481,9 @@ def kpi_daily_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("kpi_scenario_pivot", sql.KPI_PIVOT)
 def kpi_scenario_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = kpi.scenario_comparison(regional_totals(spark, sf_dir, "transactions"), "transactions")
-    return wide.select("region_code", *[money(f"scenario_{i}") for i in range(1, 6)])
+    ids = [row[0] for row in SCENARIOS]
+    wide = kpi.scenario_comparison(regional_totals(spark, sf_dir, "transactions"), "transactions", ids)
+    return wide.select("region_code", *[money(f"scenario_{i}") for i in ids])
 
 
 @register("kpi_level_insights", sql.KPI_LEVELS)
@@ -493,32 +500,6 @@ def kpi_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.select("scenario_id", "region_code", money("total_stressed_liquidity"), "n")
 
 
-# --- synthetic tables -----------------------------------------------------------
-# One made row per row of a given table, whose key serves as the row position.
-
-_SPINES = {
-    "loans": ("part", "p_partkey"),
-    "cash": ("customer", "c_custkey"),
-    "transactions": ("orders", "o_orderkey"),
-    "intraday": ("events", "event_id"),
-    "fx_rates": ("supplier", "s_suppkey"),
-}
-
-
-def _register_synthetic(name: str, source: str, key: str) -> None:
-    @register(f"synth_{name}", sql.synthetic(name, source, key))
-    def made(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = domains.table(spark, sf_dir, source)
-        total = rows.count()
-        out = synth.GENERATORS[name](rows.select(F.col(key).alias("pos")), total)
-        stamps = [c for c, kind in SPECS[name].columns.items() if kind in ("date", "datetime")]
-        return out.withColumns({c: F.col(c).cast("string") for c in stamps})
-
-
-for _name, (_source, _key) in _SPINES.items():
-    _register_synthetic(_name, _source, _key)
-
-
 # --- layered runs ---------------------------------------------------------------
 # Intermediate tables go to the session's shared checkpoint folder.
 
@@ -563,14 +544,13 @@ def layer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("report_export", sql.REPORTED)
 def report_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold, its aggregate and the combined view as report extracts."""
-    layout = Layout(writers.scratch_root(spark))
-    spec = SPECS["cash"]
-    writers.write_partitioned(
-        gold(spark, sf_dir, "cash"), layout.gold("cash"), spec.gold_partitions
-    )
-    medallion.aggregate(spark, layout, ["cash"])
-    medallion.export(spark, layout, ["cash"])
+    """Gold of all domains, their aggregates and the combined view as report extracts."""
+    layout = Layout(writers.scratch_root(spark), undated=("transactions", "loans", "intraday"))
+    for name in TRANSFORMABLE:
+        partitions = layout.partitions(SPECS[name], "gold")
+        writers.write_partitioned(gold(spark, sf_dir, name), layout.gold(name), partitions)
+    medallion.aggregate(spark, layout)
+    medallion.export(spark, layout)
 
     def extract(name: str, value: str, region: Column) -> DataFrame:
         rows = spark.read.parquet(layout.report(name))
@@ -580,8 +560,84 @@ def report_export(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.lit(name).alias("extract"), "scenario_id", "region_code", "n", money("total"))
         )
 
-    return (
-        extract("cash", "stressed_liquidity", F.col("region_code"))
-        .unionByName(extract("aggregates_cash", "total_stressed_liquidity", F.col("region_code")))
-        .unionByName(extract("aggregates_combined", "liq_total", F.lit("ALL")))
+    region, parts = F.col("region_code"), []
+    for name in TRANSFORMABLE:
+        measure = SPECS[name].measure
+        parts.append(extract(name, measure.target, region))
+        parts.append(extract(f"aggregates_{name}", measure.total, region))
+        combined = extract("aggregates_combined", measure.combined, F.lit(measure.combined))
+        parts.append(combined)
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("run_report", sql.RUN_REPORT)
+def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run did with each table, one of them without a raw drop."""
+    layout = Layout(writers.scratch_root(spark), undated=("transactions", "loans", "intraday"))
+    for name in ("transactions", "loans", "cash"):
+        rows = domains.domain(spark, sf_dir, name)
+        writers.write_csv_drop(rows, layout.raw(name), name, "20240101")
+    steps = medallion.ingest(spark, layout, TRANSFORMABLE, AS_OF)
+    return medallion.run_report(spark, steps)
+
+
+@register("ingest_named_drop", sql.ROW_COUNT_CUSTOMERS)
+def ingest_named_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest drop whose name begins with the table's; a newer one of another name stays."""
+    folder = f"{writers.scratch_root(spark)}/raw"
+    customers = domains.table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    writers.write_csv_drop(customers.limit(0), folder, "customer", "20240101")
+    writers.write_csv_drop(customers, folder, "customer", "20240102")
+    writers.write_csv_drop(customers.limit(0), folder, "client", "20240103")
+    drop = readers.latest_snapshot(spark, folder, "customer")
+    rows = readers.read_raw_csv(spark, drop)
+    return rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("c_acctbal").cast(domains.MONEY)).alias("balance")).select(
+        "n", money("balance")
+    )
+
+
+@register("validate_layers", sql.VALIDATE_LAYERS)
+def validate_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks of every table of a lake in bronze, silver and gold."""
+    layout = Layout(writers.scratch_root(spark), undated=("transactions", "loans", "intraday"))
+    for name in TRANSFORMABLE:
+        bronze = cleaning.to_bronze(domains.domain(spark, sf_dir, name), name)
+        writers.write_partitioned(bronze, layout.bronze(name), layout.partitions(SPECS[name], "bronze"))
+    writers.write_unpartitioned(scenario.scenario_table(spark), layout.bronze("scenario"))
+    medallion.convert(spark, layout, rates=EXACT_RATES)
+    medallion.stress(spark, layout)
+    checks = medallion.validate_layers(spark, layout)
+    return checks.where("check_name IN ('row_count', 'missing_columns', 'non_positive_factor')")
+
+
+@register("quality_gate", sql.QUALITY_GATE)
+def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A drop with repeated and missing values, read as text, is refused with its issues."""
+    folder = writers.scratch_root(spark)
+    drop = writers.write_csv_drop(domains.raw_transactions(spark, sf_dir), folder, "transactions", "1")
+    raw = readers.read_text_columns(spark, drop)
+    report = quality.quality_report(raw, "transactions", as_of=AS_OF)
+    return report.select(
+        "table_name", "total_rows", "duplicate_rows", "pk_duplicate_count", "overall_nulls",
+        (F.col("recommendation") == quality.PROCEED).alias("accepted"),
     )
+
+
+@register("partition_column_failure", sql.PARTITION_FAILURE)
+def partition_column_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without the date column of their table are not written; the row says why."""
+    rows = domains.table(spark, sf_dir, "orders").select("o_orderkey", F.lit("ASIA").alias("region_code"))
+    try:
+        writers.write_partitioned(rows, f"{writers.scratch_root(spark)}/x", SPECS["transactions"].partitions)
+        status = "written"
+    except ValueError as error:
+        status = "missing transaction_date" if "transaction_date" in str(error) else str(error)
+    return rows.agg(F.count(F.lit(1)).alias("n")).withColumn("status", F.lit(status))
+
+
+@register("combined_missing_metric", sql.combined_missing())
+def combined_missing_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A metric that lacks a scenario counts as 0 there."""
+    totals = {n: regional_totals(spark, sf_dir, n) for n in TRANSFORMABLE}
+    totals["cash"] = totals["cash"].where("scenario_id <> 3")
+    return agg.combine_by_union(totals).select("scenario_id", *map(money, _COMBINED))

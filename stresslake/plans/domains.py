@@ -4,10 +4,8 @@ orders are transactions, lineitem rows are loan tranches, customers hold cash
 positions and events are intraday movements. A region's currency follows from its
 name; AFRICA's is not in the rate table, so it takes the "no rate" path.
 
-nation and region are small lookup tables and become a literal map. Which side of
-the joins of customer and supplier with the fact tables is broadcast is left to
-Spark, which decides on measured sizes and splits skewed partitions of shuffled
-joins.
+All lookups are plain joins. Which side is broadcast is left to Spark, which decides
+on measured sizes and splits skewed partitions of shuffled joins.
 """
 
 from __future__ import annotations
@@ -24,9 +22,6 @@ REGION_CURRENCY = {"AMERICA": "USD", "EUROPE": "EUR", "ASIA": "JPY", "MIDDLE EAS
 OTHER_CURRENCY = "ZAR"
 INFLOW_TYPES = ("purchase", "signup")
 OUTFLOW_TYPES = ("error", "click")
-# A geography of up to this many nations is kept as a literal of the plan.
-MAX_NATIONS = 500
-_REGIONS: dict[tuple[str, str], dict[int, str] | None] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,31 +41,10 @@ def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _known_regions(spark: SparkSession, sf_dir: str) -> dict[int, str] | None:
-    """The geography as a mapping, read once per session; ``None`` beyond the bound."""
-    slot = (spark.sparkContext.applicationId, sf_dir)
-    if slot not in _REGIONS:
-        rows = geography(spark, sf_dir).limit(MAX_NATIONS + 1).collect()
-        regions = {r["n_nationkey"]: r["region_code"] for r in rows}
-        unique = len(regions) == len(rows) <= MAX_NATIONS
-        _REGIONS[slot] = regions if unique and regions else None
-    return _REGIONS[slot]
-
-
 def with_place(df: DataFrame, sf_dir: str, nation: str) -> DataFrame:
-    """Rows of known nations with region and currency instead of the nation key.
-
-    The lookup is a literal map: a narrow step that leaves the size estimate of
-    ``df`` usable for the joins above it. A geography beyond the bound is joined.
-    """
-    regions = _known_regions(df.sparkSession, sf_dir)
-    if regions is None:
-        place = geography(df.sparkSession, sf_dir)
-        placed = df.join(place, F.col(nation) == F.col("n_nationkey")).drop("n_nationkey")
-    else:
-        pairs = [F.lit(x) for item in regions.items() for x in item]
-        region = F.try_element_at(F.create_map(*pairs), F.col(nation))
-        placed = df.withColumn("region_code", region).where(F.col("region_code").isNotNull())
+    """Rows of known nations with region and currency instead of the nation key."""
+    place = geography(df.sparkSession, sf_dir)
+    placed = df.join(place, F.col(nation) == F.col("n_nationkey")).drop("n_nationkey")
     return placed.drop(nation).withColumn("currency_code", currency_of(F.col("region_code")))
 
 

@@ -186,6 +186,11 @@ def _live() -> str:
   UNION ALL SELECT 'USD', CAST(1 AS DECIMAL(12,6)))"""
 
 
+# The whole feed as the live answer.
+_LIVE_ALL = """live AS (
+  SELECT currency_code, rate_to_usd FROM newest WHERE currency_code <> 'USD'
+  UNION ALL SELECT 'USD', CAST(1 AS DECIMAL(12,6)))"""
+
 _PER_CURRENCY = """chosen AS (
   SELECT * FROM live
   UNION ALL SELECT * FROM fx WHERE currency_code NOT IN (SELECT currency_code FROM live))"""
@@ -202,7 +207,7 @@ LATEST_RATES = with_(GEO, FEED) + (
     "SELECT currency_code, CAST(rate_to_usd AS DOUBLE) AS rate_to_usd FROM newest"
 )
 
-CONVERT_FEED = with_(GEO, FX, DOMAIN["transactions"], FEED, _live(), _PER_CURRENCY) + f"""
+CONVERT_FEED = with_(GEO, FX, DOMAIN["transactions"], FEED, _LIVE_ALL, _PER_CURRENCY) + f"""
 SELECT currency_code,
        {money(f"SUM(transaction_amount * COALESCE(rate_to_usd, {ONE}))", "amount_usd")}, COUNT(*) AS n
 FROM transactions LEFT JOIN chosen USING (currency_code) GROUP BY currency_code"""
@@ -227,16 +232,17 @@ SELECT loan_id, tranche, branch_id, CAST(business_date AS VARCHAR) AS business_d
 FROM {_expanded("loans")}"""
 
 SCENARIO_FIRST_N = base("cash") + """
-SELECT scenario_id, COUNT(*) AS n
+SELECT scenario_id, COUNT(*) AS n, CAST(CAST(SUM(closing_balance) AS DECIMAL(38,4)) AS DOUBLE) AS closing_balance
 FROM cash CROSS JOIN (SELECT * FROM scen ORDER BY scenario_id LIMIT 3) GROUP BY scenario_id"""
 
-LEVELS = with_(SCEN) + (
-    f"SELECT {LEVEL} AS stress_level, COUNT(*) AS records FROM lineitem CROSS JOIN scen GROUP BY 1"
+LEVELS = base("loans") + (
+    f"SELECT {LEVEL} AS stress_level, COUNT(*) AS records, "
+    f"{money(f'SUM({_usd('loans')})', 'stressed_exposure')} FROM {_expanded('loans')} GROUP BY 1"
 )
 
-DEDUP_ROWS = """WITH lines AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
-  l_returnflag FROM lineitem)
-SELECT DISTINCT * FROM (SELECT * FROM lines UNION ALL SELECT * FROM lines)"""
+DEDUP_ROWS = """
+SELECT DISTINCT * REPLACE (CAST(l_shipdate AS VARCHAR) AS l_shipdate)
+FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem)"""
 
 CLEAN_TYPES = """
 SELECT event_id,
@@ -247,7 +253,9 @@ SELECT event_id,
 FROM events"""
 
 NORMALIZE_NAMES = """
-SELECT o_orderkey AS order_key, o_orderpriority AS priority, o_orderstatus AS order_status FROM orders"""
+SELECT o_orderkey AS order_key, o_orderpriority AS priority, o_orderstatus AS order_status,
+       o_custkey AS cust_key, o_totalprice AS total_price,
+       CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_date FROM orders"""
 
 DEFAULT_REGION = """
 SELECT s_suppkey, 'UNKNOWN' AS region_code, '1999-12-31' AS business_date FROM supplier"""
@@ -297,25 +305,34 @@ VALIDATE_SILVER = with_(GEO, FEED, RAW_TXN) + "\nUNION ALL ".join([
     _check("silver", "transactions", "duplicate_keys", "COUNT(*)",
            "(SELECT transaction_id FROM raw_txn GROUP BY 1 HAVING COUNT(*) > 1)", "WARN"),
     _check("silver", "fx_rates", "row_count", "COUNT(*)", "feed", _INFO),
-    _check("silver", "fx_rates", "null_columns", "0", "(SELECT 1)", "WARN"),
+    _check("silver", "fx_rates", "null_columns", " + ".join(
+        f"CAST(COUNT(*) > COUNT({c}) AS INT)"
+        for c in ("fx_rate_id", "currency_code", "region_code", "fx_rate_to_usd", "as_of_timestamp")
+    ), "feed", "WARN"),
     _check("silver", "fx_rates", "non_positive_rate",
            "COUNT(*) FILTER (fx_rate_to_usd <= 0)", "feed", "FAIL"),
     _check("silver", "fx_rates", "duplicate_keys", "COUNT(*)",
            "(SELECT fx_rate_id FROM feed GROUP BY 1 HAVING COUNT(*) > 1)", "WARN"),
 ])
 
-VALIDATE_GOLD = base("transactions", "cash") + "\nUNION ALL ".join([
-    _check("gold", "transactions", "row_count", "COUNT(*)", _expanded("transactions"), _INFO),
-    _check("gold", "transactions", "non_positive_factor", "COUNT(*) FILTER (f <= 0)",
-           _expanded("transactions"), "FAIL"),
-    _check("gold", "transactions", "negative_stressed_amount",
-           f"COUNT(*) FILTER ({_usd('transactions')} < 0)", _expanded("transactions"), "WARN"),
-    _check("gold", "cash", "row_count", "COUNT(*)", _expanded("cash"), _INFO),
-    _check("gold", "cash", "non_positive_factor", "COUNT(*) FILTER (f <= 0)",
-           _expanded("cash"), "FAIL"),
-    _check("gold", "cash", "negative_liquidity",
-           f"COUNT(*) FILTER ({_usd('cash')} < 0)", _expanded("cash"), "WARN"),
-])
+_NEGATIVE_GOLD = {"transactions": "negative_stressed_amount", "cash": "negative_liquidity"}
+
+
+def _gold_checks(name: str) -> list[str]:
+    source = _expanded(name)
+    rows = [
+        _check("gold", name, "row_count", "COUNT(*)", source, _INFO),
+        _check("gold", name, "non_positive_factor", "COUNT(*) FILTER (f <= 0)", source, "FAIL"),
+    ]
+    if name in _NEGATIVE_GOLD:
+        negative = f"COUNT(*) FILTER ({_usd(name)} < 0)"
+        rows.append(_check("gold", name, _NEGATIVE_GOLD[name], negative, source, "WARN"))
+    return rows
+
+
+VALIDATE_GOLD = base(*TRANSFORMABLE) + "\nUNION ALL ".join(
+    row for name in TRANSFORMABLE for row in _gold_checks(name)
+)
 
 ROW_COUNTS = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}"
@@ -339,7 +356,12 @@ NULL_METRICS = with_(RAW_LOANS) + "\nUNION ALL ".join(
 )
 
 WORST_NULL = with_(RAW_TXN) + """
-SELECT 'transaction_type' AS column_name, COUNT(*) - COUNT(transaction_type) AS null_count FROM raw_txn"""
+SELECT column_name, null_count FROM (
+  """ + "\n  UNION ALL ".join(
+    f"SELECT {i} AS p, '{c}' AS column_name, COUNT(*) - COUNT({c}) AS null_count FROM raw_txn"
+    for i, c in enumerate(["transaction_id", "customer_id", "transaction_date", "transaction_type",
+                           "transaction_amount"])
+) + ") ORDER BY null_count DESC, p LIMIT 1"
 
 
 def _duplicates(table: str, source: str, key: str) -> str:
@@ -434,6 +456,7 @@ COLUMN_STATISTICS = "\nUNION ALL ".join([
     _numeric_stats(1, "l_extendedprice", "CAST(l_extendedprice AS DECIMAL(18,2))"),
     _text_stats(2, "l_shipdate", "CAST(l_shipdate AS DATE)"),
     _text_stats(3, "l_returnflag", "l_returnflag"),
+    _numeric_stats(4, "l_linenumber", "l_linenumber"),
 ])
 
 
@@ -535,16 +558,63 @@ LAYER_TOTALS = with_(GEO, *DOMAIN.values(), FX, SCEN, *_DISTINCT.values()) + "\n
     for n in TRANSFORMABLE
 )
 
-_CASH_SUM = money(f"SUM({_usd('cash')})", "total")
-REPORTED = base("cash") + f"""
-SELECT 'cash' AS extract, scenario_id, region_code, COUNT(*) AS n, {_CASH_SUM}
-FROM {_expanded("cash")} GROUP BY scenario_id, region_code
-UNION ALL
-SELECT 'aggregates_cash', scenario_id, region_code, 1, {_CASH_SUM}
-FROM {_expanded("cash")} GROUP BY scenario_id, region_code
-UNION ALL
-SELECT 'aggregates_combined', scenario_id, 'ALL', 1, {_CASH_SUM}
-FROM {_expanded("cash")} GROUP BY scenario_id"""
+
+
+def _extracts(name: str) -> list[str]:
+    """Gold rows, regional totals and the combined metric of one domain."""
+    total, combined = money(f"SUM({_usd(name)})", "total"), SPECS[name].measure.combined
+    regional = f"{total} FROM {_expanded(name)} GROUP BY scenario_id, region_code"
+    return [
+        f"SELECT '{name}' AS extract, scenario_id, region_code, COUNT(*) AS n, {regional}",
+        f"SELECT 'aggregates_{name}', scenario_id, region_code, 1, {regional}",
+        f"SELECT 'aggregates_combined', scenario_id, '{combined}', 1, {total} "
+        f"FROM {_expanded(name)} GROUP BY scenario_id",
+    ]
+
+
+REPORTED = base(*TRANSFORMABLE) + "\nUNION ALL ".join(
+    part for name in TRANSFORMABLE for part in _extracts(name)
+)
+
+RUN_REPORT = with_(GEO, *DOMAIN.values()) + "\nUNION ALL ".join(
+    f"SELECT 'bronze' AS stage, '{n}' AS table_name, 'written' AS status, COUNT(*) AS rows, '' AS note FROM {n}"
+    if n != "intraday" else
+    "SELECT 'bronze', 'intraday', 'skipped', CAST(NULL AS BIGINT), 'no raw drop'"
+    for n in TRANSFORMABLE
+)
+
+ROW_COUNT_CUSTOMERS = (
+    f"SELECT COUNT(*) AS n, {money('SUM(CAST(c_acctbal AS DECIMAL(18,2)))', 'balance')} FROM customer"
+)
+
+VALIDATE_LAYERS = with_(GEO, *DOMAIN.values(), SCEN, *_DISTINCT.values()) + "\nUNION ALL ".join(
+    [row for n in TRANSFORMABLE for row in _bronze(n, n, 1 if n == "loans" else 0)]
+    + _bronze("scenario", "scen", 0)
+    + [_check("silver", n, "row_count", "COUNT(*)", f"{n}_rows", _INFO) for n in TRANSFORMABLE]
+    + [row for n in TRANSFORMABLE for row in (
+        _check("gold", n, "row_count", "COUNT(*)", f"{n}_rows CROSS JOIN scen", _INFO),
+        _check("gold", n, "non_positive_factor", "COUNT(*) FILTER (f <= 0)",
+               f"{n}_rows CROSS JOIN scen", "FAIL"),
+    )]
+)
+
+QUALITY_GATE = with_(RAW_TXN) + f"""
+SELECT table_name, total_rows, duplicate_rows, pk_duplicate_count,
+       (SELECT COUNT(*) - COUNT(transaction_type) FROM raw_txn) AS overall_nulls,
+       duplicate_rows = 0 AND pk_duplicate_count = 0 AND false AS accepted
+FROM ({_duplicates("transactions", "raw_txn", "transaction_id")})"""
+
+PARTITION_FAILURE = "SELECT COUNT(*) AS n, 'missing transaction_date' AS status FROM orders"
+
+
+def combined_missing() -> str:
+    """The combined view with the cash total of scenario 3 left out."""
+    metrics = [SPECS[n].measure.combined for n in TRANSFORMABLE]
+    values = {m: f"COALESCE({m}, 0)" for m in metrics}
+    values["liq_total"] = "CASE WHEN scenario_id = 3 THEN 0 ELSE COALESCE(liq_total, 0) END"
+    cols = ", ".join(money(v, m) for m, v in values.items())
+    return _combined_ctes() + f"SELECT scenario_id, {cols} {_COMBINED_FROM}"
+
 
 # --- reporting measures ---------------------------------------------------------
 
@@ -596,169 +666,3 @@ KPI_SLICE = base("cash") + f"""
 SELECT scenario_id, region_code, {money(f"SUM({_usd('cash')})", "total_stressed_liquidity")}, COUNT(*) AS n
 FROM {_expanded("cash")}
 WHERE scenario_id IN (1, 5) AND region_code IN ('ASIA', 'EUROPE') GROUP BY scenario_id, region_code"""
-
-# --- synthetic tables -----------------------------------------------------------
-# The draws written out for the other engine. ``n`` is the number of rows,
-# ``g`` the region number, ``r`` the position within the region, ``m`` its size.
-
-_P = 2**31
-_SEED = 42
-
-
-def _draw(purpose: int, seed: int) -> str:
-    return f"(CAST('0x' || substr(md5(pos || ':{purpose}:{seed}'), 1, 8) AS BIGINT) // 2)"
-
-
-def _between(purpose: int, seed: int, low: object, high: object) -> str:
-    return f"(({low}) + {_draw(purpose, seed)} * (({high}) - ({low}) + 1) // {_P})"
-
-
-def _pick(values) -> str:
-    return "CASE g " + " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(values)) + " END"
-
-
-def _choice(purpose: int, seed: int, pairs: list[tuple[str, int]]) -> str:
-    upto, out = 0, "CASE"
-    for name, weight in pairs[:-1]:
-        upto += weight
-        out += f" WHEN {_draw(purpose, seed)} % 100 < {upto} THEN '{name}'"
-    return f"{out} ELSE '{pairs[-1][0]}' END"
-
-
-def _step(size: str) -> str:
-    return f"(CASE WHEN {size} % 1000003 <> 0 THEN 1000003 WHEN {size} % 999983 <> 0 THEN 999983 ELSE 999979 END)"
-
-
-def _person(number: str, branches: int) -> str:
-    return (f"printf('CUST_%s_%06d', region_code, {number}) AS customer_id, "
-            f"printf('ACC_%s_%06d', region_code, {number}) AS account_id, "
-            f"printf('BR_%s_%04d', region_code, ({number} - 1) % {branches} + 1) AS branch_id")
-
-
-def _size(rows: str) -> str:
-    return f"({rows} // 4 + CAST(g < {rows} % 4 AS BIGINT))"
-
-
-def _placed(source: str, key: str) -> str:
-    start = "(g * (n // 4) + least(g, n % 4))"
-    return f"""placed AS (
-  SELECT *, pos - {start} AS r, {_size("n")} AS m,
-         {_pick(["'NAMER'", "'EUROPE'", "'APAC'", "'MEA'"])} AS region_code,
-         {_pick(["'USD'", "'EUR'", "'JPY'", "'AED'"])} AS currency_code
-  FROM (SELECT *, CASE WHEN pos >= 3 * (n // 4) + least(3, n % 4) THEN 3
-                       WHEN pos >= 2 * (n // 4) + least(2, n % 4) THEN 2
-                       WHEN pos >= (n // 4) + least(1, n % 4) THEN 1 ELSE 0 END AS g
-        FROM (SELECT CAST({key} AS BIGINT) AS pos, (SELECT COUNT(*) FROM {source}) AS n FROM {source})))"""
-
-
-def _loan_number(slot: str, rows: str) -> str:
-    size = f"greatest(1800, {_size(rows)})"
-    return f"(({slot}) * {_step(size)} + 17) % {size} + 1"
-
-
-def _some_loan(purpose: int, seed: int) -> str:
-    rows = "greatest(n, 5000)"
-    slot = _between(purpose, seed, 0, f"{_size(rows)} - 1")
-    return f"printf('LOAN_%s_%06d', region_code, {_loan_number(slot, rows)}) AS loan_id"
-
-
-_BUCKETS = [("Small", 30), ("Medium", 40), ("Large", 20), ("Extreme", 10)]
-_LOW = "CASE bucket WHEN 'Small' THEN 10000 WHEN 'Medium' THEN 100000 WHEN 'Large' THEN 1000000 ELSE 10000000 END"
-_TXN, _LOAN, _VOL = _pick([108, 100, 112, 95]), _pick([112, 100, 92, 105]), _pick([110, 100, 113, 107])
-_JUNE = "CAST(DATE '2026-06-01' + CAST({} AS INT) AS VARCHAR)"
-
-
-def _scaled(cents: str, percent: str) -> str:
-    return f"(({cents}) * ({percent}) + 50) // 100"
-
-
-def _synth_loans() -> str:
-    s = _SEED
-    low = "CASE loan_type WHEN 'Retail' THEN 5000000 WHEN 'SME' THEN 25000000 WHEN 'Corporate' THEN 100000000 ELSE 800000000 END"
-    high = "CASE loan_type WHEN 'Retail' THEN 50000000 WHEN 'SME' THEN 200000000 WHEN 'Corporate' THEN 1000000000 ELSE 5000000000 END"
-    types = [("Retail", 40), ("SME", 35), ("Corporate", 20), ("Mega Corporate", 5)]
-    rate = _between(6, s, "CASE loan_type WHEN 'Mega Corporate' THEN 350 ELSE 400 END",
-                    "CASE loan_type WHEN 'Mega Corporate' THEN 1000 ELSE 1600 END")
-    return f"""SELECT printf('LOAN_%s_%06d', region_code, loan) AS loan_id, {_person("((loan - 1) % 1600 + 1)", 200)},
-  CAST(day AS VARCHAR) AS loan_start_date, amount / 100.0 AS loan_amount,
-  least(amount * {_between(3, s, 1500, 9500)} // 10000, amount) / 100.0 AS outstanding_balance,
-  {rate} / 100.0 AS interest_rate, currency_code, region_code, CAST(day AS VARCHAR) AS start_date,
-  CAST(day + CAST({_between(5, s, 90, 720)} AS INT) AS VARCHAR) AS end_date,
-  'loan_20260630' AS baseline, loan_type
-FROM (SELECT *, {_scaled(_between(2, s, low, high), _LOAN)} AS amount,
-             DATE '2025-01-01' + CAST({_between(4, s, 0, 525)} AS INT) AS day
-      FROM (SELECT *, {_loan_number("r", "n")} AS loan, {_choice(1, s, types)} AS loan_type FROM placed))"""
-
-
-def _synth_cash() -> str:
-    s = _SEED + 1
-    return f"""SELECT printf('CASHPOS_%07d', pos + 1) AS cash_position_id, {_person(_between(5, s, 1, 1600), 200)},
-  CAST(day AS VARCHAR) AS business_date, opening / 100.0 AS opening_balance, closing / 100.0 AS closing_balance,
-  closing * {_between(3, s, 7000, 9800)} // 10000 / 100.0 AS available_liquidity, currency_code, region_code,
-  CAST(day AS VARCHAR) AS start_date, CAST(day + 1 AS VARCHAR) AS end_date, 'cash_20260630' AS baseline
-FROM (SELECT *, opening * {_between(2, s, 8800, 11200)} // 10000 AS closing,
-             DATE '2026-06-01' + CAST({_between(4, s, 0, 29)} AS INT) AS day
-      FROM (SELECT *, {_scaled(_between(1, s, 5_000_000, 500_000_000), _VOL)} AS opening FROM placed))"""
-
-
-def _synth_transactions() -> str:
-    s = _SEED + 2
-    types = [("Deposit", 25), ("Withdrawal", 20), ("Transfer", 22), ("Loan Payment", 18), ("Card Payment", 15)]
-    day = _JUNE.format(_between(4, s, 0, 29))
-    amount = _scaled(_between(2, s, _LOW, f"10 * ({_LOW})"), _TXN)
-    return f"""SELECT printf('TXN_%08d', pos + 1) AS transaction_id, {_person(_between(5, s, 1, 1600), 200)},
-  {day} AS transaction_date, {_choice(6, s, types)} AS transaction_type, {amount} / 100.0 AS transaction_amount,
-  currency_code, region_code, {_some_loan(7, s)}, {day} AS start_date, {day} AS end_date,
-  'transaction_20260630' AS baseline, bucket AS amount_bucket
-FROM (SELECT *, {_choice(1, s, _BUCKETS)} AS bucket FROM placed)"""
-
-
-def _second(purpose: int, seed: int) -> str:
-    return (f"CAST(TIMESTAMP '2026-06-30 00:00:00' + to_seconds({_between(purpose, seed, 0, 86399)}) AS VARCHAR)"
-            " AS as_of_timestamp")
-
-
-def _synth_intraday() -> str:
-    s = _SEED + 3
-
-    def flow(purpose: int, multiplier: str) -> str:
-        cents = _scaled(_between(purpose, s, _LOW, f"10 * ({_LOW})"), multiplier)
-        return (f"CASE class WHEN 'dormant' THEN 0 WHEN 'extreme' THEN "
-                f"{_scaled(cents, _between(purpose + 10, s, 200, 400))} ELSE {cents} END")
-
-    return f"""SELECT printf('INTRA_%08d', pos + 1) AS intraday_id, {_person(_between(5, s, 1, 300), 25)},
-  {_some_loan(7, s)}, {_second(4, s)}, inflow / 100.0 AS inflow_amount, outflow / 100.0 AS outflow_amount,
-  (inflow - outflow) / 100.0 AS net_position, currency_code, region_code, '2026-06-30' AS start_date,
-  '2026-06-30' AS end_date, 'intraday_20260630' AS baseline
-FROM (SELECT * EXCLUDE (outflow), CASE WHEN class <> 'negative' THEN outflow WHEN inflow <> outflow
-        THEN inflow + abs(inflow - outflow) ELSE inflow + {_between(9, s, 100000, 1000000)} END AS outflow
-FROM (SELECT *, {flow(2, _TXN)} AS inflow, {flow(3, _VOL)} AS outflow
-FROM (SELECT *, CASE WHEN rank < a THEN 'dormant' WHEN rank < a + b THEN 'negative'
-                     WHEN rank < a + b + c THEN 'extreme' ELSE 'usual' END AS class
-FROM (SELECT *, (r * {_step("m")} + 17) % m AS rank, {_choice(1, s, _BUCKETS)} AS bucket,
-             greatest(10, m // 50) AS a, greatest(8, m // 66) AS b, greatest(6, m // 80) AS c FROM placed))))"""
-
-
-def _synth_fx() -> str:
-    s = _SEED + 4
-
-    def unit(purpose: int) -> str:
-        return f"(CAST({_draw(purpose, s)} AS DOUBLE) + CAST(0.5 AS DOUBLE)) / CAST({_P} AS DOUBLE)"
-
-    normal = (f"sqrt(CAST(-2.0 AS DOUBLE) * ln({unit(1)})) "
-              f"* cos(CAST(6.283185307179586 AS DOUBLE) * ({unit(2)}))")
-    level = _pick([f"CAST({v} AS DOUBLE)" for v in ("1.0", "1.09", "0.0068", "0.2723")])
-    return f"""SELECT printf('FX_%s_%06d', region_code, r + 1) AS fx_rate_id, currency_code, region_code,
-  rate AS fx_rate_to_usd, round(CAST(1 AS DOUBLE) / rate, 6) AS fx_rate_from_usd, {_second(4, s)},
-  '2026-06-10' AS start_date, '2099-12-31' AS end_date, 'fx_rates_20260630' AS baseline
-FROM (SELECT *, round(({level}) * CASE
-    WHEN rank < shocks THEN {_between(3, s, 10300, 11000)} / CAST(10000 AS DOUBLE)
-    WHEN rank < 2 * shocks THEN {_between(3, s, 9000, 9700)} / CAST(10000 AS DOUBLE)
-    ELSE CAST(1 AS DOUBLE) + {normal} * CAST(0.015 AS DOUBLE) END, 6) AS rate
-FROM (SELECT *, (r * {_step("m")} + 17) % m AS rank, greatest(4, m // 100) AS shocks FROM placed))"""
-
-
-def synthetic(name: str, source: str, key: str) -> str:
-    body = {"loans": _synth_loans, "cash": _synth_cash, "transactions": _synth_transactions,
-            "intraday": _synth_intraday, "fx_rates": _synth_fx}[name]
-    return with_(_placed(source, key)) + body()

@@ -16,9 +16,6 @@ NULL_WORDS = (
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-# Last path component ending in .csv: a file, or a directory of part files.
-_DROP_NAME = r"/([^/]+\.csv)(?:/[^/]+)?$"
-
 
 def table_format(spark: SparkSession) -> str:
     """``delta`` where the session has its extension, else ``parquet``."""
@@ -58,29 +55,29 @@ def read_if_exists(
 def latest_snapshot(spark: SparkSession, folder: str, prefix: str = "") -> str | None:
     """Newest CSV drop in a folder, or ``None`` if there is none.
 
-    A drop is a ``.csv`` file or a ``.csv`` directory of part files. Drops are
-    compared by modification time, then by name. With ``prefix`` only names such
-    as ``<prefix>_20260702.csv`` count.
+    A drop is an entry of the folder itself: a ``.csv`` file, or a ``.csv`` directory
+    that its writer has finished (it holds ``_SUCCESS``). Drops are compared by
+    modification time, then by name. With ``prefix`` only names such as
+    ``<prefix>_20260702.csv`` count.
     """
-    try:
-        files = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.csv")
-            .load(folder)
-        )
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    drops = files.select(
-        F.col("modificationTime").alias("changed"),
-        F.regexp_extract("path", _DROP_NAME, 1).alias("drop"),
-    ).where(F.col("drop") != "")
-    if prefix:
-        drops = drops.where(F.col("drop").startswith(f"{prefix}_"))
-    newest = drops.agg(F.max(F.struct("changed", "drop")).alias("newest")).first()["newest"]
-    return None if newest is None else f"{folder.rstrip('/')}/{newest['drop']}"
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return None
+    drops = []
+    for entry in files.listStatus(path):
+        name = entry.getPath().getName()
+        if not name.endswith(".csv") or (prefix and not name.startswith(f"{prefix}_")):
+            continue
+        changed = entry.getModificationTime()
+        if entry.isDirectory():
+            done = jvm.org.apache.hadoop.fs.Path(entry.getPath(), "_SUCCESS")
+            if not files.exists(done):
+                continue
+            changed = files.getFileStatus(done).getModificationTime()
+        drops.append((changed, name))
+    return f"{folder.rstrip('/')}/{max(drops)[1]}" if drops else None
 
 
 def read_text_columns(spark: SparkSession, path: str) -> DataFrame:

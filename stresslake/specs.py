@@ -31,7 +31,6 @@ class Measure:
 class TableSpec:
     name: str
     folder: str
-    description: str
     columns: dict[str, str]            # column -> string | float | int | date | datetime
     key: tuple[str, ...]
     required: tuple[str, ...]          # columns a bronze table cannot lack
@@ -39,7 +38,6 @@ class TableSpec:
     date_from: str | None = None       # timestamp the date column is derived from
     amounts: tuple[str, ...] = ()
     measure: Measure | None = None
-    default_rows: int | None = None
     has_region: bool = True
 
     @property
@@ -71,26 +69,29 @@ SPARK_TYPES: dict[str, T.DataType] = {
 }
 
 
-def _columns(text: str) -> dict[str, str]:
-    """``"a string, b float"`` -> ordered mapping."""
-    return dict(part.split() for part in text.split(","))
-
-
-# The column lists, keys and row counts of the six tables.
+# The column lists and keys of the six tables.
 SPECS: dict[str, TableSpec] = {
     s.name: s
     for s in (
         TableSpec(
             name="transactions",
             folder="transactions",
-            description="Customer transaction records",
-            columns=_columns(
-                "transaction_id string, account_id string, customer_id string,"
-                " branch_id string, transaction_date date, transaction_type string,"
-                " transaction_amount float, currency_code string, region_code string,"
-                " loan_id string, start_date date, end_date date, baseline string,"
-                " amount_bucket string"
-            ),
+            columns={
+                "transaction_id": "string",
+                "account_id": "string",
+                "customer_id": "string",
+                "branch_id": "string",
+                "transaction_date": "date",
+                "transaction_type": "string",
+                "transaction_amount": "float",
+                "currency_code": "string",
+                "region_code": "string",
+                "loan_id": "string",
+                "start_date": "date",
+                "end_date": "date",
+                "baseline": "string",
+                "amount_bucket": "string",
+            },
             key=("transaction_id",),
             required=("transaction_id", "customer_id", "transaction_amount"),
             date_col="transaction_date",
@@ -99,19 +100,25 @@ SPECS: dict[str, TableSpec] = {
                 "transaction_amount_usd", "stressed_transaction_amount",
                 "total_stressed_transactions", "txn_total",
             ),
-            default_rows=5000,
         ),
         TableSpec(
             name="cash",
             folder="cash",
-            description="Daily cash positions",
-            columns=_columns(
-                "cash_position_id string, account_id string, customer_id string,"
-                " branch_id string, business_date date, opening_balance float,"
-                " closing_balance float, available_liquidity float,"
-                " currency_code string, region_code string, start_date date,"
-                " end_date date, baseline string"
-            ),
+            columns={
+                "cash_position_id": "string",
+                "account_id": "string",
+                "customer_id": "string",
+                "branch_id": "string",
+                "business_date": "date",
+                "opening_balance": "float",
+                "closing_balance": "float",
+                "available_liquidity": "float",
+                "currency_code": "string",
+                "region_code": "string",
+                "start_date": "date",
+                "end_date": "date",
+                "baseline": "string",
+            },
             key=("cash_position_id",),
             required=("region_code", "available_liquidity"),
             date_col="business_date",
@@ -120,19 +127,26 @@ SPECS: dict[str, TableSpec] = {
                 "available_liquidity_usd", "stressed_liquidity",
                 "total_stressed_liquidity", "liq_total",
             ),
-            default_rows=5000,
         ),
         TableSpec(
             name="loans",
             folder="loans",
-            description="Loan portfolio",
-            columns=_columns(
-                "loan_id string, customer_id string, account_id string,"
-                " branch_id string, loan_start_date date, loan_amount float,"
-                " outstanding_balance float, interest_rate float,"
-                " currency_code string, region_code string, start_date date,"
-                " end_date date, baseline string, loan_type string"
-            ),
+            columns={
+                "loan_id": "string",
+                "customer_id": "string",
+                "account_id": "string",
+                "branch_id": "string",
+                "loan_start_date": "date",
+                "loan_amount": "float",
+                "outstanding_balance": "float",
+                "interest_rate": "float",
+                "currency_code": "string",
+                "region_code": "string",
+                "start_date": "date",
+                "end_date": "date",
+                "baseline": "string",
+                "loan_type": "string",
+            },
             key=("loan_id",),
             required=("loan_id", "customer_id", "outstanding_balance"),
             date_col="business_date",
@@ -141,19 +155,26 @@ SPECS: dict[str, TableSpec] = {
                 "outstanding_balance_usd", "stressed_exposure",
                 "total_stressed_exposure", "loan_total",
             ),
-            default_rows=5000,
         ),
         TableSpec(
             name="intraday",
             folder="intraday",
-            description="Intraday liquidity movements",
-            columns=_columns(
-                "intraday_id string, account_id string, customer_id string,"
-                " loan_id string, branch_id string, as_of_timestamp datetime,"
-                " inflow_amount float, outflow_amount float, net_position float,"
-                " currency_code string, region_code string, start_date date,"
-                " end_date date, baseline string"
-            ),
+            columns={
+                "intraday_id": "string",
+                "account_id": "string",
+                "customer_id": "string",
+                "loan_id": "string",
+                "branch_id": "string",
+                "as_of_timestamp": "datetime",
+                "inflow_amount": "float",
+                "outflow_amount": "float",
+                "net_position": "float",
+                "currency_code": "string",
+                "region_code": "string",
+                "start_date": "date",
+                "end_date": "date",
+                "baseline": "string",
+            },
             key=("intraday_id",),
             required=("intraday_id", "net_position"),
             date_col="as_of_timestamp_date",
@@ -163,33 +184,40 @@ SPECS: dict[str, TableSpec] = {
                 "net_position_usd", "stressed_net_position",
                 "total_stressed_position", "intraday_total",
             ),
-            default_rows=4000,
         ),
         TableSpec(
             name="fx_rates",
             folder="fx",
-            description="Foreign exchange rates",
-            columns=_columns(
-                "fx_rate_id string, currency_code string, region_code string,"
-                " fx_rate_to_usd float, fx_rate_from_usd float,"
-                " as_of_timestamp datetime, start_date date, end_date date,"
-                " baseline string"
-            ),
+            columns={
+                "fx_rate_id": "string",
+                "currency_code": "string",
+                "region_code": "string",
+                "fx_rate_to_usd": "float",
+                "fx_rate_from_usd": "float",
+                "as_of_timestamp": "datetime",
+                "start_date": "date",
+                "end_date": "date",
+                "baseline": "string",
+            },
             key=("fx_rate_id",),
             required=("currency_code", "fx_rate_to_usd"),
             date_col="as_of_date",
-            default_rows=4000,
         ),
         TableSpec(
             name="scenario",
             folder="scenario",
-            description="Stress testing scenarios",
-            columns=_columns(
-                "scenario_id int, scenario_name string, deposit_runoff_pct float,"
-                " loan_drawdown_pct float, fx_shock_pct float,"
-                " liquidity_haircut_pct float, funding_cost_increase_pct float,"
-                " market_stress_factor float, effective_date date, expiry_date date"
-            ),
+            columns={
+                "scenario_id": "int",
+                "scenario_name": "string",
+                "deposit_runoff_pct": "float",
+                "loan_drawdown_pct": "float",
+                "fx_shock_pct": "float",
+                "liquidity_haircut_pct": "float",
+                "funding_cost_increase_pct": "float",
+                "market_stress_factor": "float",
+                "effective_date": "date",
+                "expiry_date": "date",
+            },
             key=("scenario_id",),
             required=("scenario_id", "market_stress_factor"),
             has_region=False,

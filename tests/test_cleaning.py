@@ -64,3 +64,9 @@ def test_missing_required_columns_raise_with_the_list(spark):
     df = spark.createDataFrame([(1,)], "a int")
     with pytest.raises(ValueError, match="b"):
         cleaning.require_columns(df, ["a", "b"], "check")
+
+
+def test_dates_hold_no_number(spark):
+    df = spark.sql("SELECT DATE '2024-01-01' AS d, true AS b")
+    out = cleaning.ensure_numeric(cleaning.ensure_numeric(df, "d", 7.0), "b", 1.0)
+    assert out.first()[:] == (7.0, 1.0)

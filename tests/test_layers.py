@@ -28,12 +28,22 @@ def test_newest_drop_wins_then_name(spark, tmp_path):
 
 def test_directory_drops(spark, tmp_path):
     first = writers.write_csv_drop(spark.range(3), str(tmp_path), "loans", "20240101")
-    os.utime(next((tmp_path / "loans_20240101.csv").glob("*.csv")), (100, 100))
+    os.utime(tmp_path / "loans_20240101.csv" / "_SUCCESS", (100, 100))
     second = writers.write_csv_drop(spark.range(5), str(tmp_path), "loans", "20240102")
     assert readers.latest_snapshot(spark, str(tmp_path)) == second != first
     assert readers.read_raw_csv(spark, second).count() == 5
 
 
+def test_nested_and_unfinished_drops_do_not_count(spark, tmp_path):
+    good = drop(tmp_path / "loans_1.csv", "a")
+    os.utime(good, (100, 100))
+    (tmp_path / "archive").mkdir()
+    drop(tmp_path / "archive" / "loans_9.csv", "a")
+    (tmp_path / "loans_8.csv").mkdir()
+    drop(tmp_path / "loans_8.csv" / "part-0.csv", "a")
+    assert readers.latest_snapshot(spark, str(tmp_path)).endswith("/loans_1.csv")
+
+
 def test_typed_read_survives_order_extra_and_bad_values(spark, tmp_path):
     path = drop(tmp_path / "x.csv", "loan_amount,note,loan_id,start_date", "12.5,hey,L1,2024-01-02", "abc,,L2,soon")
     df = readers.read_raw_csv(spark, path, "loans")

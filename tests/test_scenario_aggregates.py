@@ -27,8 +27,11 @@ def test_scenario_limit_is_ordered(spark):
     table = spark.createDataFrame(
         [(i, float(i)) for i in (9, 3, 7, 1, 5, 2)], "scenario_id int, market_stress_factor double"
     )
-    assert [p[0] for p in scenario.scenario_set(table)[0]] == [1, 2, 3, 5, 7]
-    assert len(scenario.scenario_set(table, None)[0]) == 6
+    one = spark.range(1).select(F.lit("x").alias("k"))
+    ids = lambda df: sorted(r["scenario_id"] for r in df.collect())
+    assert ids(scenario.expand_scenarios(one, table)) == [1, 2, 3, 5, 7, 9]
+    assert ids(scenario.expand_scenarios(one, table, 4)) == [1, 2, 3, 5]
+    assert ids(scenario.expand_scenarios(one, scenario.DEFAULT_SET, 2)) == [1, 2]
     assert len(scenario.scenario_table(spark).collect()) == len(SCENARIOS)
 
 
@@ -41,11 +44,11 @@ def test_expansion_has_no_join_and_no_exchange(spark, sf_dir):
     assert scenario.expand_scenarios(rows, ([], "double")).count() == 0
 
 
-def test_too_many_scenarios_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(scenario, "MAX_SCENARIOS", 2)
-    table = spark.createDataFrame([(i, 1.0) for i in range(3)], "scenario_id int, market_stress_factor double")
-    with pytest.raises(ValueError, match="batches"):
-        scenario.scenario_set(table, None)
+def test_many_scenarios_all_count(spark):
+    table = spark.range(1500).select(
+        F.col("id").cast("int").alias("scenario_id"), F.lit(1.0).alias("market_stress_factor")
+    )
+    assert scenario.expand_scenarios(spark.range(3), table).count() == 4500
 
 
 def test_active_scenarios(spark):

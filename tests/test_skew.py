@@ -49,8 +49,13 @@ def test_hot_key_results_are_whole(spark, skewed, name):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def test_geography_beyond_the_bound_is_joined(spark, sf_dir, monkeypatch):
-    wanted = sorted(map(tuple, domains.customers(spark, sf_dir).collect()))
-    monkeypatch.setattr(domains, "MAX_NATIONS", 3)
-    monkeypatch.setattr(domains, "_REGIONS", {})
-    assert sorted(map(tuple, domains.customers(spark, sf_dir).collect())) == wanted
+def test_places_without_region_or_nation(spark, tmp_path):
+    """A nation without a region name keeps its customers; a NULL nation key is harmless."""
+    spark.createDataFrame([(1, None), (2, "ASIA")], "r_regionkey int, r_name string").write.parquet(f"{tmp_path}/region.parquet")
+    spark.createDataFrame([(10, 1), (20, 2), (None, 2)], "n_nationkey int, n_regionkey int").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.createDataFrame([(100, 10), (200, 20), (300, None)], "c_custkey int, c_nationkey int").write.parquet(f"{tmp_path}/customer.parquet")
+    found = {tuple(r) for r in domains.customers(spark, str(tmp_path)).collect()}
+    assert found == {(100, None, "ZAR"), (200, "ASIA", "JPY")}
+    spark.createDataFrame([(1, "EUROPE"), (2, "ASIA")], "r_regionkey int, r_name string").write.mode("overwrite").parquet(f"{tmp_path}/region.parquet")
+    found = {tuple(r) for r in domains.customers(spark, str(tmp_path)).collect()}
+    assert found == {(100, "EUROPE", "EUR"), (200, "ASIA", "JPY")}

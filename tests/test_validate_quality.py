@@ -112,6 +112,17 @@ def test_statistics_skip_empty_columns_and_break_ties(spark):
     assert got["d"]["distinct_count"] == 1
 
 
+def test_statistics_cover_all_columns_and_count_values(spark):
+    df = spark.createDataFrame([("1", None, 5), ("1.0", None, 6), ("01", None, 6), ("2", None, None)],
+                               "t string, e string, n int")
+    got = {r["column_name"]: r for r in quality.column_statistics(df).collect()}
+    assert list(got) == ["t", "n"] and [r["position"] for r in got.values()] == [0, 1]
+    assert (got["t"]["kind"], got["t"]["distinct_count"], got["t"]["mean_value"]) == ("numeric", 2, 1.25)
+    assert got["n"]["distinct_count"] == 2
+    assert quality.column_statistics(df.limit(0)).count() == 0
+    assert quality.column_statistics(df.select("e")).count() == 0
+
+
 def test_mean_of_wide_decimals(spark):
     df = spark.sql("SELECT CAST(v AS DECIMAL(38,0)) AS w FROM VALUES ('1000000000000000000000000'), ('3000000000000000000000000') AS t(v)")
     assert quality.column_statistics(df).first()["mean_value"] == pytest.approx(2e24)
