@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BATCH_ROWS = 1_000
 # White space as the contracts define it: blank and the controls from tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -17,16 +18,18 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def share_code(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it.
+def prepare(spark: SparkSession) -> None:
+    """Settings that the Python side of a query needs.
 
-    It adds to the workers' path. Clusters whose machines lack that folder ship the
-    package as usual (``--py-files``).
+    Workers find this package where the driver has it; clusters whose machines lack
+    that folder ship it as usual (``--py-files``). Batches to the workers hold few rows,
+    because one text may be very long: memory is bounded by rows times text length.
     """
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def scratch_dir(spark: SparkSession) -> str:

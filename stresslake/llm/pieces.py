@@ -32,7 +32,7 @@ UNKNOWN_COST = 10.0
 # Piece types of the file format.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 # Words held per task; two generations, so frequent words survive a change.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 # Longer words are searched each time rather than held.
 CACHE_LENGTH = 64
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stresslake.llm.common import share_code
+from stresslake.llm.common import prepare
 from stresslake.llm.embedding_dedup import op10_embedding_dedup
 from stresslake.llm.knn import OP5_SQL, op5_topk
 from stresslake.llm.language import op6_language
@@ -23,7 +23,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def _ready(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        share_code(spark)
+        prepare(spark)
         return query(spark, sf_dir)
 
     return run
