@@ -1,8 +1,8 @@
 """Data-quality profile of one table.
 
 NULLs, bad formats and type evidence of all columns come from one pass that reads
-each value once; the business rules read only their own columns. Copies of rows and
-of keys need one exchange each, and the column statistics one more. Results are
+each value once. Copies of rows and of keys and the violations of business rules share
+a second pass with one exchange, and the column statistics need one more. Results are
 DataFrames; the pre-load gate reads one summary row.
 
 Raw drops are profiled as text (see ``sources.readers.read_text_columns``), so the
@@ -104,38 +104,50 @@ def surplus_rows(df: DataFrame, *columns: str) -> DataFrame:
     return _surplus(_row_groups(df, list(columns) or df.columns))
 
 
-def duplicate_metrics(df: DataFrame, table: str | TableSpec, key: tuple[str, ...] = ()) -> DataFrame:
-    """Surplus rows, their percentage, and surplus rows by primary key.
+def _copies_and_violations(
+    df: DataFrame, spec: TableSpec, key: tuple[str, ...], rules: list[Rule]
+) -> DataFrame:
+    """Row copies, key copies and rule violations of a table as one row.
 
-    Keys are counted over the row groups rather than the rows: both counts start
-    from one exchange, and the table is read once.
+    All are counted over the row groups rather than the rows: they start from one
+    exchange, and the table is read once. A group breaks a rule as often as it has rows.
     """
-    spec = spec_for(table)
-    key = key or spec.key
     label = F.lit(spec.name).alias("table_name")
     groups = _row_groups(df, df.columns)
     zero = F.lit(0).cast("bigint")
-    parts = _surplus(groups).select(
-        label, "total_rows", F.col("surplus_rows").alias("_copies"), zero.alias("_keys")
-    )
+    broken = [F.sum(F.when(r.violated, F.col("_n"))) for r in rules]
+    violations = total([F.coalesce(c, zero) for c in broken])
+    parts = groups.agg(
+        F.coalesce(F.sum("_n"), zero).alias("total_rows"),
+        F.coalesce(F.sum(F.col("_n") - 1), zero).alias("_copies"),
+        zero.alias("_keys"),
+        violations.alias("rule_violations"),
+    ).select(label, "*")
     if not missing_columns(df, key):
         by_key = groups.groupBy(*[_ref(c) for c in key]).agg(F.sum("_n").alias("_n"))
         parts = parts.unionByName(_surplus(by_key).select(
             label, zero.alias("total_rows"), zero.alias("_copies"),
-            F.col("surplus_rows").alias("_keys"),
+            F.col("surplus_rows").alias("_keys"), zero.alias("rule_violations"),
         ))
     return (
         parts.groupBy("table_name")
-        .agg(*[F.sum(c).alias(c) for c in ("total_rows", "_copies", "_keys")])
+        .agg(*[F.sum(c).alias(c) for c in ("total_rows", "_copies", "_keys", "rule_violations")])
         .select(
             "table_name", "total_rows",
             F.col("_copies").alias("duplicate_rows"),
             percent(F.col("_copies"), F.col("total_rows")).alias("duplicate_pct"),
             F.col("_keys").alias("pk_duplicate_count"),
+            "rule_violations",
         )
     )
 
 
+def duplicate_metrics(df: DataFrame, table: str | TableSpec, key: tuple[str, ...] = ()) -> DataFrame:
+    """Surplus rows, their percentage, and surplus rows by primary key."""
+    spec = spec_for(table)
+    return _copies_and_violations(df, spec, key or spec.key, []).drop("rule_violations")
+
+
 # --- one-pass counts ------------------------------------------------------------
 
 
@@ -511,16 +523,12 @@ def quality_report(
     key = key or spec.key
     absent = missing_columns(df, spec.columns)
     extra = [c for c in df.columns if c not in spec.columns]
-    rules = business_rule_checks(df, spec, as_of).agg(
-        F.coalesce(F.sum("violations"), F.lit(0)).alias("rule_violations")
-    )
     # One-row results with other columns each, folded into one row.
     parts = reduce(
         lambda a, b: a.unionByName(b, allowMissingColumns=True),
         [
             profile_counts(df, spec),
-            rules.select(F.lit(spec.name).alias("table_name"), "*"),
-            duplicate_metrics(df, spec, key),
+            _copies_and_violations(df, spec, key, business_rules(df, spec, as_of)),
         ],
     )
     joined = parts.groupBy("table_name").agg(

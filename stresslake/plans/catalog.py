@@ -306,15 +306,21 @@ def validate_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         validate.validate_bronze(domains.domain(spark, sf_dir, n), n) for n in TRANSFORMABLE
     ]
     frames.append(validate.validate_bronze(domains.fx_feed(spark, sf_dir), "fx_rates"))
+    frames.append(validate.validate_bronze(scenario.scenario_table(spark), "scenario"))
     return reduce(DataFrame.unionByName, frames)
 
 
 @register("validate_silver", sql.VALIDATE_SILVER)
 def validate_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = cleaning.ensure_date(domains.raw_transactions(spark, sf_dir), "transaction_date")
-    return validate.validate_silver(raw, "transactions").unionByName(
-        validate.validate_silver(domains.fx_feed(spark, sf_dir), "fx_rates")
-    )
+    keys = {"loans": ("loan_id", "tranche")}
+    frames = [validate.validate_silver(raw, "transactions"),
+              validate.validate_silver(domains.fx_feed(spark, sf_dir), "fx_rates")]
+    frames += [
+        validate.validate_silver(domains.domain(spark, sf_dir, n), n, keys.get(n, ()))
+        for n in ("cash", "loans", "intraday")
+    ]
+    return reduce(DataFrame.unionByName, frames)
 
 
 @register("validate_gold", sql.VALIDATE_GOLD)
@@ -519,6 +525,27 @@ def ingest_latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("ingest_all_tables", sql.INGESTED_ALL)
+def ingest_all_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and amounts of all six tables in bronze, each from the newer of two drops."""
+    layout = Layout(writers.scratch_root(spark), undated=("transactions", "loans", "intraday", "fx_rates"))
+    frames = {n: domains.domain(spark, sf_dir, n) for n in TRANSFORMABLE}
+    frames["fx_rates"] = domains.fx_feed(spark, sf_dir).withColumn("as_of_date", F.to_date("as_of_timestamp"))
+    frames["scenario"] = scenario.scenario_table(spark)
+    amounts = {n: SPECS[n].measure.source.removesuffix("_usd") for n in TRANSFORMABLE}
+    amounts |= {"fx_rates": "fx_rate_to_usd", "scenario": "market_stress_factor"}
+    for name, rows in frames.items():
+        writers.write_csv_drop(rows.limit(0), layout.raw(name), name, "20240101")
+        writers.write_csv_drop(rows, layout.raw(name), name, "20240102")
+    medallion.ingest(spark, layout, as_of=AS_OF)
+    return reduce(DataFrame.unionByName, [
+        readers.read_table(spark, layout.bronze(name), "parquet" if name == "scenario" else None)
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(amount).cast("decimal(18,6)")).alias("total"))
+        .select(F.lit(name).alias("table_name"), "n", money("total"))
+        for name, amount in amounts.items()
+    ])
+
+
 @register("layer_roundtrip", sql.LAYER_TOTALS)
 def layer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All four domains through bronze, silver, gold and aggregates on storage."""

@@ -291,12 +291,36 @@ def _bronze(table: str, source: str, missing: int) -> list[str]:
 
 
 # loans lack customer_id here; the other domains hold every required column.
-VALIDATE_BRONZE = with_(GEO, *DOMAIN.values(), FEED) + "\nUNION ALL ".join(
+VALIDATE_BRONZE = with_(GEO, *DOMAIN.values(), FEED, SCEN) + "\nUNION ALL ".join(
     [row for n in TRANSFORMABLE for row in _bronze(n, n, 1 if n == "loans" else 0)]
-    + _bronze("fx_rates", "feed", 0)
+    + _bronze("fx_rates", "feed", 0) + _bronze("scenario", "scen", 0)
 )
 
-VALIDATE_SILVER = with_(GEO, FEED, RAW_TXN) + "\nUNION ALL ".join([
+_SILVER_DOMAINS = {
+    "cash": (["cash_position_id", "region_code", "currency_code", "business_date", "closing_balance",
+              "available_liquidity"], "cash_position_id"),
+    "loans": (["loan_id", "tranche", "branch_id", "business_date", "loan_amount", "outstanding_balance",
+               "interest_rate", "region_code", "currency_code"], "loan_id, tranche"),
+    "intraday": (["intraday_id", "as_of_timestamp_date", "region_code", "currency_code", "inflow_amount",
+                  "outflow_amount", "net_position"], "intraday_id"),
+}
+
+
+def _silver_checks(name: str) -> list[str]:
+    columns, key = _SILVER_DOMAINS[name]
+    with_nulls = " + ".join(f"CAST(COUNT(*) > COUNT({c}) AS INT)" for c in columns)
+    return [
+        _check("silver", name, "row_count", "COUNT(*)", name, _INFO),
+        _check("silver", name, "null_columns", with_nulls, name, "WARN"),
+        *[f"SELECT * FROM ({_check('silver', name, f'nulls:{c}', f'COUNT(*) - COUNT({c})', name, 'WARN')}) WHERE value > 0"
+          for c in columns],
+        _check("silver", name, "duplicate_keys", "COUNT(*)",
+               f"(SELECT 1 FROM {name} GROUP BY {key} HAVING COUNT(*) > 1)", "WARN"),
+    ]
+
+
+VALIDATE_SILVER = with_(GEO, *[DOMAIN[n] for n in _SILVER_DOMAINS], FEED, RAW_TXN) + "\nUNION ALL ".join(
+    [row for n in _SILVER_DOMAINS for row in _silver_checks(n)] + [
     _check("silver", "transactions", "row_count", "COUNT(*)", "raw_txn", _INFO),
     _check("silver", "transactions", "null_columns",
            "CAST(COUNT(*) > COUNT(transaction_type) AS INT)", "raw_txn", "WARN"),
@@ -551,6 +575,14 @@ INGESTED = with_(GEO, DOMAIN["intraday"]) + """
 SELECT intraday_id, CAST(as_of_timestamp_date AS VARCHAR) AS as_of_timestamp_date, region_code,
        currency_code, CAST(net_position AS DOUBLE) AS net_position FROM intraday"""
 
+INGESTED_ALL = with_(GEO, *DOMAIN.values(), FEED, SCEN) + "\nUNION ALL ".join(
+    f"SELECT '{name}' AS table_name, COUNT(*) AS n, {money(f'SUM({amount})', 'total')} FROM {source}"
+    for name, source, amount in [
+        *[(n, n, SPECS[n].measure.source.removesuffix("_usd")) for n in TRANSFORMABLE],
+        ("fx_rates", "feed", "fx_rate_to_usd"), ("scenario", "scen", "f"),
+    ]
+)
+
 _DISTINCT = {n: f"{n}_rows AS (SELECT DISTINCT * FROM {n})" for n in TRANSFORMABLE}
 LAYER_TOTALS = with_(GEO, *DOMAIN.values(), FX, SCEN, *_DISTINCT.values()) + "\nUNION ALL ".join(
     f"SELECT '{n}' AS table_name, scenario_id, region_code, {money(f'SUM({_usd(n)})', 'total')} "

@@ -89,7 +89,7 @@ def test_live_rates_keep_their_digits_and_broken_ones_are_refused(spark):
 def test_building_runs_no_job(spark, sf_dir):
     from stresslake.plans import catalog
 
-    layered = {"ingest_latest_snapshot", "ingest_named_drop", "layer_roundtrip", "report_export", "run_report",
+    layered = {"ingest_latest_snapshot", "ingest_all_tables", "ingest_named_drop", "layer_roundtrip", "report_export", "run_report",
                "validate_layers", "quality_gate"}
     for name, query in catalog.QUERIES.items():
         if name in layered:
