@@ -37,9 +37,9 @@ GRID = 2
 # Side of a cell in radii.
 CELL_RADII = 1.5
 # Rows of a cell that one chunk holds; a tile compares two chunks.
-CHUNK = 8_192
+CHUNK = 16_384
 # Rows of a tile whose products are taken at once, and pairs verified at once.
-_SLICE = 1_024
+_SLICE = 512
 _PAIRS = 1 << 16
 # Room for rounding in the search; the cosine itself decides.
 SLACK = 1e-6

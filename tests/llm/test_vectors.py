@@ -97,7 +97,7 @@ def test_dedup_query_matches_all_pairs(spark):
     assert Counter(map(tuple, found.collect())) == expected
 
 
-@pytest.mark.parametrize("chunk", [25, 8192])
+@pytest.mark.parametrize("chunk", [25, 16384])
 @pytest.mark.parametrize("dim", [3, 24])
 def test_dedup_around_the_threshold(spark, monkeypatch, chunk, dim):
     monkeypatch.setattr(embedding_dedup, "CHUNK", chunk)
