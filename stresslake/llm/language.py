@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stresslake.llm.common import held_out, read
+from stresslake.llm.common import held_out, materialize, read
 
 ORDER = 4
 MAX_DOCUMENTS = 300
@@ -180,7 +180,8 @@ def train(docs: DataFrame, max_documents: int = MAX_DOCUMENTS) -> PPMModel:
         F.col("lang").isNotNull() & (F.length("text") > 0) & (F.length("text") <= MAX_TRAINING_CHARS)
         & ~held_out(F.col("doc_id"))
     ).select("lang", "text", F.xxhash64("doc_id", F.xxhash64("text")).alias("h"))
-    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # Written, so that Spark knows how small it is and does not move the texts to join it.
+    sizes = materialize(known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")))
     # Twice the share wanted, so that chance leaves enough.
     share = F.least(F.lit(1.0), F.lit(2.0 * max_documents + 100) / F.col("n"))
     drawn = known.join(sizes, "lang").where(F.pmod("h", F.lit(1_000_003)) < share * 1_000_003)
