@@ -88,6 +88,7 @@ COMMON_WORDS = {
 MAX_GRAM = 3
 STEPS = 300
 MAX_BACKGROUND = 2_000
+MAX_BACKGROUND_CHARS = 5_000
 MIN_PROBABILITY = 0.6
 MIN_CONTAINED = 0.6
 # A paragraph's words: runs of letters and digits in lower case.
@@ -187,11 +188,16 @@ def fit(background: list[str], templates: dict[str, list[str]] | None = None, se
 def train(docs: DataFrame, max_background: int = MAX_BACKGROUND, text: str = "text") -> LicenseModel:
     """Fit with a bounded number of the corpus's own paragraphs as background.
 
-    One paragraph of each drawn document, documents drawn by a hash of their text.
+    One paragraph of each drawn document; a hash of the text draws both. Paragraphs of
+    more than ``MAX_BACKGROUND_CHARS`` are not taken, which bounds the sample in size.
     """
+    h = F.xxhash64(text)
+    lines = F.filter(F.split(text, "\n", -1), lambda line: line != "")
+    drawn = docs.select(h.alias("h"), lines.alias("lines")).where("size(lines) > 0").select(
+        "h", F.element_at("lines", (F.pmod("h", F.size("lines")) + 1).cast("int")).alias("line")
+    )
     sample = (
-        docs.select(F.xxhash64(text).alias("h"), F.substring(F.substring_index(text, "\n", 1), 1, 2_000).alias("line"))
-        .where("line IS NOT NULL AND line <> ''").orderBy("h", "line").limit(max_background)
+        drawn.where(F.length("line") <= MAX_BACKGROUND_CHARS).orderBy("h", "line").limit(max_background)
     )
     return fit([r["line"] for r in sample.collect()])
 
