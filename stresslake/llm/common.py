@@ -60,6 +60,18 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
+def smallest_hashes(rows: DataFrame, name: str, bound: int, count: int) -> DataFrame:
+    """At most ``bound`` of ``count`` rows, those with the smallest value of a 64-bit hash.
+
+    A first cut of the hash's range leaves about twice the rows wanted, however many
+    there are, so the sort behind it stays small in every task. Rows that share a hash
+    should have been folded.
+    """
+    share = min(1.0, (2 * bound + 100) / max(count, 1))
+    cut = min((1 << 63) - 1, -(1 << 63) + int(share * (1 << 64)))
+    return rows.where(F.col(name) <= F.lit(cut)).orderBy(name).limit(bound)
+
+
 def word_count(text: Column) -> Column:
     """Number of words; NULL has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

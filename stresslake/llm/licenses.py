@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stresslake.llm.common import read
+from stresslake.llm.common import read, smallest_hashes
 
 # Usual notices by licence family, as published with the licences.
 TEMPLATES = {
@@ -196,9 +196,10 @@ def train(docs: DataFrame, max_background: int = MAX_BACKGROUND, text: str = "te
     drawn = docs.select(h.alias("h"), lines.alias("lines")).where("size(lines) > 0").select(
         "h", F.element_at("lines", (F.pmod("h", F.size("lines")) + 1).cast("int")).alias("line")
     )
-    sample = (
-        drawn.where(F.length("line") <= MAX_BACKGROUND_CHARS).orderBy("h", "line").limit(max_background)
-    )
+    short = drawn.where(F.length("line") <= MAX_BACKGROUND_CHARS)
+    # Copies of a text share the hash and count once.
+    folded = short.groupBy("h").agg(F.min("line").alias("line"))
+    sample = smallest_hashes(folded, "h", max_background, docs.count())
     return fit([r["line"] for r in sample.collect()])
 
 

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stresslake.llm.common import held_out, materialize, read
+from stresslake.llm.common import held_out, materialize, read, smallest_hashes
 
 MAX_POSITIVE = 2_000
 MAX_UNLABELLED = 6_000
@@ -120,7 +120,8 @@ def _sketch(text: str) -> tuple[int, int, int]:
 
 def _lowest(ids: DataFrame, bound: int) -> DataFrame:
     """At most ``bound`` distinct ids, chosen by a hash that does not follow their order."""
-    return ids.where("id IS NOT NULL").distinct().orderBy(F.xxhash64("id"), "id").limit(bound)
+    hashed = ids.where("id IS NOT NULL").select("id", F.xxhash64("id").alias("h"))
+    return smallest_hashes(hashed.distinct(), "h", bound, hashed.count()).select("id")
 
 
 def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
