@@ -34,7 +34,8 @@ def prepare(spark: SparkSession) -> None:
 
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder of the session; an own temporary one only where none is named."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = folder or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
         folder = getattr(scratch_dir, "own", None) or tempfile.mkdtemp(prefix="llm-")
         scratch_dir.own = folder
