@@ -92,8 +92,8 @@ def exact_product(left: Column, left_type: T.DataType, right: Column, right_type
     """``left * right``, keeping all decimals of a sum.
 
     ``sum`` widens a decimal to 38 digits, and a product of that width would have
-    to drop decimals. The sum is narrowed to what leaves the product exact; a value
-    too large for it raises instead of being rounded.
+    to drop decimals. The sum is narrowed to 37 digits less those of the right side,
+    which leaves the product exact; a larger value raises instead of being rounded.
     """
     if isinstance(left_type, T.DecimalType) and isinstance(right_type, T.DecimalType):
         left = left.cast(T.DecimalType(37 - right_type.precision, left_type.scale))
