@@ -15,7 +15,7 @@ Survivors are verified on their bits. Equal fingerprints are folded before the j
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -147,7 +147,7 @@ def _survivors(fps, table, left, right) -> tuple[np.ndarray, np.ndarray]:
     return left[same], right[same]
 
 
-def _forest(n: int, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def forest(n: int, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links to the smallest member of each part that the given links join."""
     label = np.arange(n)
     while True:
@@ -192,7 +192,7 @@ def _links_of_runs(fps, chunk, starts, lengths, one_chunk) -> tuple[np.ndarray,
                 found.append((np.full(len(other), k), other))
         if found:
             a, b = (np.concatenate(x) - start for x in zip(*found, strict=True))
-            a, b = _forest(length, a, b)
+            a, b = forest(length, a, b)
             left.append(a + start)
             right.append(b + start)
     empty = np.empty(0, np.int64)
@@ -241,9 +241,13 @@ def fingerprint_links(nodes: DataFrame) -> DataFrame:
     return tiles.mapInArrow(_link_batches, "a long, b long")
 
 
-def near_duplicates(marked: DataFrame, doc_id: str = "doc_id", name: str = "simhash") -> DataFrame:
+def near_duplicates(
+    marked: DataFrame, doc_id: str = "doc_id", name: str = "simhash", links: DataFrame | None = None,
+) -> DataFrame:
     """Components of documents whose fingerprints link directly or in a chain.
 
+    ``links`` are pairs of fingerprints; without it those within ``MAX_BITS`` link.
+
     ``marked`` holds an id and a fingerprint per document and should be a written
     table, as it is read more than once. Returns ``doc_id``, ``simhash``,
     ``component_id`` (the smallest id of the component) and ``component`` (its
@@ -253,7 +257,7 @@ def near_duplicates(marked: DataFrame, doc_id: str = "doc_id", name: str = "simh
     """
     ids = marked.select(F.col(doc_id).alias(doc_id), F.col(name).alias("fp"))
     nodes = materialize(ids.groupBy("fp").agg(F.min(doc_id).alias("first_id")))
-    parts = connected_components(fingerprint_links(nodes.select("fp")))
+    parts = connected_components(fingerprint_links(nodes.select("fp")) if links is None else links)
     linked = parts.join(nodes, parts["node"] == nodes["fp"]).select("fp", "component", "first_id")
     least = linked.groupBy("component").agg(F.min("first_id").alias("least_id"))
     linked = materialize(linked.join(least, "component").select("fp", "component", "least_id"))
@@ -265,13 +269,18 @@ def near_duplicates(marked: DataFrame, doc_id: str = "doc_id", name: str = "simh
     return ids.join(placed, "fp").select(doc_id, F.col("fp").alias(name), "component_id", "component")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(
+    docs: DataFrame, mark: Callable[[DataFrame], DataFrame] = with_fingerprint,
+    link: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """One document of each component, with the columns of ``docs``.
 
     The document with the smallest id stays (a NULL id only where there is no other).
+    ``mark`` adds the fingerprint as ``simhash``; ``link`` gives the links of the marked
+    documents, without it fingerprints within ``MAX_BITS`` link.
     """
-    marked = materialize(with_fingerprint(docs))
-    groups = near_duplicates(marked)
+    marked = materialize(mark(docs))
+    groups = near_duplicates(marked, links=link(marked) if link else None)
     choice = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "simhash")).alias("c")
     keepers = groups.groupBy("component").agg(choice).select(
         F.col("c.doc_id").alias("keep_id"), F.col("c.simhash").alias("keep_fp")
