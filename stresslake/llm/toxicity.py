@@ -48,6 +48,8 @@ THRESHOLD = 0.3
 DEFAULT_PRIOR = 0.1
 
 _WORD = re.compile(r"[^\W\d_]+")
+# The same characters, for Spark.
+HAS_WORD = r"[\p{L}\p{Nl}\p{No}]"
 
 
 def features(text: str | None) -> set[str]:
@@ -260,7 +262,9 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Documents whose score stays under the threshold, with the columns of ``docs``.
 
-    NULL and empty texts carry no mark of toxicity and stay.
+    NULL texts and texts without a word carry no mark of toxicity and stay.
     """
     model = train(docs.select("doc_id", "text"), labels)
-    return docs.where(score_column(model, F.col("text")) < threshold)
+    # Their score is the learned bias alone, which may lie over the threshold.
+    wordless = F.col("text").isNull() | ~F.col("text").rlike(HAS_WORD)
+    return docs.where(wordless | (score_column(model, F.col("text")) < threshold))

@@ -79,3 +79,11 @@ def test_without_labels_all_scores_are_zero(spark):
         marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
         assert toxicity.train(docs, marks) is None
         assert toxicity.keep_clean(docs, marks).count() == 1
+
+
+def test_texts_without_a_word_stay_whatever_the_bias(spark, monkeypatch):
+    model = toxicity.ToxicityModel({}, np.zeros((1, 0)), np.array([2.0]))
+    monkeypatch.setattr(toxicity, "train", lambda docs, labels: model)
+    rows = [(1, None, "x"), (2, "", "x"), (3, " 12_ !\n", "x"), (4, "words", "x"), (5, "\u00e9", "x")]
+    kept = toxicity.keep_clean(spark.createDataFrame(rows, SCHEMA), None)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3]
