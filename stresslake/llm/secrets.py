@@ -47,9 +47,10 @@ ENTROPY_CLASSES = (
     EntropyClass("entropy_hex", "0-9a-fA-F", 24, 3.0, 24),
     EntropyClass("entropy_base64", "A-Za-z0-9+/_=-", 20, 3.5, 20),
 )
-# Runs that are no secrets: letters or digits only between marks, UUIDs, repetitions.
+# Runs that are no secrets: between marks only words (letters in one case, or with one
+# leading capital) or digits; UUIDs; repetitions. Letters of mixed case are judged.
 MARKS = "[-_/+=]"
-PLAIN_PART = "^(?:[A-Za-z]*|[0-9]*)$"
+PLAIN_PART = "^(?:[A-Z]?[a-z]*|[A-Z]*|[0-9]*)$"
 ALLOWED = (
     r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
     r"^(.{1,4})\1+.{0,3}$",

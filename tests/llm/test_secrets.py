@@ -109,3 +109,11 @@ def test_redaction(spark):
         assert r.n_chars == (len(text) if merged else 7)
         assert r.base_spans == "x"
     assert secrets.redact(docs.where("false")).count() == 0
+
+
+def test_letters_of_mixed_case_are_judged_by_entropy(spark):
+    rows = [(1, "see kQzRwTbXpLmVcNyHsGdF here"), (2, "see some-Long-file-NAME-of-the-2024-release here"),
+            (3, "see Donaudampfschifffahrtsgesellschaft here")]
+    out = secrets.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = {r.doc_id: [(s.kind, s.start, s.end) for s in r.secret_spans] for r in out.collect()}
+    assert found == {1: [("entropy_base64", 4, 24)], 2: [], 3: []}
