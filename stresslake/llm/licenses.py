@@ -222,26 +222,41 @@ def _grams(words: Column) -> Column:
     return F.array_distinct(F.concat(*[of(n) for n in range(1, MAX_GRAM + 1)]))
 
 
-def scan_licenses(docs: DataFrame, model: LicenseModel, text: str = "text", name: str = "licenses") -> DataFrame:
-    """``docs`` with an array of found licence paragraphs.
+def _words(line: Column) -> Column:
+    return F.filter(F.split(F.lower(line), SEPARATOR), lambda w: w != "")
 
-    Each has line (from 0), start and end (code points), family, probability and
-    confirmed. NULL and empty texts have none. A column with the result's name is
-    replaced; other columns and repeated rows stay.
+
+def _distinctive(model: LicenseModel) -> dict[str, tuple[list[str], list[str]]]:
+    """Per family the n-grams that name it and no other: all, and those of several words.
+
+    They hold a word that marks at most four families; 'license' marks all of them.
+    """
+    grams = {f: set() for f in model.families}
+    for family, template in model.templates:
+        grams[family].update(template)
+    marks = {a for a in model.anchors if sum(a in g for g in grams.values()) <= 4}
+    out = {}
+    for family, own in grams.items():
+        others = set().union(*(g for f, g in grams.items() if f != family))
+        found = sorted(g for g in own - others if marks & set(g.split()))
+        out[family] = (found, [g for g in found if " " in g])
+    return out
+
+
+def _scored(docs: DataFrame, model: LicenseModel, parts: Column, keep, gap: int, name: str) -> DataFrame:
+    """``docs`` with an array of the parts that hold an anchor, with n-grams and e.
+
+    ``parts`` cover the text with ``gap`` characters between; ``keep`` tells from a
+    part's text whether it is wanted. ``e`` are the exponentials of the margins.
     """
     weights = _literal_map(model)
     anchors = F.array(*[F.lit(a) for a in model.anchors])
     bias = F.array(*[F.lit(v) for v in model.bias])
-    n_families = len(model.families)
-    lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
-
-    def words(line: Column) -> Column:
-        return F.filter(F.split(F.lower(line), SEPARATOR), lambda w: w != "")
 
-    # Places of the lines that hold an anchor, with their starts.
-    numbered = F.transform(lines, lambda line, i: F.struct(
+    # Places of the parts that hold an anchor, with their starts.
+    numbered = F.transform(parts, lambda line, i: F.struct(
         i.alias("line"), F.length(line).alias("size"),
-        F.when(F.arrays_overlap(words(line), anchors), line).alias("body"),
+        F.when(keep(line) & F.arrays_overlap(_words(line), anchors), line).alias("body"),
     ))
     begin = F.struct(
         F.lit(0).cast("bigint").alias("at"),
@@ -252,17 +267,17 @@ def scan_licenses(docs: DataFrame, model: LicenseModel, text: str = "text", name
         end = state["at"] + part["size"]
         row = F.struct(part["line"].alias("line"), state["at"].alias("start"), end.alias("end"), part["body"].alias("body"))
         return F.struct(
-            (end + 1).alias("at"),
+            (end + gap).alias("at"),
             F.when(part["body"].isNull(), state["found"]).otherwise(F.concat(state["found"], F.array(row))).alias("found"),
         )
 
-    out = docs.withColumn("_lines", F.aggregate(numbered, begin, place, lambda s: s["found"]))
+    out = docs.withColumn(name, F.aggregate(numbered, begin, place, lambda s: s["found"]))
     # Each step is a list of its own, so what it computes is not computed again later.
-    out = out.withColumn("_lines", F.transform("_lines", lambda p: F.struct(
+    out = out.withColumn(name, F.transform(name, lambda p: F.struct(
         p["line"].alias("line"), p["start"].alias("start"), p["end"].alias("end"),
-        words(p["body"]).alias("words"),
+        _words(p["body"]).alias("words"),
     )))
-    out = out.withColumn("_lines", F.transform("_lines", lambda p: F.struct(
+    out = out.withColumn(name, F.transform(name, lambda p: F.struct(
         p["line"].alias("line"), p["start"].alias("start"), p["end"].alias("end"),
         _grams(p["words"]).alias("grams"),
     )))
@@ -271,10 +286,35 @@ def scan_licenses(docs: DataFrame, model: LicenseModel, text: str = "text", name
         known = F.filter(F.transform(grams, lambda g: F.try_element_at(weights, g)), lambda w: w.isNotNull())
         return F.aggregate(known, bias, lambda total, w: F.zip_with(total, w, lambda a, b: a + b))
 
-    out = out.withColumn("_lines", F.transform("_lines", lambda p: F.struct(
+    return out.withColumn(name, F.transform(name, lambda p: F.struct(
         p["line"].alias("line"), p["start"].alias("start"), p["end"].alias("end"), p["grams"].alias("grams"),
         F.transform(margins(p["grams"]), lambda z: F.exp(z / model.temperature)).alias("e"),
     )))
+
+
+def _confirmed(model: LicenseModel, family: Column, grams: Column) -> Column:
+    templates = F.array(*[
+        F.struct(F.lit(f).alias("family"), F.array(*[F.lit(g) for g in t]).alias("grams"))
+        for f, t in model.templates
+    ])
+    return F.exists(templates, lambda t: (t["family"] == family) & (
+        F.size(F.array_intersect(t["grams"], grams)) >= MIN_CONTAINED * F.size(t["grams"])
+    ))
+
+
+def _lines(text: str) -> Column:
+    return F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
+
+
+def scan_licenses(docs: DataFrame, model: LicenseModel, text: str = "text", name: str = "licenses") -> DataFrame:
+    """``docs`` with an array of found licence lines, the likeliest family of each.
+
+    Each has line (from 0), start and end (code points), family, probability and
+    confirmed. NULL and empty texts have none. A column with the result's name is
+    replaced; other columns and repeated rows stay. ``scan_notices`` finds more.
+    """
+    n_families = len(model.families)
+    out = _scored(docs, model, _lines(text), lambda line: F.lit(True), 1, "_lines")
     names = F.array(*[F.lit(f) for f in model.families])
 
     def verdict(p: Column) -> Column:
@@ -287,26 +327,62 @@ def scan_licenses(docs: DataFrame, model: LicenseModel, text: str = "text", name
         )
 
     out = out.withColumn("_lines", F.filter(F.transform("_lines", verdict), lambda p: p["probability"] >= MIN_PROBABILITY))
-    templates = F.array(*[
-        F.struct(F.lit(f).alias("family"), F.array(*[F.lit(g) for g in grams]).alias("grams"))
-        for f, grams in model.templates
-    ])
-
-    def confirmed(p: Column) -> Column:
-        return F.exists(templates, lambda t: (t["family"] == p["family"]) & (
-            F.size(F.array_intersect(t["grams"], p["grams"])) >= MIN_CONTAINED * F.size(t["grams"])
-        ))
-
     return out.withColumn(name, F.transform("_lines", lambda p: F.struct(
         p["line"].alias("line"), p["start"].alias("start"), p["end"].alias("end"), p["family"].alias("family"),
-        p["probability"].alias("probability"), confirmed(p).alias("confirmed"),
+        p["probability"].alias("probability"), _confirmed(model, p["family"], p["grams"]).alias("confirmed"),
     ))).drop("_lines")
 
 
+def scan_notices(docs: DataFrame, model: LicenseModel, text: str = "text", name: str = "licenses") -> DataFrame:
+    """``docs`` with an array of findings: every family of every line and paragraph.
+
+    Each family is judged against unknown alone, so families do not compete, and needs
+    an n-gram that names it and no other; one of several words to be confirmed. A
+    paragraph, lines joined up to a blank one, adds the families that are confirmed in
+    it and in none of its lines. A finding has start, end (code points), family,
+    probability and confirmed.
+    """
+    unknown = len(model.families) + 1
+    naming = _distinctive(model)
+    families = F.array(*[
+        F.struct(F.lit(i).alias("at"), F.lit(f).alias("family"), *[
+            F.array(*[F.lit(g) for g in naming[f][k]]).cast("array<string>").alias(n) for k, n in enumerate(("any", "long"))
+        ]) for i, f in enumerate(model.families, 1)
+    ])
+
+    def findings(p: Column) -> Column:
+        def judged(f: Column) -> Column:
+            own = F.element_at(p["e"], f["at"])
+            return F.struct(
+                p["start"].alias("start"), p["end"].alias("end"), f["family"].alias("family"),
+                (own / (own + F.element_at(p["e"], F.lit(unknown)))).alias("probability"),
+                (F.arrays_overlap(f["long"], p["grams"]) & _confirmed(model, f["family"], p["grams"])).alias("confirmed"),
+            )
+
+        named = F.filter(families, lambda f: F.arrays_overlap(f["any"], p["grams"]))
+        return F.filter(F.transform(named, judged), lambda f: f["probability"] >= MIN_PROBABILITY)
+
+    # Cut at the line end before a blank line; the blank one begins the next part.
+    paragraphs = F.split(F.coalesce(F.col(text), F.lit("")), r"\n(?=[ \t\r]*+\n)", -1)
+    out = _scored(docs, model, _lines(text), lambda line: F.lit(True), 1, "_lines")
+    out = _scored(out, model, paragraphs, lambda part: part.rlike(r"\S[^\S\n]*+\n\s*+\S"), 1, "_parts")
+    out = out.withColumns({n: F.flatten(F.transform(n, findings)) for n in ("_lines", "_parts")})
+
+    def within(p: Column, outer: Column) -> Column:
+        return (p["family"] == outer["family"]) & (p["start"] >= outer["start"]) & (p["end"] <= outer["end"])
+
+    more = F.filter("_parts", lambda p: p["confirmed"] & ~F.exists(
+        F.col("_lines"), lambda line: line["confirmed"] & within(line, p)))
+    out = out.withColumn("_parts", more)
+    # What a paragraph confirms, its lines need not predict.
+    left = F.filter("_lines", lambda line: line["confirmed"] | ~F.exists(F.col("_parts"), lambda p: within(line, p)))
+    return out.withColumn(name, F.array_sort(F.concat(left, F.col("_parts")))).drop("_lines", "_parts")
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: paragraphs found, those confirmed, their families, and all findings."""
+    """Per document: notices found, those confirmed, their families, and all findings."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    found = scan_licenses(docs, train(docs)).drop("text")
+    found = scan_notices(docs, train(docs)).drop("text")
     sure = F.filter("licenses", lambda p: p["confirmed"])
     return found.select(
         "doc_id", F.size("licenses").cast("long").alias("n_found"), F.size(sure).cast("long").alias("n_confirmed"),

@@ -88,3 +88,31 @@ def test_query(spark):
     assert found.count() == 200
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_notices_of_several_families_and_wrapped_ones(spark, model):
+    body = "alpha beta gamma delta " * 20
+    texts = {
+        1: ("Released under the MIT License or Released under the Apache License 2.0", {"mit", "apache-2.0"}),
+        2: (f"{body}Licensed under the Apache License, Version 2.0 {body}Licensed under CC BY 4.0 {body}", {"apache-2.0", "cc-by"}),
+        3: ("some line\n\nLicensed under the Apache License,\nVersion 2.0\n\nend", {"apache-2.0"}),
+        4: ("Licensed under CC BY-NC 4.0.", {"cc-by-nc"}),
+        5: ("Licensed under the GNU Lesser General Public License, version 2.1", {"lgpl"}),
+        6: ("Licensed under the Apache License, Version 2.0\nBericht mit Daten", {"apache-2.0"}),
+        7: ("Released under\n\nthe MIT License", set()),
+        8: (None, set()),
+        9: ("Licensed under CC BY 4.0 and Licensed under CC BY-NC 4.0", {"cc-by", "cc-by-nc"}),
+    }
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in texts.items()], "doc_id long, text string")
+    rows = {r.doc_id: r.licenses for r in licenses.scan_notices(docs, model).collect()}
+    assert {i: {f.family for f in found if f.confirmed} for i, found in rows.items()} == {i: f for i, (_, f) in texts.items()}
+    wrapped = [(f.start, f.end) for f in rows[3]]
+    assert wrapped and all(texts[3][0][a:b].strip().startswith("Licensed") for a, b in wrapped)
+
+
+def test_a_line_that_names_two_licences(spark, model):
+    lines = ["SPDX-License-Identifier: MIT OR Apache-2.0",
+             "Licensed under the MIT license or the Apache License, Version 2.0"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "doc_id long, text string")
+    for r in licenses.scan_notices(docs, model).collect():
+        assert {f.family for f in r.licenses if f.confirmed} == {"mit", "apache-2.0"}
