@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stresslake.llm.common import prepare
+from stresslake.llm.conversation_repair import op13_conversation_repair
 from stresslake.llm.embedding_dedup import op10_embedding_dedup
+from stresslake.llm.hard_negatives import OP12_SQL, op12_hard_negatives
 from stresslake.llm.knn import OP5_SQL, op5_topk
 from stresslake.llm.language import op6_language
 from stresslake.llm.licenses import op8_licenses
+from stresslake.llm.line_dedup import OP11_SQL, op11_line_dedup
 from stresslake.llm.mixing import OP1_SQL, op1_mixing
 from stresslake.llm.pieces import op7_pieces
 from stresslake.llm.secrets import op9_secrets
@@ -33,7 +36,10 @@ QUERIES: dict[str, Query] = {
     query.__name__: _ready(query)
     for query in (
         op1_mixing, op2_toxicity, op3_simhash, op4_token_counts, op5_topk, op6_language,
-        op7_pieces, op8_licenses, op9_secrets, op10_embedding_dedup,
+        op7_pieces, op8_licenses, op9_secrets, op10_embedding_dedup, op11_line_dedup,
+        op12_hard_negatives, op13_conversation_repair,
     )
 }
-ORACLE: dict[str, str] = {"op1_mixing": OP1_SQL, "op5_topk": OP5_SQL}
+ORACLE: dict[str, str] = {
+    "op1_mixing": OP1_SQL, "op5_topk": OP5_SQL, "op11_line_dedup": OP11_SQL, "op12_hard_negatives": OP12_SQL,
+}
