@@ -4,8 +4,10 @@ orders are transactions, lineitem rows are loan tranches, customers hold cash
 positions and events are intraday movements. A region's currency follows from its
 name; AFRICA's is not in the rate table, so it takes the "no rate" path.
 
-All lookups are plain joins. Which side is broadcast is left to Spark, which decides
-on measured sizes and splits skewed partitions of shuffled joins.
+Lookups are plain joins in star order: the facts meet one dimension after the other, each
+a scan of its own. Spark knows the size of a scan but multiplies those of a join, so a
+chain of dimensions joined first would seem larger than the facts. Nothing is hinted;
+dimensions beyond the broadcast threshold are joined by shuffling, split where skewed.
 """
 
 from __future__ import annotations
@@ -33,31 +35,28 @@ def currency_of(region: Column) -> Column:
     return F.coalesce(*known, F.lit(OTHER_CURRENCY))
 
 
-def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nation key -> region."""
-    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        "n_nationkey", F.col("r_name").alias("region_code")
-    )
-
-
 def with_place(df: DataFrame, sf_dir: str, nation: str) -> DataFrame:
     """Rows of known nations with region and currency instead of the nation key."""
-    place = geography(df.sparkSession, sf_dir)
-    placed = df.join(place, F.col(nation) == F.col("n_nationkey")).drop("n_nationkey")
-    return placed.drop(nation).withColumn("currency_code", currency_of(F.col("region_code")))
-
-
-def _places(spark: SparkSession, sf_dir: str, name: str, key: str, nation: str) -> DataFrame:
-    return with_place(table(spark, sf_dir, name).select(key, nation), sf_dir, nation)
+    spark = df.sparkSession
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    regions = table(spark, sf_dir, "region").select("r_regionkey", F.col("r_name").alias("region_code"))
+    placed = (
+        df.join(nations, F.col(nation) == F.col("n_nationkey"))
+        .join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
+        .drop(nation, "n_nationkey", "n_regionkey", "r_regionkey")
+    )
+    return placed.withColumn("currency_code", currency_of(F.col("region_code")))
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _places(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
+    """Customer keys with their place."""
+    return with_place(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), sf_dir, "c_nationkey")
 
 
-def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _places(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
+def located(df: DataFrame, sf_dir: str, key: str, owner: str, owner_key: str, nation: str) -> DataFrame:
+    """Rows whose ``key`` names a customer or supplier, with its region and currency."""
+    owners = table(df.sparkSession, sf_dir, owner).select(owner_key, nation)
+    return with_place(df.join(owners, F.col(key) == F.col(owner_key)).drop(owner_key), sf_dir, nation)
 
 
 def transaction_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,11 +118,11 @@ def intraday_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Rows without a place, the column that leads to one, and the place lookup.
+# Rows without a place, and the way to one: key column, table, its key and its nation.
 _PLACED = {
-    "transactions": (transaction_rows, "customer_id", customers, "c_custkey"),
-    "loans": (loan_rows, "branch_id", suppliers, "s_suppkey"),
-    "intraday": (intraday_rows, "customer_id", customers, "c_custkey"),
+    "transactions": (transaction_rows, ("customer_id", "customer", "c_custkey", "c_nationkey")),
+    "loans": (loan_rows, ("branch_id", "supplier", "s_suppkey", "s_nationkey")),
+    "intraday": (intraday_rows, ("customer_id", "customer", "c_custkey", "c_nationkey")),
 }
 
 
@@ -131,12 +130,8 @@ def domain(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """All rows of a domain with region and currency."""
     if name == "cash":
         return cash(spark, sf_dir)
-    rows, key, places, place_key = _PLACED[name]
-    return (
-        rows(spark, sf_dir)
-        .join(places(spark, sf_dir), F.col(key) == F.col(place_key))
-        .drop(place_key)
-    )
+    rows, place = _PLACED[name]
+    return located(rows(spark, sf_dir), sf_dir, *place)
 
 
 def regional_sums(
@@ -152,16 +147,15 @@ def regional_sums(
     sums = [F.sum(amount).alias("_sum"), F.count(F.lit(1)).alias("_rows")]
     if name == "cash":
         return cash(spark, sf_dir).groupBy("region_code", "currency_code", *by).agg(*sums)
-    rows, key, places, place_key = _PLACED[name]
-    per_key = rows(spark, sf_dir).groupBy(key, *by).agg(*sums)
+    rows, place = _PLACED[name]
+    per_key = rows(spark, sf_dir).groupBy(place[0], *by).agg(*sums)
     return (
-        per_key.join(places(spark, sf_dir), F.col(key) == F.col(place_key))
+        located(per_key, sf_dir, *place)
         .groupBy("region_code", "currency_code", *by)
         .agg(F.sum("_sum").alias("_sum"), F.sum("_rows").alias("_rows"))
     )
 
 
-
 # Reference level of the derived rate feed, USD per unit.
 FEED_LEVEL = {"USD": "1.0", "EUR": "1.09", "JPY": "0.0068", "AED": "0.2723", "ZAR": "0.0535"}
 
@@ -177,10 +171,9 @@ def fx_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     ])
     move = (F.col("o_orderkey") % 101 + 950).cast("decimal(6,0)")
     rate = level * move * F.lit("0.001").cast("decimal(4,3)")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     return (
-        table(spark, sf_dir, "orders")
-        .select("o_orderkey", "o_custkey", "o_orderdate")
-        .join(customers(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
+        located(orders, sf_dir, "o_custkey", "customer", "c_custkey", "c_nationkey")
         .select(
             F.col("o_orderkey").alias("fx_rate_id"),
             "currency_code",
@@ -191,6 +184,13 @@ def fx_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fx_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed as it is published: an observation comes out 3 to 47 days after its order."""
+    late = (F.lit(3) + F.pmod(F.col("fx_rate_id"), F.lit(45))).cast("int")
+    published = F.date_add(F.to_date("as_of_timestamp"), late)
+    return fx_feed(spark, sf_dir).withColumn("as_of_timestamp", published)
+
+
 def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loans as an unchecked text drop: bad dates and amounts, gaps, an extra column."""
     number = F.col("l_linenumber")
