@@ -8,6 +8,7 @@ library's own.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -70,6 +71,45 @@ def select_slice(
     return df
 
 
+def select_by(df: DataFrame, dimension: DataFrame, column: str = REGION) -> DataFrame:
+    """Rows whose ``column`` stands in a (filtered) dimension table.
+
+    On a table stored by that column Spark prunes directories while the query runs, once
+    it knows what the filter of the dimension leaves. Repeated and NULL values of the
+    dimension add no rows.
+    """
+    wanted = dimension.select(F.col(column)).distinct()
+    return df.join(wanted, column, "left_semi")
+
+
+# Levels of the dashboard: what a total is broken down by.
+GRID = (("scenario_id",), ("region_code",), ("scenario_id", "region_code"), ("scenario_id", "day"), ())
+
+
+def dashboard_grid(daily: Mapping[str, DataFrame], sets: Sequence[tuple[str, ...]] = GRID) -> DataFrame:
+    """Totals of all tables at all levels of the dashboard, from one grouping.
+
+    ``daily`` maps a table to its totals per scenario, region and day, with ``n``. A row
+    has table_name, level (the columns it is broken down by, joined by ``x``), those
+    columns (NULL where the level sums over them), n and total. Every table is read
+    once; the levels are grouping sets over the same rows.
+    """
+    def long(name: str, totals: DataFrame) -> DataFrame:
+        spec = spec_for(name)
+        return totals.select(
+            F.lit(name).alias("table_name"), SCENARIO, REGION, F.col(spec.date_col).alias("day"), "n",
+            F.col(spec.measure.total).alias("total"),
+        )
+
+    rows = reduce(DataFrame.unionByName, [long(name, totals) for name, totals in daily.items()])
+    keys = [SCENARIO, REGION, "day"]
+    level = F.concat_ws("x", *[F.when(F.grouping(k) == 0, F.lit(k)) for k in keys])
+    grouped = rows.groupingSets(
+        [[F.col("table_name"), *map(F.col, s)] for s in sets], "table_name", *keys
+    )
+    return grouped.agg(F.sum("n").alias("n"), F.sum("total").alias("total"), level.alias("level"))
+
+
 def region_share(totals: DataFrame, table: str | TableSpec) -> DataFrame:
     """Each region's part of its scenario's total, in percent."""
     value = F.col(spec_for(table).measure.total).cast("double")

@@ -1,12 +1,15 @@
 """Layer checks as data: one row per check with its value and status.
 
 All counting checks of a table share one aggregate over the table; only the
-duplicate-key check needs an exchange of its own.
+duplicate-key check needs an exchange of its own. The same aggregates can be observed
+while a table is written (``layer_metrics``), and read as checks afterwards.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterable, Iterator, Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stresslake.operators.cleaning import missing_columns
@@ -100,26 +103,36 @@ def validate_silver(df: DataFrame, table: str | TableSpec, key: tuple[str, ...]
     found = _checks(one_row, "silver", spec.name, checks).where(
         ~F.col("check_name").startswith("nulls:") | (F.col("value") > 0)
     )
+    keys = key_checks(df, spec, key)
+    return found if keys is None else found.unionByName(keys)
+
+
+def key_checks(df: DataFrame, table: str | TableSpec, key: tuple[str, ...] = ()) -> DataFrame | None:
+    """The check for repeated keys of a silver table; ``None`` if it lacks a key column."""
+    spec = spec_for(table)
     key = key or spec.key
     if missing_columns(df, key):
-        return found
+        return None
     repeated = F.col("duplicate_keys")
-    keys = _checks(duplicate_keys(df, *key), "silver", spec.name, [
+    return _checks(duplicate_keys(df, *key), "silver", spec.name, [
         ("duplicate_keys", repeated, _zero_or(repeated, WARN)),
     ])
-    return found.unionByName(keys)
 
 
-def validate_gold(df: DataFrame, table: str | TableSpec) -> DataFrame:
-    """Gold: positive factors, and no negative stressed amounts or liquidity."""
-    spec = spec_for(table)
-    rules = {
+def _gold_rules() -> dict[str, tuple[str, Column, str]]:
+    """Column, condition and bad status by check name."""
+    return {
         "non_positive_factor": (FACTOR, F.col(FACTOR) <= 0, FAIL),
         "negative_stressed_amount": (
             "stressed_transaction_amount", F.col("stressed_transaction_amount") < 0, WARN),
         "negative_liquidity": ("stressed_liquidity", F.col("stressed_liquidity") < 0, WARN),
     }
-    held = {n: r for n, r in rules.items() if r[0] in df.columns}
+
+
+def validate_gold(df: DataFrame, table: str | TableSpec) -> DataFrame:
+    """Gold: positive factors, and no negative stressed amounts or liquidity."""
+    spec = spec_for(table)
+    held = {n: r for n, r in _gold_rules().items() if r[0] in df.columns}
     one_row = df.agg(
         F.count(F.lit(1)).alias("row_count"),
         *[F.count_if(bad).alias(f"_{n}") for n, (_, bad, _s) in held.items()],
@@ -136,3 +149,50 @@ def validate(df: DataFrame, layer: str, table: str | TableSpec) -> DataFrame:
     if layer not in by_layer:
         raise ValueError(f"unknown layer {layer!r}")
     return by_layer[layer](df, table)
+
+
+# --- checks observed during a write ---------------------------------------------
+
+
+def layer_metrics(df: DataFrame, layer: str, table: str | TableSpec) -> dict[str, Column]:
+    """Aggregates behind the counting checks of a layer, for ``DataFrame.observe``."""
+    metrics = {"row_count": F.count(F.lit(1))}
+    if layer == "silver":
+        metrics |= {f"nulls:{c}": F.count_if(F.col(f"`{c}`").isNull()) for c in df.columns}
+        if "fx_rate_to_usd" in df.columns:
+            metrics["non_positive_rate"] = F.count_if(F.col("fx_rate_to_usd") <= 0)
+    if layer == "gold":
+        metrics |= {n: F.count_if(bad) for n, (c, bad, _) in _gold_rules().items() if c in df.columns}
+    return metrics
+
+
+def checks_of(
+    values: Mapping[str, int], layer: str, table: str | TableSpec, columns: list[str]
+) -> Iterator[tuple[str, str, str, int, str]]:
+    """Check rows from observed values, as the validators give them for the same table."""
+    spec, rows = spec_for(table), values["row_count"]
+
+    def row(name: str, value: int, bad: str) -> tuple[str, str, str, int, str]:
+        return layer, spec.name, name, value, bad if value else PASS
+
+    if layer == "bronze":
+        yield layer, spec.name, "row_count", rows, PASS if rows else FAIL
+        absent = [c for c in spec.required if c not in columns]
+        yield row("missing_columns", len(absent), FAIL)
+        return
+    yield layer, spec.name, "row_count", rows, INFO
+    if layer == "silver":
+        nulls = {n: v for n, v in values.items() if n.startswith("nulls:") and v}
+        yield row("null_columns", len(nulls), WARN)
+        yield from (row(n, v, WARN) for n, v in nulls.items())
+        if "non_positive_rate" in values:
+            yield row("non_positive_rate", values["non_positive_rate"], FAIL)
+    if layer == "gold":
+        yield from (row(n, values[n], bad) for n, (_, _, bad) in _gold_rules().items() if n in values)
+
+
+def check_frame(spark: SparkSession, rows: Iterable[tuple]) -> DataFrame:
+    """Check rows as a frame."""
+    return spark.createDataFrame(
+        list(rows), "layer string, table_name string, check_name string, value bigint, status string"
+    )

@@ -26,6 +26,7 @@ ORACLE: dict[str, str] = {}
 
 EXACT_RATES = {code: Decimal(str(rate)) for code, rate in FALLBACK_RATES.items()}
 AS_OF = "1999-12-31"
+LOADED = "2024-01-31"  # a day after all others
 
 
 def register(name: str, oracle: str | None):
@@ -546,11 +547,10 @@ def ingest_all_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     ])
 
 
-@register("layer_roundtrip", sql.LAYER_TOTALS)
-def layer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All four domains through bronze, silver, gold and aggregates on storage."""
+def _bronze_lake(spark: SparkSession, sf_dir: str) -> Layout:
+    """A lake with the four domains and the scenarios in bronze."""
     # Their rows spread over many days, with few on each.
-    layout = Layout(writers.scratch_root(spark), undated=("transactions", "loans", "intraday"))
+    layout = Layout(writers.scratch_root(spark), undated=("transactions", "loans", "intraday", "fx_rates"))
     for name in TRANSFORMABLE:
         bronze = cleaning.to_bronze(domains.domain(spark, sf_dir, name), name)
         partitions = layout.partitions(SPECS[name], "bronze")
@@ -559,6 +559,13 @@ def layer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         "market_stress_factor", F.col("market_stress_factor").cast("decimal(6,2)")
     )
     writers.write_unpartitioned(factors, layout.bronze("scenario"))
+    return layout
+
+
+@register("layer_roundtrip", sql.LAYER_TOTALS)
+def layer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All four domains through bronze, silver, gold and aggregates on storage."""
+    layout = _bronze_lake(spark, sf_dir)
     medallion.run_pipeline(spark, layout, rates=EXACT_RATES)
     return reduce(DataFrame.unionByName, [
         readers.read_table(spark, layout.aggregate(f"aggregates_{n}")).select(
@@ -574,8 +581,14 @@ def report_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold of all domains, their aggregates and the combined view as report extracts."""
     layout = Layout(writers.scratch_root(spark), undated=("transactions", "loans", "intraday"))
     for name in TRANSFORMABLE:
-        partitions = layout.partitions(SPECS[name], "gold")
-        writers.write_partitioned(gold(spark, sf_dir, name), layout.gold(name), partitions)
+        silver = priced(domains.domain(spark, sf_dir, name), name)
+        writers.write_partitioned(silver, layout.silver(name), layout.partitions(SPECS[name], "silver"))
+        grouped = readers.read_table(spark, layout.silver(name))
+        # Rows come grouped by directory, and their copies stay with them: no exchange of gold.
+        writers.write_partitioned(
+            scenario.to_gold(grouped, name, scenario.DECIMAL_SET), layout.gold(name),
+            layout.partitions(SPECS[name], "gold"), rebalance=False,
+        )
     medallion.aggregate(spark, layout)
     medallion.export(spark, layout)
 
@@ -625,29 +638,31 @@ def ingest_named_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("validate_layers", sql.VALIDATE_LAYERS)
 def validate_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Checks of every table of a lake in bronze, silver and gold."""
-    layout = Layout(writers.scratch_root(spark), undated=("transactions", "loans", "intraday"))
-    for name in TRANSFORMABLE:
-        bronze = cleaning.to_bronze(domains.domain(spark, sf_dir, name), name)
-        writers.write_partitioned(bronze, layout.bronze(name), layout.partitions(SPECS[name], "bronze"))
-    writers.write_unpartitioned(scenario.scenario_table(spark), layout.bronze("scenario"))
+    """All checks of all six tables of a lake in bronze, silver and gold."""
+    layout = _bronze_lake(spark, sf_dir)
+    rates = domains.fx_feed(spark, sf_dir).withColumn("as_of_date", F.to_date("as_of_timestamp"))
+    writers.write_partitioned(rates, layout.bronze("fx_rates"), layout.partitions(SPECS["fx_rates"], "bronze"))
     medallion.convert(spark, layout, rates=EXACT_RATES)
     medallion.stress(spark, layout)
-    checks = medallion.validate_layers(spark, layout)
-    return checks.where("check_name IN ('row_count', 'missing_columns', 'non_positive_factor')")
+    return medallion.validate_layers(spark, layout)
+
+
+@register("validate_observed", sql.VALIDATE_OBSERVED)
+def validate_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks of silver and gold as a run observes them while it writes."""
+    layout = _bronze_lake(spark, sf_dir)
+    steps = medallion.run_pipeline(spark, layout, rates=EXACT_RATES, check=True)
+    return medallion.observed_checks(spark, layout, steps)
 
 
 @register("quality_gate", sql.QUALITY_GATE)
 def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A drop with repeated and missing values, read as text, is refused with its issues."""
-    folder = writers.scratch_root(spark)
-    drop = writers.write_csv_drop(domains.raw_transactions(spark, sf_dir), folder, "transactions", "1")
-    raw = readers.read_text_columns(spark, drop)
-    report = quality.quality_report(raw, "transactions", as_of=AS_OF)
-    return report.select(
-        "table_name", "total_rows", "duplicate_rows", "pk_duplicate_count", "overall_nulls",
-        (F.col("recommendation") == quality.PROCEED).alias("accepted"),
-    )
+    """Two drops at the gate: one is written to bronze, one is refused with its issues."""
+    layout = Layout(writers.scratch_root(spark), undated=("transactions", "loans"))
+    drops = {"transactions": domains.full_transactions(spark, sf_dir), "loans": domains.raw_loans(spark, sf_dir)}
+    for name, rows in drops.items():
+        writers.write_csv_drop(rows, layout.raw(name), name, "20240101")
+    return medallion.run_report(spark, medallion.ingest(spark, layout, drops, LOADED, gate=True))
 
 
 @register("partition_column_failure", sql.PARTITION_FAILURE)

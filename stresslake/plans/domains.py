@@ -223,3 +223,19 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     again = once.where(F.col("transaction_type") == "1-URGENT")
     return once.unionByName(again)
+
+
+def full_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions as a drop that lacks nothing: every column of the registry, clean."""
+    rows = domain(spark, sf_dir, "transactions")
+    day = F.col("transaction_date").cast("string")
+    customer = F.col("customer_id").cast("string")
+    return rows.select(
+        F.concat(F.lit("T"), F.col("transaction_id").cast("string")).alias("transaction_id"),
+        F.concat(F.lit("A"), customer).alias("account_id"), F.concat(F.lit("C"), customer).alias("customer_id"),
+        F.concat(F.lit("BR_"), F.col("region_code")).alias("branch_id"), day.alias("transaction_date"),
+        "transaction_type", F.col("transaction_amount").cast("string").alias("transaction_amount"),
+        "currency_code", "region_code", F.concat(F.lit("L"), customer).alias("loan_id"),
+        day.alias("start_date"), day.alias("end_date"), F.lit("Base").alias("baseline"),
+        F.when(F.col("transaction_amount") < 100000, "small").otherwise("large").alias("amount_bucket"),
+    )

@@ -50,7 +50,8 @@ FX = f"""fx AS (
 
 _scenario_rows = ", ".join(f"({row[0]}, {row[-1]})" for row in SCENARIOS)
 SCEN = f"""scen AS (
-  SELECT scenario_id, CAST(f AS DECIMAL(6,2)) AS f FROM (VALUES {_scenario_rows}) AS t(scenario_id, f))"""
+  SELECT scenario_id, CAST(f AS DECIMAL(6,2)) AS f, CAST(f AS DECIMAL(6,2)) AS market_stress_factor
+  FROM (VALUES {_scenario_rows}) AS t(scenario_id, f))"""
 
 ONE = "CAST(1 AS DECIMAL(12,6))"
 LEVEL = "CASE WHEN f >= 1.5 THEN 'HIGH' WHEN f >= 1.2 THEN 'MEDIUM' ELSE 'LOW' END"
@@ -283,20 +284,27 @@ _ROWS = "CASE WHEN v > 0 THEN 'PASS' ELSE 'FAIL' END"
 _INFO = "CASE WHEN v >= 0 THEN 'INFO' END"
 
 
-def _bronze(table: str, source: str, missing: int) -> list[str]:
+def _listed(names) -> str:
+    """Names with their positions as a relation (p, c)."""
+    return "(VALUES " + ", ".join(f"({i}, '{c}')" for i, c in enumerate(names)) + ") AS r(p, c)"
+
+
+def _bronze(table: str, source: str) -> list[str]:
+    absent = f"(SELECT c FROM {_listed(SPECS[table].required)} EXCEPT SELECT column_name FROM (DESCRIBE {source}))"
     return [
         _check("bronze", table, "row_count", "COUNT(*)", source, _ROWS),
-        _check("bronze", table, "missing_columns", str(missing), "(SELECT 1)", "FAIL"),
+        _check("bronze", table, "missing_columns", "COUNT(*)", absent, "FAIL"),
     ]
 
 
-# loans lack customer_id here; the other domains hold every required column.
 VALIDATE_BRONZE = with_(GEO, *DOMAIN.values(), FEED, SCEN) + "\nUNION ALL ".join(
-    [row for n in TRANSFORMABLE for row in _bronze(n, n, 1 if n == "loans" else 0)]
-    + _bronze("fx_rates", "feed", 0) + _bronze("scenario", "scen", 0)
+    [row for n in TRANSFORMABLE for row in _bronze(n, n)]
+    + _bronze("fx_rates", "feed") + _bronze("scenario", "scen")
 )
 
 _SILVER_DOMAINS = {
+    "transactions": (["transaction_id", "customer_id", "transaction_date", "transaction_type",
+                      "transaction_amount", "region_code", "currency_code"], "transaction_id"),
     "cash": (["cash_position_id", "region_code", "currency_code", "business_date", "closing_balance",
               "available_liquidity"], "cash_position_id"),
     "loans": (["loan_id", "tranche", "branch_id", "business_date", "loan_amount", "outstanding_balance",
@@ -306,21 +314,23 @@ _SILVER_DOMAINS = {
 }
 
 
-def _silver_checks(name: str) -> list[str]:
-    columns, key = _SILVER_DOMAINS[name]
+def _silver_checks(name: str, source: str = "", key: str = "", more: tuple[str, ...] = ()) -> list[str]:
+    table = name
+    columns, own_key = _SILVER_DOMAINS[name]
+    columns, key, name = [*columns, *more], key or own_key, source or name
     with_nulls = " + ".join(f"CAST(COUNT(*) > COUNT({c}) AS INT)" for c in columns)
     return [
-        _check("silver", name, "row_count", "COUNT(*)", name, _INFO),
-        _check("silver", name, "null_columns", with_nulls, name, "WARN"),
-        *[f"SELECT * FROM ({_check('silver', name, f'nulls:{c}', f'COUNT(*) - COUNT({c})', name, 'WARN')}) WHERE value > 0"
+        _check("silver", table, "row_count", "COUNT(*)", name, _INFO),
+        _check("silver", table, "null_columns", with_nulls, name, "WARN"),
+        *[f"SELECT * FROM ({_check('silver', table, f'nulls:{c}', f'COUNT(*) - COUNT({c})', name, 'WARN')}) WHERE value > 0"
           for c in columns],
-        _check("silver", name, "duplicate_keys", "COUNT(*)",
+        _check("silver", table, "duplicate_keys", "COUNT(*)",
                f"(SELECT 1 FROM {name} GROUP BY {key} HAVING COUNT(*) > 1)", "WARN"),
     ]
 
 
-VALIDATE_SILVER = with_(GEO, *[DOMAIN[n] for n in _SILVER_DOMAINS], FEED, RAW_TXN) + "\nUNION ALL ".join(
-    [row for n in _SILVER_DOMAINS for row in _silver_checks(n)] + [
+VALIDATE_SILVER = with_(GEO, *[DOMAIN[n] for n in ("cash", "loans", "intraday")], FEED, RAW_TXN) + "\nUNION ALL ".join(
+    [row for n in ("cash", "loans", "intraday") for row in _silver_checks(n)] + [
     _check("silver", "transactions", "row_count", "COUNT(*)", "raw_txn", _INFO),
     _check("silver", "transactions", "null_columns",
            "CAST(COUNT(*) > COUNT(transaction_type) AS INT)", "raw_txn", "WARN"),
@@ -342,8 +352,8 @@ VALIDATE_SILVER = with_(GEO, *[DOMAIN[n] for n in _SILVER_DOMAINS], FEED, RAW_TX
 _NEGATIVE_GOLD = {"transactions": "negative_stressed_amount", "cash": "negative_liquidity"}
 
 
-def _gold_checks(name: str) -> list[str]:
-    source = _expanded(name)
+def _gold_checks(name: str, rows: str = "") -> list[str]:
+    source = _expanded(name).replace(name, rows or name, 1)
     rows = [
         _check("gold", name, "row_count", "COUNT(*)", source, _INFO),
         _check("gold", name, "non_positive_factor", "COUNT(*) FILTER (f <= 0)", source, "FAIL"),
@@ -515,58 +525,69 @@ RECORD_COUNT = "\nUNION ALL ".join(
 )
 
 
-def _report(table: str, source: str, columns: int, dup: str, worst: str, nulls: str, types: int,
-            invalid: str, rules: str, missing: list[str], extra: list[str], key: str) -> str:
-    """One report row. ``types`` mismatched columns are known from the raw view's layout."""
-    issues = [
-        f"CASE WHEN overall_nulls > 0 THEN '{worst} has nulls' END",
-        f"CASE WHEN pk_duplicate_count > 0 THEN 'duplicate {key} found' END",
-        f"'missing column(s): {', '.join(missing)}'" if missing else "NULL",
-        f"'extra column(s): {', '.join(extra)}'" if extra else "NULL",
-    ]
-    return f"""SELECT *, 9 - passed_checks AS failed_checks,
+def _invalid(table: str, columns: list[str]) -> str:
+    """Values of number and date columns that do not read as such."""
+    tests = {
+        "float": f"NOT regexp_full_match(trim({{c}}), {_NUMBER})", "int": f"NOT regexp_full_match(trim({{c}}), {_NUMBER})",
+        "date": "{c} IS NOT NULL AND TRY_CAST(trim({c}) AS TIMESTAMP) IS NULL",
+        "datetime": "{c} IS NOT NULL AND TRY_CAST(trim({c}) AS TIMESTAMP) IS NULL",
+    }
+    kinds = SPECS[table].columns
+    checked = [(c, tests[kinds[c]]) for c in columns if kinds.get(c) in tests]
+    return " + ".join(f"COUNT(*) FILTER ({test.format(c=c)})" for c, test in checked)
+
+
+def _report(table: str, source: str, columns: list[str], rules: str, key: str = "") -> str:
+    """One report row of a source whose columns are all text."""
+    expected = SPECS[table].columns
+    key = key or ", ".join(SPECS[table].key)
+    found = f"(SELECT column_name FROM (DESCRIBE {source}))"
+    kinds = "(VALUES " + ", ".join(f"('{c}', '{k}')" for c, k in expected.items()) + ") AS e(column_name, expected_type)"
+    counted = "\n  UNION ALL ".join(
+        f"SELECT {i} AS p, '{c}' AS c, COUNT(*) - COUNT({c}) AS n FROM {source}" for i, c in enumerate(columns)
+    )
+    types = "\n  UNION ALL ".join(_type_of(c, source) for c in columns)
+    mismatched = f"""SELECT COUNT(*) FROM ({types}) JOIN {kinds} USING (column_name)
+    WHERE semantic_type <> expected_type AND NOT (expected_type = 'float' AND semantic_type = 'int')
+      AND NOT (expected_type = 'datetime' AND semantic_type = 'date')"""
+    return f"""SELECT * EXCLUDE (worst, missing, extra), 9 - passed_checks AS failed_checks,
   CASE WHEN passed_checks = 9 THEN 'Proceed to ingestion'
        ELSE 'Fix schema / validity issues and deduplicate before ingestion' END AS recommendation
 FROM (SELECT *, CASE WHEN final_score >= 95 THEN 'GOOD' WHEN final_score >= 85 THEN 'NEEDS ATTENTION'
                      ELSE 'POOR' END AS grade,
   CAST(overall_nulls = 0 AS INT) + CAST(duplicate_rows = 0 AS INT) + CAST(pk_duplicate_count = 0 AS INT)
   + CAST(missing_columns = 0 AS INT) + CAST(extra_columns = 0 AS INT) + CAST(type_mismatches = 0 AS INT)
-  + CAST(invalid_formats = 0 AS INT) + CAST(rule_violations = 0 AS INT) + 1 AS passed_checks
+  + CAST(invalid_formats = 0 AS INT) + CAST(rule_violations = 0 AS INT) + 1 AS passed_checks,
+  coalesce(nullif(concat_ws('; ', CASE WHEN overall_nulls > 0 THEN worst || ' has nulls' END,
+    CASE WHEN pk_duplicate_count > 0 THEN 'duplicate {key} found' END,
+    'missing column(s): ' || missing, 'extra column(s): ' || extra), ''), 'No major issues detected') AS major_issues
 FROM (SELECT * EXCLUDE (v), round(v, 2) AS validity,
              round((completeness + uniqueness + v) / 3.0, 2) AS final_score
 FROM (SELECT *, round((1 - overall_nulls / total_cells) * 100.0, 2) AS completeness,
   round(100.0 - duplicate_pct, 2) AS uniqueness,
   greatest(0.0, 100.0 - (invalid_formats + rule_violations + missing_columns + extra_columns
-           + type_mismatches) / total_rows * 100.0) AS v,
-  concat_ws('; ', {', '.join(issues)}) AS major_issues, 'PASS' AS record_count_status
-FROM (SELECT *, total_rows * {columns} AS total_cells FROM ({dup}))
-CROSS JOIN (SELECT {nulls} AS overall_nulls, {invalid} AS invalid_formats, {rules} AS rule_violations,
-                   {columns} AS total_columns, {len(missing)} AS missing_columns,
-                   {len(extra)} AS extra_columns, CAST({types} AS BIGINT) AS type_mismatches
-            FROM {source}))))"""
-
-
-def _missing(table: str, present: list[str]) -> list[str]:
-    return [c for c in SPECS[table].columns if c not in present]
+           + type_mismatches) / total_rows * 100.0) AS v, 'PASS' AS record_count_status
+FROM (SELECT *, total_rows * total_columns AS total_cells FROM ({_duplicates(table, source, key)})
+      CROSS JOIN (SELECT COUNT(*) AS total_columns FROM {found}))
+CROSS JOIN (SELECT SUM(n)::BIGINT AS overall_nulls, arg_max(c, n * 1000 - p) AS worst FROM ({counted}))
+CROSS JOIN (SELECT COUNT(*) AS missing_columns, string_agg(c, ', ' ORDER BY p) AS missing
+            FROM {_listed(expected)} WHERE c NOT IN {found})
+CROSS JOIN (SELECT COUNT(*) AS extra_columns, string_agg(c, ', ' ORDER BY p) AS extra FROM {_listed(columns)}
+            WHERE c NOT IN (SELECT c FROM {_listed(expected)}) AND c IN {found})
+CROSS JOIN (SELECT {_invalid(table, columns)} AS invalid_formats, {rules} AS rule_violations,
+                   ({mismatched}) AS type_mismatches FROM {source}))))"""
 
 
 _TXN_COLUMNS = ["transaction_id", "customer_id", "transaction_date", "transaction_type",
                 "transaction_amount"]
-QUALITY_REPORT = with_(RAW_TXN, RAW_LOANS) + _report(
-    "transactions", "raw_txn", 5, _duplicates("transactions", "raw_txn", "transaction_id"),
-    "transaction_type", "COUNT(*) - COUNT(transaction_type)",
-    # transaction_id and customer_id are expected as text but hold integers.
-    2, "0", f"COUNT(*) FILTER ({_NEGATIVE}) + COUNT(*) FILTER ({_FUTURE})",
-    _missing("transactions", _TXN_COLUMNS), [], "transaction_id",
-) + "\nUNION ALL BY NAME " + _report(
-    "loans", "raw_loans", 9, _duplicates("loans", "raw_loans", "loan_id, tranche"),
-    "interest_rate", "2 * COUNT(*) - COUNT(loan_amount) - COUNT(interest_rate)",
-    # loan_id is numeric; loan_start_date and loan_amount hold unreadable text.
-    3,
-    f"COUNT(*) FILTER (NOT regexp_full_match(loan_amount, {_NUMBER}))"
-    " + COUNT(*) FILTER (TRY_CAST(loan_start_date AS TIMESTAMP) IS NULL)",
-    f"COUNT(*) FILTER ({_OVER_LOAN})",
-    _missing("loans", RAW_LOAN_COLUMNS), ["tranche"], "loan_id, tranche",
+_TXN_RULES = f"COUNT(*) FILTER ({_NEGATIVE}) + COUNT(*) FILTER ({_FUTURE})"
+# The same for a load after the last order.
+_LATER_RULES = _TXN_RULES.replace("1999-12-31", "2024-01-31")
+_LOAN_RULES = f"COUNT(*) FILTER ({_OVER_LOAN})"
+QUALITY_REPORT = with_(RAW_TXN, RAW_LOANS) + (
+    _report("transactions", "raw_txn", _TXN_COLUMNS, _TXN_RULES)
+    + "\nUNION ALL BY NAME "
+    + _report("loans", "raw_loans", RAW_LOAN_COLUMNS, _LOAN_RULES, "loan_id, tranche")
 )
 
 # --- layered runs ---------------------------------------------------------------
@@ -619,22 +640,70 @@ ROW_COUNT_CUSTOMERS = (
     f"SELECT COUNT(*) AS n, {money('SUM(CAST(c_acctbal AS DECIMAL(18,2)))', 'balance')} FROM customer"
 )
 
-VALIDATE_LAYERS = with_(GEO, *DOMAIN.values(), SCEN, *_DISTINCT.values()) + "\nUNION ALL ".join(
-    [row for n in TRANSFORMABLE for row in _bronze(n, n, 1 if n == "loans" else 0)]
-    + _bronze("scenario", "scen", 0)
-    + [_check("silver", n, "row_count", "COUNT(*)", f"{n}_rows", _INFO) for n in TRANSFORMABLE]
-    + [row for n in TRANSFORMABLE for row in (
-        _check("gold", n, "row_count", "COUNT(*)", f"{n}_rows CROSS JOIN scen", _INFO),
-        _check("gold", n, "non_positive_factor", "COUNT(*) FILTER (f <= 0)",
-               f"{n}_rows CROSS JOIN scen", "FAIL"),
-    )]
+# Silver tables: distinct rows with their rate and converted amounts.
+_SILVER = {
+    n: f"{n}_silver AS (SELECT *, COALESCE(rate_to_usd, {ONE}) AS rate, "
+       + ", ".join(f"{a} * COALESCE(rate_to_usd, {ONE}) AS {a}_usd" for a in SPECS[n].amounts)
+       + f" FROM {n}_rows LEFT JOIN fx USING (currency_code))"
+    for n in TRANSFORMABLE
+}
+_LAYER_CTES = with_(GEO, *DOMAIN.values(), FX, FEED, SCEN, *_DISTINCT.values(), *_SILVER.values())
+_RUN_CHECKS = [
+    row for n in TRANSFORMABLE for row in [
+        *_silver_checks(n, f"{n}_silver", ", ".join(SPECS[n].key), ("rate", *[f"{a}_usd" for a in SPECS[n].amounts])),
+        *_gold_checks(n, f"{n}_rows"),
+    ]
+]
+VALIDATE_LAYERS = _LAYER_CTES + "\nUNION ALL ".join(
+    [row for n in TRANSFORMABLE for row in _bronze(n, n)]
+    + _bronze("fx_rates", "feed") + _bronze("scenario", "scen") + _RUN_CHECKS
+)
+VALIDATE_OBSERVED = _LAYER_CTES + "\nUNION ALL ".join(_RUN_CHECKS)
+
+FULL_TXN = DOMAIN["transactions"] + """,
+full_txn AS (
+  SELECT 'T' || transaction_id AS transaction_id, 'A' || customer_id AS account_id, 'C' || customer_id AS customer_id,
+         'BR_' || region_code AS branch_id, CAST(transaction_date AS VARCHAR) AS transaction_date, transaction_type,
+         CAST(transaction_amount AS VARCHAR) AS transaction_amount, currency_code, region_code,
+         'L' || customer_id AS loan_id, CAST(transaction_date AS VARCHAR) AS start_date,
+         CAST(transaction_date AS VARCHAR) AS end_date, 'Base' AS baseline,
+         CASE WHEN transaction_amount < 100000 THEN 'small' ELSE 'large' END AS amount_bucket
+  FROM transactions)"""
+_FULL_COLUMNS = list(SPECS["transactions"].columns)
+
+
+def gated(report: str, extra: str = "") -> str:
+    """What the gate makes of a drop with this report."""
+    return f"""SELECT {extra} CASE WHEN failed_checks = 0 THEN 'written' ELSE 'refused' END AS status, total_rows AS rows,
+       CASE WHEN failed_checks = 0 THEN '' ELSE major_issues END AS note FROM ({report})"""
+
+
+# A refused step of a batch run names no rows.
+QUALITY_GATE = with_(GEO, FULL_TXN, RAW_LOANS) + (
+    "SELECT stage, table_name, status, CASE WHEN status = 'written' THEN rows END AS rows, note FROM (\n"
+    + gated(_report("transactions", "full_txn", _FULL_COLUMNS, _LATER_RULES), "'bronze' AS stage, table_name,")
+    + "\nUNION ALL BY NAME "
+    + gated(_report("loans", "raw_loans", RAW_LOAN_COLUMNS, _LOAN_RULES), "'bronze' AS stage, table_name,")
+    + ")"
 )
 
-QUALITY_GATE = with_(RAW_TXN) + f"""
-SELECT table_name, total_rows, duplicate_rows, pk_duplicate_count,
-       (SELECT COUNT(*) - COUNT(transaction_type) FROM raw_txn) AS overall_nulls,
-       duplicate_rows = 0 AND pk_duplicate_count = 0 AND false AS accepted
-FROM ({_duplicates("transactions", "raw_txn", "transaction_id")})"""
+
+def _half(name: str, condition: str) -> str:
+    return f"{name} AS (SELECT f.* FROM full_txn f JOIN orders ON transaction_id = 'T' || o_orderkey WHERE {condition})"
+
+
+def _loaded(load: str, source: str, columns: list[str]) -> str:
+    amount = money("(SELECT SUM(CAST(transaction_amount AS DECIMAL(18,2))) FROM " + source + ")", "total")
+    return gated(_report("transactions", source, columns, _LATER_RULES), f"'{load}' AS load_id, {amount},")
+
+
+STREAMED = with_(
+    GEO, FULL_TXN, RAW_TXN, _half("first_half", "o_orderstatus = 'F'"), _half("second_half", "o_orderstatus <> 'F'"),
+) + "\nUNION ALL BY NAME ".join([
+    _loaded("transactions_1.csv", "first_half", _FULL_COLUMNS),
+    _loaded("transactions_2.csv", "second_half", _FULL_COLUMNS),
+    _loaded("transactions_3.csv", "raw_txn", _TXN_COLUMNS),
+])
 
 PARTITION_FAILURE = "SELECT COUNT(*) AS n, 'missing transaction_date' AS status FROM orders"
 

@@ -52,6 +52,18 @@ def read_if_exists(
         raise
 
 
+def is_finished(spark: SparkSession, path: str) -> bool:
+    """Whether a drop is a file, or a directory whose writer has finished (``_SUCCESS``)."""
+    jvm = spark.sparkContext._jvm
+    drop = jvm.org.apache.hadoop.fs.Path(path)
+    files = drop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(drop):
+        return False
+    return not files.getFileStatus(drop).isDirectory() or files.exists(
+        jvm.org.apache.hadoop.fs.Path(drop, "_SUCCESS")
+    )
+
+
 def latest_snapshot(spark: SparkSession, folder: str, prefix: str = "") -> str | None:
     """Newest CSV drop in a folder, or ``None`` if there is none.
 

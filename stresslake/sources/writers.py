@@ -20,10 +20,12 @@ MAX_RECORDS_PER_FILE = 5_000_000
 
 def write_partitioned(
     df: DataFrame, path: str, partitions: Sequence[str] = (), fmt: str | None = None,
-    rebalance: bool = True,
+    rebalance: bool = True, touched_only: bool = False,
 ) -> None:
     """Overwrite a table, partitioned by the given columns.
 
+    ``touched_only`` replaces the directories that the rows belong to and leaves others.
+
     Rebalancing on the partition columns keeps the number of files per directory
     low, and adaptive execution cuts a large partition into several tasks. Rows
     that already arrive grouped by directory are better written as they come.
@@ -33,6 +35,8 @@ def write_partitioned(
     out = df.hint("rebalance", *columns) if columns and rebalance else df
     writer = out.write.mode("overwrite").format(fmt or table_format(df.sparkSession))
     writer = writer.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+    if touched_only:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     (writer.partitionBy(*columns) if columns else writer).save(path)
 
 
@@ -57,9 +61,13 @@ def scratch_root(spark: SparkSession) -> str:
     """A fresh folder for intermediate tables.
 
     It lies in the shared folder that the session names for checkpoints, so that
-    all executors see it; a local folder is made only if none is named.
+    all executors see it. Only a session on one machine may go without: it gets a
+    temporary folder there. On a cluster that would be no shared place, so it raises.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = shared or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if shared:
         return f"{shared.rstrip('/')}/stresslake-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return tempfile.mkdtemp(prefix="stresslake-")
