@@ -2,7 +2,7 @@
 
 NULLs, bad formats and type evidence of all columns come from one pass that reads
 each value once. Copies of rows and of keys and the violations of business rules share
-a second pass with one exchange, and the column statistics need one more. Results are
+a second pass with one exchange, of digests. Results are
 DataFrames; the pre-load gate reads one summary row.
 
 Raw drops are profiled as text (see ``sources.readers.read_text_columns``), so the
@@ -84,12 +84,15 @@ def worst_null_column(df: DataFrame) -> DataFrame:
     )
 
 
-def _row_groups(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Groups of equal values (NULLs are equal) with their size ``_n``.
+def _digest(columns: list[Column], names: tuple[str, str]) -> list[Column]:
+    """128 bits that stand for a row of values: two hashes with different seeds.
 
-    Groups are counted before the exchange, so copies travel as one row per task.
+    The hash leaves NULLs out, so a flag per column tells where they are.
     """
-    return df.groupBy(*[_ref(c) for c in columns]).agg(F.count(F.lit(1)).alias("_n"))
+    flags = [c.isNull() for c in columns]
+    return [
+        F.xxhash64(*columns, *flags).alias(names[0]), F.xxhash64(F.lit(1), *columns, *flags).alias(names[1]),
+    ]
 
 
 def _surplus(groups: DataFrame) -> DataFrame:
@@ -99,38 +102,70 @@ def _surplus(groups: DataFrame) -> DataFrame:
     )
 
 
+def _copies_of(df: DataFrame, columns: list[str], suspects: DataFrame) -> DataFrame:
+    """Rows beyond the first of each group, compared value by value.
+
+    Only rows whose digest (``_1``, ``_2``) occurs more than once are looked at.
+    """
+    own = [_ref(c) for c in columns]
+    digests = dict(zip(("_1", "_2"), _digest(own, ("_1", "_2")), strict=True))
+    rows = df.select(*own, *digests.values()).join(suspects, ["_1", "_2"], "left_semi")
+    return _surplus(rows.groupBy(*own).agg(F.count(F.lit(1)).alias("_n")))
+
+
 def surplus_rows(df: DataFrame, *columns: str) -> DataFrame:
-    """Rows beyond the first of each group of equal values in ``columns`` (default all)."""
-    return _surplus(_row_groups(df, list(columns) or df.columns))
+    """Rows beyond the first of each group of equal values in ``columns`` (default all).
+
+    Digests are counted, and travel, in place of the rows; where one occurs more than
+    once, its rows are compared value by value.
+    """
+    names = list(columns) or df.columns
+    groups = df.select(*_digest([_ref(c) for c in names], ("_1", "_2"))).groupBy("_1", "_2").agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    total_rows = groups.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"), F.lit(0).alias("surplus_rows"))
+    copies = _copies_of(df, names, groups.where("_n > 1")).withColumn("total_rows", F.lit(0))
+    return total_rows.unionByName(copies).agg(
+        F.sum("total_rows").alias("total_rows"), F.sum("surplus_rows").alias("surplus_rows")
+    )
 
 
 def _copies_and_violations(
-    df: DataFrame, spec: TableSpec, key: tuple[str, ...], rules: list[Rule]
+    df: DataFrame, spec: TableSpec, key: tuple[str, ...], rules: list[Rule], exact: bool
 ) -> DataFrame:
     """Row copies, key copies and rule violations of a table as one row.
 
-    All are counted over the row groups rather than the rows: they start from one
-    exchange, and the table is read once. A group breaks a rule as often as it has rows.
+    Rows travel as digests of the row and of its key and the number of rules they break,
+    counted before the exchange; the table is read once. With ``exact`` rows and keys
+    whose digest is repeated are read again and compared value by value. Without it two
+    different rows would have to agree in 128 bits of hash to count as copies.
     """
-    label = F.lit(spec.name).alias("table_name")
-    groups = _row_groups(df, df.columns)
-    zero = F.lit(0).cast("bigint")
-    broken = [F.sum(F.when(r.violated, F.col("_n"))) for r in rules]
-    violations = total([F.coalesce(c, zero) for c in broken])
-    parts = groups.agg(
-        F.coalesce(F.sum("_n"), zero).alias("total_rows"),
-        F.coalesce(F.sum(F.col("_n") - 1), zero).alias("_copies"),
-        zero.alias("_keys"),
-        violations.alias("rule_violations"),
-    ).select(label, "*")
-    if not missing_columns(df, key):
-        by_key = groups.groupBy(*[_ref(c) for c in key]).agg(F.sum("_n").alias("_n"))
-        parts = parts.unionByName(_surplus(by_key).select(
-            label, zero.alias("total_rows"), zero.alias("_copies"),
-            F.col("surplus_rows").alias("_keys"), zero.alias("rule_violations"),
-        ))
+    label, zero = F.lit(spec.name).alias("table_name"), F.lit(0).cast("bigint")
+    has_key = not missing_columns(df, key)
+    key_digest = _digest([_ref(c) for c in key], ("k1", "k2")) if has_key else []
+    broken = total([F.when(r.violated, 1).otherwise(0).cast("bigint") for r in rules]).alias("broken")
+    digests = df.select(*_digest([_ref(c) for c in df.columns], ("_1", "_2")), *key_digest, broken)
+    groups = digests.groupBy(*digests.columns).agg(F.count(F.lit(1)).alias("_n"))
+
+    def part(copies: Column = zero, keys: Column = zero, rows: Column = zero, violations: Column = zero) -> list[Column]:
+        return [label, rows.alias("total_rows"), copies.alias("_copies"), keys.alias("_keys"),
+                violations.alias("rule_violations")]
+
+    counted = groups.agg(
+        F.coalesce(F.sum("_n"), zero).alias("n"), F.coalesce(F.sum(F.col("_n") - 1), zero).alias("surplus_rows"),
+        F.coalesce(F.sum(F.col("_n") * F.col("broken")), zero).alias("broken"),
+    )
+    own = zero if exact else F.col("surplus_rows")
+    parts = [counted.select(part(copies=own, rows=F.col("n"), violations=F.col("broken")))]
+    if exact:
+        copies = _copies_of(df, df.columns, groups.where("_n > 1"))
+        parts.append(copies.select(part(copies=F.col("surplus_rows"))))
+    if has_key:
+        by_key = groups.groupBy(F.col("k1").alias("_1"), F.col("k2").alias("_2")).agg(F.sum("_n").alias("_n"))
+        keys = _copies_of(df, list(key), by_key.where("_n > 1")) if exact else _surplus(by_key)
+        parts.append(keys.select(part(keys=F.col("surplus_rows"))))
     return (
-        parts.groupBy("table_name")
+        reduce(DataFrame.unionByName, parts).groupBy("table_name")
         .agg(*[F.sum(c).alias(c) for c in ("total_rows", "_copies", "_keys", "rule_violations")])
         .select(
             "table_name", "total_rows",
@@ -142,10 +177,15 @@ def _copies_and_violations(
     )
 
 
-def duplicate_metrics(df: DataFrame, table: str | TableSpec, key: tuple[str, ...] = ()) -> DataFrame:
-    """Surplus rows, their percentage, and surplus rows by primary key."""
+def duplicate_metrics(
+    df: DataFrame, table: str | TableSpec, key: tuple[str, ...] = (), exact: bool = True
+) -> DataFrame:
+    """Surplus rows, their percentage, and surplus rows by primary key.
+
+    ``exact`` compares rows with equal digests value by value, in a further scan.
+    """
     spec = spec_for(table)
-    return _copies_and_violations(df, spec, key or spec.key, []).drop("rule_violations")
+    return _copies_and_violations(df, spec, key or spec.key, [], exact).drop("rule_violations")
 
 
 # --- one-pass counts ------------------------------------------------------------
@@ -266,6 +306,7 @@ def _invalid_count() -> Column:
     return F.when(F.col("declared") == "text", bad)
 
 
+# Labels of the format checks.
 FORMAT_LABELS = {
     "float": "Invalid numeric values",
     "int": "Invalid numeric values",
@@ -295,6 +336,7 @@ def business_rules(df: DataFrame, table: str | TableSpec, as_of: str | None = No
     def money(column: str) -> Column:
         return num(column).try_cast("decimal(38,10)")
 
+    # Labels of the rules.
     catalogue = [
         ("transactions", "Negative transaction amount", ["transaction_amount"],
          lambda: num("transaction_amount") < 0),
@@ -375,88 +417,91 @@ def _fits_exactly(dtype: T.DataType) -> bool:
     return isinstance(dtype, T.IntegralType)
 
 
-_SUMMARY_FIELDS = ("distinct_count", "spellings", "filled", "not_numeric", "lo", "hi", "weighted", "top")
-
-
 def column_statistics(
-    df: DataFrame, max_columns: int | None = None, columns: list[str] | None = None
+    df: DataFrame, max_columns: int | None = None, columns: list[str] | None = None,
+    distinct: str = "exact", rsd: float = 0.02,
 ) -> DataFrame:
     """Range, mean and distinct count of number columns; top value of the others.
 
     All columns that hold a value, in schema order, or the first ``max_columns`` of
-    them. An empty table gives an empty frame. The columns are stacked and grouped by
-    value once: the counts per value give distinct, extremes, mean and top value
-    together. Equal values are folded on the map side, so a frequent value does not
-    gather anywhere. Spellings of one number in a text column (``1``, ``01``) are one
-    value of a numeric column. On a tie the smaller text is the top value. Building
-    the frame runs no job.
+    them. An empty table gives an empty frame. Building the frame runs no job.
+
+    * Counts, extremes and sums of all columns come from one pass that exchanges a row
+      per column and task.
+    * Values are told apart by 128 bits of hash, counted before the exchange; texts do
+      not travel. With ``distinct="sketch"`` the distinct counts of number columns come
+      from HyperLogLog sketches of the first pass (relative error ``rsd``), and number
+      columns by type do not take part in this exchange at all.
+    * The top value is exact. Of the values that occur most often the text is looked up
+      by hash in a further pass, which keeps the smallest per task.
+
+    Spellings of one number in a text column (``1``, ``01``) are one value of a numeric
+    column. On a tie the smaller text is the top value.
     """
+    if distinct not in ("exact", "sketch"):
+        raise ValueError(f"unknown way to count distinct values {distinct!r}")
     names = columns or df.columns
-    text = df.select([_ref(c).cast("string").alias(c) for c in names])
     typed = [c for c in names if isinstance(df.schema[c].dataType, T.NumericType)]
-    number = as_number(F.col("v"))
-    # The number itself groups texts; typed numbers have one spelling each.
-    spelt = F.when(~F.col("column_name").isin(*typed), F.col("number").cast("string"))
-    per_text = (
-        text.unpivot([], [_ref(c) for c in names], "column_name", "v")
-        .where(F.col("v").isNotNull())
-        .groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("number", number)
-        .withColumn("value", F.coalesce(spelt, F.col("v")))
+    exact = [c for c in names if _fits_exactly(df.schema[c].dataType)]
+    place = F.create_map(*[F.lit(x) for i, c in enumerate(names) for x in (c, i)])
+    text = df.select([_ref(c).cast("string").alias(c) for c in names])
+    stacked = (
+        text.unpivot([], [_ref(c) for c in names], "column_name", "v").where(F.col("v").isNotNull())
+        .withColumn("number", as_number(F.col("v")))
     )
-    top = F.min(F.struct((-F.col("n")).alias("k"), F.col("v").alias("v")))
-    values = per_text.groupBy("column_name", "value").agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("spellings"), F.first("number").alias("number"),
-        top.alias("top"),
+
+    number, here = F.col("number"), F.col("column_name")
+    # The number itself stands for its spellings; typed numbers have one spelling each.
+    value = F.when(here.isin(*typed), F.col("v")).otherwise(F.coalesce(number.cast("string"), F.col("v")))
+    whole = F.when(here.isin(*exact), F.col("v").try_cast("decimal(28,8)"))
+    sketch = [F.approx_count_distinct(value, rsd).alias("sketched")] if distinct == "sketch" else []
+    measured = stacked.groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("filled"), F.count(number).alias("numbers"),
+        F.min(number).alias("lo"), F.max(number).alias("hi"),
+        F.sum(number).alias("plain_sum"), F.sum(whole).alias("whole_sum"), *sketch,
     )
-    n, number = F.col("n"), F.col("number")
-
-    def summary(name: str) -> list[Column]:
-        here = F.col("column_name") == name
-        if _fits_exactly(df.schema[name].dataType):
-            weighted = F.col("value").try_cast("decimal(28,8)") * n.cast("decimal(18,0)")
-        else:
-            weighted = number * n
-        return [
-            _count(here),
-            F.sum(F.when(here, F.col("spellings"))),
-            F.sum(F.when(here, n)),
-            _count(here & number.isNull()),
-            F.min(F.when(here, number)),
-            F.max(F.when(here, number)),
-            F.sum(F.when(here, weighted)),
-            F.min(F.when(here, F.col("top"))),
-        ]
-
-    def row(position: int, name: str) -> Column:
-        def got(field: str) -> Column:
-            return F.col(f"{field}_{position}")
-
-        numeric = got("not_numeric") == 0
-        mean = got("weighted") / got("filled").cast("decimal(20,0)")
-        return F.struct(
-            F.lit(position).alias("position"),
-            F.lit(name).alias("column_name"),
-            F.when(numeric, "numeric").otherwise("categorical").alias("kind"),
-            F.when(numeric, F.round(got("lo"), 4)).alias("min_value"),
-            F.when(numeric, F.round(got("hi"), 4)).alias("max_value"),
-            F.when(numeric, F.round(mean, 4).cast("double")).alias("mean_value"),
-            F.when(numeric, got("distinct_count")).otherwise(got("spellings")).alias("distinct_count"),
-            F.when(~numeric, got("top")["v"]).alias("top_value"),
-            F.when(~numeric, percent(-got("top")["k"], got("filled"))).alias("top_pct"),
-            got("filled").alias("_filled"),
-        )
 
-    # One row without grouping: every task folds its values, nothing is sorted.
-    one_row = values.agg(*[
-        c.alias(f"{field}_{i}")
-        for i, name in enumerate(names)
-        for c, field in zip(summary(name), _SUMMARY_FIELDS, strict=True)
-    ])
-    found = one_row.select(F.inline(F.array(*[row(i, c) for i, c in enumerate(names)])))
+    hashed = stacked.where(~here.isin(*typed)) if distinct == "sketch" else stacked
+    # Two hashes of the text, two of the value.
+    keys = ["column_name", "t1", "t2", "v1", "v2"]
+    spelt = hashed.select(
+        here, *_digest([F.col("v")], ("t1", "t2")), *_digest([value], ("v1", "v2"))
+    ).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    counted = spelt.groupBy("column_name", "v1", "v2").agg(
+        F.count(F.lit(1)).alias("spellings"), F.max("n").alias("n")
+    ).groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("distinct_values"), F.sum("spellings").alias("spellings"), F.max("n").alias("top_n"),
+    )
+    known = measured.join(counted, "column_name", "left")
+
+    texts = known.where("numbers < filled").select("column_name", "top_n")
+    leaders = spelt.join(texts, "column_name").where("n = top_n").select("column_name", "t1", "t2")
+    tops = (
+        stacked.select("column_name", "v", *_digest([F.col("v")], ("t1", "t2")))
+        .join(leaders, ["column_name", "t1", "t2"], "left_semi")
+        .groupBy("column_name").agg(F.min("v").alias("top"))
+    )
+    numeric = F.col("numbers") == F.col("filled")
+    mean = F.coalesce(
+        (F.col("whole_sum") / F.col("filled").cast("decimal(20,0)")).cast("double"),
+        F.col("plain_sum") / F.col("filled"),
+    )
+    count = F.coalesce("sketched", "distinct_values") if sketch else F.col("distinct_values")
+    rows = known.join(tops, "column_name", "left").select(
+        "column_name", F.element_at(place, F.col("column_name")).alias("place"),
+        F.when(numeric, "numeric").otherwise("categorical").alias("kind"),
+        F.when(numeric, F.round("lo", 4)).alias("min_value"),
+        F.when(numeric, F.round("hi", 4)).alias("max_value"),
+        F.when(numeric, F.round(mean, 4)).alias("mean_value"),
+        F.when(numeric, count).otherwise(F.col("spellings")).alias("distinct_count"),
+        F.col("top").alias("top_value"),
+        F.when(~numeric, percent(F.col("top_n"), F.col("filled"))).alias("top_pct"),
+    )
     # One row per column of the table: numbered among those that hold a value.
-    place = F.row_number().over(W.orderBy("position")) - 1
-    found = found.where("_filled > 0").withColumn("position", place).drop("_filled")
+    found = rows.withColumn("position", F.row_number().over(W.orderBy("place")) - 1).select(
+        "position", "column_name", "kind", "min_value", "max_value", "mean_value", "distinct_count",
+        "top_value", "top_pct",
+    )
     return found if max_columns is None else found.where(F.col("position") < max_columns)
 
 
@@ -528,7 +573,7 @@ def quality_report(
         lambda a, b: a.unionByName(b, allowMissingColumns=True),
         [
             profile_counts(df, spec),
-            _copies_and_violations(df, spec, key, business_rules(df, spec, as_of)),
+            _copies_and_violations(df, spec, key, business_rules(df, spec, as_of), exact=False),
         ],
     )
     joined = parts.groupBy("table_name").agg(

@@ -135,3 +135,66 @@ def test_report_of_a_clean_and_an_empty_table(spark):
     assert report["recommendation"] == quality.PROCEED and report["major_issues"] == quality.NO_ISSUES
     empty = quality.quality_report(scenario_table(spark).limit(0), "scenario").first()
     assert empty["completeness"] == 100.0 and empty["total_rows"] == 0
+
+
+# --- digests and sketches -----------------------------------------------------------
+
+
+def test_digests_tell_nulls_apart(spark):
+    rows = spark.createDataFrame([(None, "a"), ("a", None), ("a", "a"), (None, None)] * 2, "x string, y string")
+    assert tuple(quality.surplus_rows(rows).first()) == (8, 4)
+    assert tuple(quality.surplus_rows(rows.limit(0)).first()) == (0, 0)
+
+
+def test_equal_digests_are_compared(spark, monkeypatch):
+    """With digests that clash for all rows only real copies count."""
+    monkeypatch.setattr(quality, "_digest", lambda columns, names: [F.lit(1).alias(n) for n in names])
+    rows = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, None)], "loan_id int, y string")
+    assert tuple(quality.surplus_rows(rows).first()) == (4, 1)
+    found = quality.duplicate_metrics(rows, "loans").first()
+    assert (found.total_rows, found.duplicate_rows, found.pk_duplicate_count) == (4, 1, 2)
+
+
+def test_one_row_copied_many_times(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") < 1000, F.col("id")).otherwise(-1).alias("loan_id"))
+    found = quality.duplicate_metrics(rows, "loans").first()
+    assert (found.total_rows, found.duplicate_rows, found.pk_duplicate_count) == (3000, 1999, 1999)
+
+
+def _exchanged(df):
+    """Columns of each exchange of a plan."""
+    plan = df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    parts = plan.split("\n\n")
+    return [p for p in parts if ") Exchange" in p or ") BroadcastExchange" in p]
+
+
+def test_statistics_do_not_exchange_texts(spark):
+    rows = spark.range(1000).select(F.col("id").cast("string").alias("near_unique"), F.md5(F.col("id").cast("string")).alias("t"))
+    for exchange in _exchanged(quality.column_statistics(rows)):
+        inputs = exchange.split("Input")[1].split("]")[0]
+        assert " v#" not in inputs and "[v#" not in inputs, exchange
+
+
+def test_sketched_distinct_counts(spark):
+    rows = spark.range(20000).select("id", (F.col("id") % 700).cast("double").alias("x"),
+                                     F.concat(F.lit("k"), F.col("id") % 9).alias("s"))
+    exact = {r.column_name: r for r in quality.column_statistics(rows).collect()}
+    near = {r.column_name: r for r in quality.column_statistics(rows, distinct="sketch").collect()}
+    assert exact["id"].distinct_count == 20000 and exact["x"].distinct_count == 700
+    for name in ("id", "x"):
+        assert abs(near[name].distinct_count - exact[name].distinct_count) < 0.1 * exact[name].distinct_count
+        assert near[name][:6] == exact[name][:6]
+    assert near["s"] == exact["s"] and exact["s"].top_value == "k0"
+    with pytest.raises(ValueError, match="distinct"):
+        quality.column_statistics(rows, distinct="guess")
+
+
+def test_top_value_ties_and_spellings(spark):
+    rows = spark.createDataFrame(
+        [("b", "1", None), ("a", "01", None), ("b", "1.0", None), ("a", "2", None), (None, None, None)],
+        "s string, n string, gone string")
+    found = {r.column_name: r for r in quality.column_statistics(rows).collect()}
+    assert set(found) == {"s", "n"}
+    assert (found["s"].top_value, found["s"].top_pct, found["s"].distinct_count) == ("a", 50.0, 2)
+    assert (found["n"].kind, found["n"].distinct_count, found["n"].mean_value) == ("numeric", 2, 1.25)
