@@ -33,9 +33,15 @@ def prepare(spark: SparkSession) -> None:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of the session; an own temporary one only where none is named."""
+    """The shared folder of the session.
+
+    Only a session on one machine may go without and gets a temporary folder; on a
+    cluster that would be no shared place, so it raises.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     folder = folder or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not folder:
         folder = getattr(scratch_dir, "own", None) or tempfile.mkdtemp(prefix="llm-")
         scratch_dir.own = folder
@@ -76,3 +82,36 @@ def smallest_hashes(rows: DataFrame, name: str, bound: int, count: int) -> DataF
 def word_count(text: Column) -> Column:
     """Number of words; NULL has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+# Elements that one step of a scan collects before they are set aside.
+SCAN_CHUNK = 256
+
+
+def scan_array(items: Column, carry: Column, step, element: str) -> Column:
+    """Running fold over an array that keeps an element per item.
+
+    ``step(carry, item)`` gives the next carry and the element, of type ``element``.
+    Elements are collected in chunks, so the cost grows in proportion to the array;
+    appending to one array would copy it at every item.
+    """
+    nothing = F.array().cast(f"array<{element}>")
+
+    def inner(state: Column, item: Column) -> Column:
+        after, made = step(state["carry"], item)
+        return F.struct(after.alias("carry"), F.concat(state["out"], F.array(made)).alias("out"))
+
+    def whole(held: Column) -> Column:
+        def outer(state: Column, k: Column) -> Column:
+            part = F.slice(held, k * SCAN_CHUNK + 1, F.lit(SCAN_CHUNK))
+            begin = F.struct(state["carry"].alias("carry"), nothing.alias("out"))
+            return F.aggregate(part, begin, inner, lambda s: F.struct(
+                s["carry"].alias("carry"), F.concat(state["out"], F.array(s["out"])).alias("out")))
+
+        chunks = F.sequence(F.lit(0), F.greatest(F.floor((F.size(held) - 1) / SCAN_CHUNK).cast("int"), F.lit(0)))
+        empty = F.array().cast(f"array<array<{element}>>")
+        begin = F.struct(carry.alias("carry"), empty.alias("out"))
+        return F.aggregate(chunks, begin, outer, lambda s: F.flatten(s["out"]))
+
+    # A variable of the lambda, so that the array is computed once and not per chunk.
+    return F.transform(F.array(items), whole)[0]

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stresslake.llm.common import read, smallest_hashes
+from stresslake.llm.common import read, scan_array, smallest_hashes
 
 # Usual notices by licence family, as published with the licences.
 TEMPLATES = {
@@ -258,20 +258,14 @@ def _scored(docs: DataFrame, model: LicenseModel, parts: Column, keep, gap: int,
         i.alias("line"), F.length(line).alias("size"),
         F.when(keep(line) & F.arrays_overlap(_words(line), anchors), line).alias("body"),
     ))
-    begin = F.struct(
-        F.lit(0).cast("bigint").alias("at"),
-        F.array().cast("array<struct<line:int,start:bigint,end:bigint,body:string>>").alias("found"),
-    )
-
-    def place(state: Column, part: Column) -> Column:
-        end = state["at"] + part["size"]
-        row = F.struct(part["line"].alias("line"), state["at"].alias("start"), end.alias("end"), part["body"].alias("body"))
-        return F.struct(
-            (end + gap).alias("at"),
-            F.when(part["body"].isNull(), state["found"]).otherwise(F.concat(state["found"], F.array(row))).alias("found"),
-        )
-
-    out = docs.withColumn(name, F.aggregate(numbered, begin, place, lambda s: s["found"]))
+    def place(at: Column, part: Column) -> tuple[Column, Column]:
+        end = at + part["size"]
+        return end + gap, F.struct(
+            part["line"].alias("line"), at.alias("start"), end.alias("end"), part["body"].alias("body"))
+
+    placed = scan_array(
+        numbered, F.lit(0).cast("bigint"), place, "struct<line:int,start:bigint,end:bigint,body:string>")
+    out = docs.withColumn(name, F.filter(placed, lambda p: p["body"].isNotNull()))
     # Each step is a list of its own, so what it computes is not computed again later.
     out = out.withColumn(name, F.transform(name, lambda p: F.struct(
         p["line"].alias("line"), p["start"].alias("start"), p["end"].alias("end"),

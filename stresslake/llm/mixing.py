@@ -4,16 +4,21 @@ Each source is a queue of its documents in a shuffled order (md5 of seed, id and
 the queue starts again from the front once it has been served. A document's virtual
 finish time is the number of words its source has served up to its end, divided by
 the source's target, so every source reaches its target at time 1. Sorting all
-documents by that time interleaves the sources; the mix is cut at the total budget.
+documents by that time interleaves the sources, and the mix is truncated at the total
+budget: what lies before the cut is taken. The one document of each source that is in
+service at time 1 is queued word by word, each word with a finish time of its own, so
+the cut falls within it and sources come out to the word.
 
 Both running sums (per source, and over the whole mix) are taken in two levels: sums
-of fixed ranges of the sort key first, then rows within a range. A range holds a
-small share of a source however large the source is, so a hot source is spread over
-many tasks, and no window runs over a whole source or the whole table.
+of ranges of the sort key first, then rows within a range. There are about as many
+ranges as a range has rows, so both grow with the root of the table: a hot source is
+spread over many tasks, and no window runs over a whole source or the whole table.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -24,10 +29,8 @@ SHARE = 1.5
 MAX_REPEATS = 2
 CYCLE = (5, 2, 1)
 SEED = "mix"
-# The first hex digits of the md5 name the range of the shuffled order.
-RANGE_DIGITS = 3
-# Ranges of virtual time between 0 and 1.
-TIME_RANGES = 4096
+# Ranges of a sort key that a table has at least.
+MIN_RANGES = 16
 
 
 def cycle_weights(sources: DataFrame, cycle: tuple[int, ...] = CYCLE) -> DataFrame:
@@ -113,7 +116,8 @@ def mix_plan(
     the document's first turn ends; NULL for a source without a target) and position
     (words of the mix before its first turn; NULL if it has none). ``taken`` counts
     repeats and never exceeds ``max_repeats`` sizes. The document in service when its
-    source reaches the target is taken in part, down to whole words.
+    source reaches the target is taken in part, down to whole words. The budget is what
+    the targets make in whole words.
 
     NULL texts and texts without words have size 0 and take nothing. NULL sources
     form one source. Repeated rows are separate documents;
@@ -133,9 +137,12 @@ def mix_plan(
             "source", "source_size", F.coalesce("weight", F.lit(0)).cast("long").alias("weight")
         )
     sources = materialize(targets(sources, share, max_repeats))
+    ranges = max(MIN_RANGES, math.isqrt(sized.count()))
+    # The first hex digits of the md5 name the range of the shuffled order.
+    digits = math.ceil(math.log(ranges, 16))
 
     queued = _running_sum(
-        sized.withColumn("span", F.substring("shuffle_key", 1, RANGE_DIGITS)), ["source"], "span",
+        sized.withColumn("span", F.substring("shuffle_key", 1, digits)), ["source"], "span",
         ["shuffle_key", "doc_id", "size"], "size", "start",
     )
     side = sources.withColumnRenamed("source", "s")
@@ -143,35 +150,31 @@ def mix_plan(
     end = F.col("start") + F.col("size")
     queued = materialize(queued.withColumn("finish", F.when(F.col("target") > 0, end / F.col("target"))))
 
-    def served(turn: int) -> Column:
-        """Words of the document's turn that come before its source's target."""
-        room = F.floor("target").cast("long") - F.col("start") - F.col("source_size") * turn
-        return F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), room))
-
-    # One row per turn; turns beyond the source's target have no words.
-    turns = queued.withColumn(
-        "turn", F.explode(F.array(*[F.lit(t) for t in range(max_repeats)]))
-    ).withColumn("words", F.coalesce(*[
-        F.when(F.col("turn") == t, served(t)) for t in range(max_repeats)
-    ])).withColumn(
-        "time", F.least((F.col("start") + F.col("source_size") * F.col("turn") + F.col("size"))
-                        / F.col("target"), F.lit(1.0))
-    )
-    live = turns.where("words > 0").withColumn(
-        "time_range", F.floor(F.col("time") * TIME_RANGES).cast("int")
-    )
-    order = ["time", F.col("source").asc_nulls_last(), "turn", "shuffle_key", "doc_id", "size"]
+    # One row per turn. Turns that begin at time 1 or later lie behind the cut.
+    turns = queued.withColumn("turn", F.explode(F.array(*[F.lit(t) for t in range(max_repeats)])))
+    turns = turns.withColumn("begun", F.col("start") + F.col("source_size") * F.col("turn"))
+    ahead = turns.where((F.col("size") > 0) & (F.col("begun") < F.floor("target")))
+    done = F.col("begun") + F.col("size") <= F.col("target")
+    one = F.lit(1).cast("long")
+    whole_turns = ahead.where(done).withColumns({"words": F.col("size"), "served": F.col("begun") + F.col("size")})
+    # In service at time 1: at most one turn of each source, word by word.
+    by_word = ahead.where(~done).withColumns({
+        "words": one, "served": F.explode(F.sequence(F.col("begun") + 1, F.col("begun") + F.col("size"))),
+    })
+    live = whole_turns.unionByName(by_word).withColumn("time", F.col("served") / F.col("target"))
+    live = live.withColumn("time_range", F.floor(F.least("time", F.lit(1.0)) * ranges).cast("int"))
+    order = ["time", F.col("source").asc_nulls_last(), "served", "shuffle_key", "doc_id", "size"]
     sorted_turns = _running_sum(live, [], "time_range", order, "words", "place")
-    budget = sources.agg(F.coalesce(F.floor(F.sum("source_size") * share), F.lit(0))).head()[0]
+    budget = sources.agg(F.coalesce(F.sum(F.floor("target")), F.lit(0))).head()[0]
     left = F.lit(int(budget)).cast("long") - F.col("place")
     cut = sorted_turns.withColumn("words", F.greatest(F.lit(0).cast("long"), F.least("words", left)))
+    taken = cut.where("words > 0")
     keys = ["doc_id", "source", "size", "source_size", "weight", "target", "shuffle_key", "start", "finish"]
-    idle = turns.where("words = 0").select(
+    # A document is named by its start too, which tells repeated rows with words apart.
+    idle = queued.where("size > 0").select(
         *keys, F.lit(0).cast("long").alias("words"), F.lit(None).cast("long").alias("place")
     )
-    # A document is named by its start too, which tells repeated rows with words apart.
-    rows = cut.select(*keys, "words", "place").unionByName(idle)
-    whole = rows.where("size > 0").groupBy(*keys).agg(
+    whole = taken.select(*keys, "words", "place").unionByName(idle).groupBy(*keys).agg(
         F.sum("words").alias("taken"), F.min("place").alias("position")
     )
     none = queued.where("size = 0").select(
@@ -187,26 +190,33 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, **options) -> DataFra
     matched with a small table of sources and not moved. A document taken in part
     comes whole. Documents without words are not taken.
     """
-    plan = mix_plan(docs, weights, **options)
+    seed, text = options.get("seed", SEED), options.get("text", "text")
+    # The input travels in one column, so that no name of it meets one used here.
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    field = F.col("row").getField
+    plan = mix_plan(
+        packed.select(*[field(c).alias(n) for c, n in (("doc_id", "doc_id"), ("source", "source"), (text, "text"))]),
+        weights, **{**options, "text": "text"},
+    )
     repeats = options.get("max_repeats", MAX_REPEATS)
     key = F.struct("shuffle_key", "size")
     cuts = materialize(plan.groupBy("source").agg(*[
         F.max(F.when(F.col("taken") > F.col("size") * t, key)).alias(f"cut{t}")
         for t in range(repeats)
     ]))
-    seed, text = options.get("seed", SEED), options.get("text", "text")
     own = F.struct(
-        shuffle_key(F.col("doc_id"), F.col(text), seed).alias("shuffle_key"),
-        word_count(F.col(text)).alias("size"),
+        shuffle_key(field("doc_id"), field(text), seed).alias("shuffle_key"),
+        word_count(field(text)).alias("size"),
+    )
+    rows = packed.withColumn("own", own).join(cuts, field("source").eqNullSafe(F.col("source"))).where(
+        F.col("own.size") > 0
     )
-    rows = docs.withColumn("_own", own).join(
-        cuts.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))
-    ).where(F.col("_own.size") > 0)
     copies = sum(
-        (F.coalesce((F.col("_own") <= F.col(f"cut{t}")).cast("int"), F.lit(0)) for t in range(repeats)),
+        (F.coalesce((F.col("own") <= F.col(f"cut{t}")).cast("int"), F.lit(0)) for t in range(repeats)),
         F.lit(0),
     )
-    return rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies))).select(*docs.columns)
+    repeated = rows.select("row", F.explode(F.array_repeat(F.lit(1), copies)))
+    return repeated.select(*[field(c).alias(c) for c in docs.columns])
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -247,17 +257,24 @@ WITH sized AS (
            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
   FROM sized d JOIN aimed a ON d.source IS NOT DISTINCT FROM a.source
 ), turns AS (
-  SELECT *, greatest(0, least(size, floor(target)::BIGINT - start - source_size * turn)) AS words,
-         least((start + source_size * turn + size) / nullif(target, 0), 1.0) AS time
+  SELECT *, start + source_size * turn AS begun
   FROM queued CROSS JOIN (VALUES (0), (1)) AS t(turn)
+  WHERE size > 0 AND start + source_size * turn < floor(target)
+), live AS (
+  SELECT *, size AS words, begun + size AS served FROM turns WHERE begun + size <= target
+  UNION ALL
+  SELECT *, 1 AS words, begun + unnest(range(1, size + 1)) AS served FROM turns WHERE begun + size > target
 ), placed AS (
-  SELECT *, coalesce(sum(words) OVER (ORDER BY time, source NULLS LAST, turn, shuffle_key, doc_id, size
+  SELECT *, coalesce(sum(words) OVER (ORDER BY served / target, source NULLS LAST, served, shuffle_key, doc_id, size
            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS place
-  FROM turns WHERE words > 0
+  FROM live
+), cut AS (
+  SELECT * REPLACE (least(words, (SELECT sum(floor(target)) FROM aimed) - place)::BIGINT AS words)
+  FROM placed WHERE place < (SELECT sum(floor(target)) FROM aimed)
 )
 SELECT q.doc_id, q.size, q.source_size, q.target,
        coalesce(sum(p.words), 0)::BIGINT AS taken, min(p.place)::BIGINT AS position
-FROM queued q LEFT JOIN placed p
+FROM queued q LEFT JOIN cut p
   ON q.source IS NOT DISTINCT FROM p.source AND q.start = p.start AND q.shuffle_key = p.shuffle_key
  AND q.size = p.size AND q.doc_id IS NOT DISTINCT FROM p.doc_id
 GROUP BY q.doc_id, q.size, q.source_size, q.target, q.source, q.start, q.shuffle_key

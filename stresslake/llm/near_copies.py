@@ -1,15 +1,19 @@
 """Near copies by the exact Jaccard similarity of their sets of word shingles.
 
 Two documents are near copies if their sets of ``SHINGLE``-word shingles (64-bit hashes)
-have a Jaccard similarity of ``SIMILARITY`` or more. SimHash cannot find these: at 0.8
-its fingerprints differ by about ten of 64 bits and by up to twenty, and keys that
-agree nevertheless are too short to separate anything. Candidates come from MinHash:
+have a Jaccard similarity of ``SIMILARITY`` or more. Exact comparison decides. What is
+compared has a key in common, and keys come from two tables:
 
-* Of each set the least values under ``BANDS`` x ``ROWS`` orders are taken, ``ROWS`` to
-  a band. Sets that agree in a whole band are candidates. A pair at 0.8 shares none
-  with probability (1 - 0.8 ** 8) ** 80, about 4e-7, a closer pair with less.
-* Sets that candidate links join, also in a chain, form a group. All pairs of a group
-  are compared exactly; large groups are cut into tiles, and no pair is left out.
+* Each set has ``FINGERPRINTS`` independent SimHashes. Pivot distance tables (see
+  ``simhash``) link all fingerprints within three bits, and a set's keys are the groups
+  of its fingerprints. This finds close copies: at 0.8 fingerprints differ by about ten
+  bits and by up to twenty, which no table of distances separates from chance.
+* For the rest MinHash: of each set the least values under ``BANDS`` x ``ROWS`` orders
+  are taken, ``ROWS`` to a band; a whole band is a key.
+
+Sets that keys join, also in a chain, form a group. Within a group the pairs that share
+a key are compared, unless links found before join them already. Large groups are cut
+into tiles by the number of their shingles, and no such pair is left out.
 
 Equal sets are folded before. Texts without words have the empty set and form one group.
 """
@@ -27,15 +31,17 @@ from pyspark.sql import functions as F
 
 from stresslake.llm.common import materialize
 from stresslake.llm.components import connected_components
-from stresslake.llm.simhash import SEED, forest
+from stresslake.llm.simhash import SEED, fingerprint_links, majority_bits
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 80, 8
-# Sets of one group that are compared at once; more are cut into tiles of two chunks each.
-CHUNK = 256
+FINGERPRINTS = 4
+BANDS, ROWS = 40, 6
+# Shingles of one chunk of a group; more are cut into tiles of two chunks each.
+CHUNK_SHINGLES = 1 << 20
 # Hashes that meet all orders at once.
 _SLICE = 256
+_ODD = [random.Random(SEED * 1000 + i).getrandbits(64) | 1 for i in range(FINGERPRINTS + 1)]
 _ORDERS = np.array([random.Random(SEED + i).getrandbits(32) | 1 for i in range(BANDS * ROWS)], np.uint32)
 
 
@@ -66,97 +72,149 @@ def band_keys(hashes: np.ndarray) -> list[int]:
     return np.array(keys, np.uint64).view(np.int64).tolist()
 
 
+def fingerprints(hashes: np.ndarray) -> list[int]:
+    """Independent SimHashes of a set, as signed numbers; none for the empty set."""
+    if not len(hashes):
+        return []
+    found = []
+    for i in range(FINGERPRINTS):
+        mixed = hashes * np.uint64(_ODD[i])
+        mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(_ODD[i + 1])
+        found.append(majority_bits(mixed ^ (mixed >> np.uint64(29))))
+    return found
+
+
 def with_set_hash(docs: DataFrame, text: str = "text", name: str = "simhash") -> DataFrame:
-    """``docs`` with a hash of each text's shingle set as a long, and its ``_bands``."""
+    """``docs`` with a hash of each text's shingle set as a long, and its ``sketch``:
+    the set's fingerprints, band keys and size. Columns of these names are replaced."""
 
-    @F.arrow_udf("fp long, bands array<long>")
+    @F.arrow_udf("fp long, fps array<long>, bands array<long>, size int")
     def sketch(texts: pa.Array) -> pa.Array:
-        fps, bands = [], []
+        fps, own, bands, sizes = [], [], [], []
         for t in texts:
             hashes = shingle_set(t.as_py())
             fps.append(xxhash.xxh64_intdigest(hashes.tobytes(), SEED))
+            own.append(fingerprints(hashes))
             bands.append(band_keys(hashes))
+            sizes.append(len(hashes))
         fps = pa.array(np.array(fps, np.uint64).view(np.int64))
-        return pa.StructArray.from_arrays([fps, pa.array(bands, pa.list_(pa.int64()))], ["fp", "bands"])
-
-    marked = docs.withColumn("_sketch", sketch(F.col(text)))
-    return marked.withColumns({name: F.col("_sketch.fp"), "_bands": F.col("_sketch.bands")}).drop("_sketch")
-
-
-def similar_pairs(sets: list[np.ndarray], similarity: float = SIMILARITY) -> Iterator[tuple[int, np.ndarray]]:
-    """For each set the later ones that are similar enough. Sets must not be empty."""
-    lengths = np.array([len(s) for s in sets])
-    ends = np.cumsum(lengths)
-    starts = ends - lengths
-    distinct, place = np.unique(np.concatenate(sets), return_inverse=True)
-    mark = np.zeros(len(distinct), bool)
-    for k in range(len(sets) - 1):
-        own = place[starts[k]:ends[k]]
-        mark[own] = True
-        shared = np.add.reduceat(mark[place[ends[k]:]], starts[k + 1:] - ends[k], dtype=np.int64)
-        mark[own] = False
-        near = shared / (lengths[k] + lengths[k + 1:] - shared) >= similarity
-        yield k, k + 1 + np.flatnonzero(near)
+        lists = [pa.array(x, pa.list_(pa.int64())) for x in (own, bands)]
+        return pa.StructArray.from_arrays([fps, *lists, pa.array(sizes, pa.int32())], ["fp", "fps", "bands", "size"])
+
+    marked = docs.withColumn("sketch", sketch(F.col(text)))
+    return marked.withColumn(name, F.col("sketch.fp"))
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Similarity of two sorted sets of hashes, not both empty."""
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return shared / (len(a) + len(b) - shared)
+
+
+class Tile:
+    """Sets of a group and the links that join the similar ones among them."""
+
+    def __init__(self, both: bool) -> None:
+        """``both``: pairs within a chunk belong to this tile."""
+        self.both = both
+        self.sets: list[np.ndarray] = []
+        self.chunks: list[int] = []
+        self.fps: list[int] = []
+        self.root = np.empty(0, np.int64)
+        self.holders: dict[int, list[int]] = {}
+        self.links: list[tuple[int, int]] = []
+
+    def add(self, fp: int, chunk: int, keys: list[int], hashes: np.ndarray) -> None:
+        """Compare a set with those that share a key and are not joined to it yet."""
+        own = len(self.sets)
+        self.sets.append(hashes)
+        self.chunks.append(chunk)
+        self.fps.append(fp)
+        self.root = np.append(self.root, own)
+        tried: set[int] = set()
+        for key in keys:
+            held = self.holders.setdefault(key, [])
+            if held:
+                others = np.array(held)
+                for other in others[self.root[others] != self.root[own]].tolist():
+                    if other in tried or self.root[other] == self.root[own]:
+                        continue
+                    tried.add(other)
+                    if not self.both and self.chunks[other] == chunk:
+                        continue
+                    if jaccard(self.sets[other], hashes) >= SIMILARITY:
+                        self.links.append((self.fps[other], fp))
+                        self.root[self.root == self.root[own]] = self.root[other]
+            held.append(own)
+
+    def batch(self) -> pa.RecordBatch:
+        a, b = zip(*self.links, strict=True) if self.links else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links from rows sorted by group and tile; a tile may span batches."""
-
-    def links(tile, chunk, fps, sets) -> pa.RecordBatch:
-        chunk, left, right = np.array(chunk), [], []
-        for k, near in similar_pairs(sets):
-            if tile[1] != tile[2]:  # pairs within a chunk have a tile of their own
-                near = near[chunk[near] != chunk[k]]
-            left.append(np.full(len(near), k))
-            right.append(near)
-        empty = [np.empty(0, np.int64)]
-        a, b = forest(len(fps), np.concatenate(left or empty), np.concatenate(right or empty))
-        fps = np.array(fps, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(fps[a]), pa.array(fps[b])], names=["a", "b"])
-
-    last, chunk, fps, sets = None, [], [], []
+    last, tile = None, None
     for batch in batches:
-        columns = [batch.column(n) for n in ("component", "i", "j", "chunk", "fp", "text")]
+        columns = [batch.column(n) for n in ("component", "i", "j", "chunk", "fp", "keys", "text")]
         for row in range(batch.num_rows):
-            *tile, part, fp, text = (c[row].as_py() for c in columns)
-            if tile != last:
-                if fps:
-                    yield links(last, chunk, fps, sets)
-                last, chunk, fps, sets = tile, [], [], []
-            chunk.append(part)
-            fps.append(fp)
-            sets.append(shingle_set(text))
-    if fps:
-        yield links(last, chunk, fps, sets)
+            *place, chunk, fp, keys, text = (c[row].as_py() for c in columns)
+            if place != last:
+                if tile is not None:
+                    yield tile.batch()
+                last, tile = place, Tile(place[1] == place[2])
+            tile.add(fp, chunk, keys, shingle_set(text))
+    if tile is not None:
+        yield tile.batch()
+
+
+def candidate_keys(sketches: DataFrame) -> DataFrame:
+    """fp and key of every set with a partner: groups of near fingerprints, and bands.
+
+    ``sketches`` has one row per set: fp, fps, bands.
+    """
+    nodes = materialize(sketches.select(F.explode("fps").alias("fp")).distinct())
+    near = materialize(connected_components(fingerprint_links(nodes)))
+    tables = sketches.select(F.col("fp").alias("own"), F.explode("fps").alias("node"))
+    grouped = tables.join(near, "node", "left").select(
+        F.col("own").alias("fp"), F.xxhash64(F.lit("table"), F.coalesce("component", "node")).alias("key")
+    )
+    keyed = grouped.unionByName(sketches.select("fp", F.explode("bands").alias("key")))
+    shared = keyed.groupBy("key").agg(F.min("fp").alias("root"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    return keyed.join(shared.select("key", "root"), "key")
 
 
 def jaccard_links(marked: DataFrame, doc_id: str = "doc_id", text: str = "text", name: str = "simhash") -> DataFrame:
     """Links between set hashes that join all near copies, directly or in a chain.
 
-    ``marked`` is the written result of ``with_set_hash``. Within a tile only a spanning
-    set of the links is returned.
+    ``marked`` is the written result of ``with_set_hash``. Of the links only those are
+    returned that join sets not joined before in their tile.
     """
-    rows = marked.select(F.col(doc_id).alias("id"), F.col(name).alias("fp"), F.col(text).alias("text"), "_bands")
-    keyed = rows.select("fp", "_bands").dropDuplicates(["fp"]).select("fp", F.explode("_bands").alias("key"))
-    least = keyed.groupBy("key").agg(F.min("fp").alias("root"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    stars = keyed.join(least, "key").where("fp <> root").select("fp", "root").distinct()
-    groups = materialize(connected_components(stars))
-    chunks = F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks")
-    sizes = groups.groupBy("component").agg(chunks)
+    rows = marked.select(F.col(doc_id).alias("id"), F.col(name).alias("fp"), F.col(text).alias("text"), "sketch")
+    sketches = rows.select("fp", "sketch.fps", "sketch.bands", "sketch.size").dropDuplicates(["fp"])
+    sketches = materialize(sketches)
+    keyed = materialize(candidate_keys(sketches))
+    groups = materialize(connected_components(keyed.where("fp <> root").select("fp", "root").distinct()))
+    keys = keyed.groupBy(F.col("fp").alias("holder")).agg(F.collect_set("key").alias("keys"))
+    sized = groups.join(sketches.select("fp", "size"), F.col("node") == F.col("fp")).drop("fp")
+    sizes = sized.groupBy("component").agg(
+        F.ceil(F.sum(F.col("size").cast("long")) / CHUNK_SHINGLES).cast("int").alias("chunks")
+    )
     # One document of each set gives the text; an id of its own keeps many copies apart.
     first = rows.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull(), "id")).alias("c"))
     members = materialize(
         groups.join(sizes, "component").join(first, groups["node"] == first["fp"])
-        .select("node", F.col("c.id").alias("first_id"), "component", "chunks")
+        .join(keys, F.col("node") == F.col("holder"))
+        .select("node", F.col("c.id").alias("first_id"), "component", "chunks", "keys")
     )
-    texts = rows.drop("_bands").join(
+    texts = rows.drop("sketch").join(
         members, (F.col("fp") == F.col("node")) & F.col("id").eqNullSafe(F.col("first_id"))
     ).dropDuplicates(["fp"])
     tiles = (
         texts.withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         .select("component", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
-                "chunk", "fp", "text")
+                "chunk", "fp", "keys", "text")
     )
     order = ["component", "i", "j"]
     return tiles.repartition(*order).sortWithinPartitions(*order).mapInArrow(_verified, "a long, b long")

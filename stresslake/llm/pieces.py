@@ -149,6 +149,8 @@ class PieceModel:
     unknown_id: int
     byte_ids: list[int]
     breaks: str
+    # Characters of the longest piece.
+    longest: int
 
     @classmethod
     def load(cls, data: bytes) -> PieceModel:
@@ -172,6 +174,7 @@ class PieceModel:
             pieces, codes, base.tolist(), check.tolist(), ids, scores,
             min((pieces[i][1] for i in plain), default=0.0) - UNKNOWN_COST, unknown,
             [by_byte[b] for b in range(256)] if len(by_byte) == 256 else [], alone,
+            max(map(len, words), default=1),
         )
 
     def best_path(self, word: str) -> list[int]:
@@ -182,14 +185,16 @@ class PieceModel:
         known = self.codes.get
         codes = [known(c, 0) for c in word]
         base, check, ids, scores = self.base, self.check, self.ids, self.scores
-        n = len(codes)
+        n, longest = len(codes), self.longest
         best = [-1e300] * (n + 1)
         best[0] = 0.0
         came, piece_at = [0] * (n + 1), [-1] * (n + 1)
         for start in range(n):
             so_far = best[start]
             node, end, single = 0, start, False
-            for code in codes[start:]:
+            # No piece is longer; a stretch of any length is searched in linear time.
+            for at in range(start, min(n, start + longest)):
+                code = codes[at]
                 slot = base[node] + code
                 # Code 0 is no character of any piece, and base[node] is no child.
                 if check[slot] != node or not code:

@@ -20,7 +20,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stresslake.llm.common import read
+from stresslake.llm.common import read, scan_array
 
 # Patterns of the contract. Letters of the key words count in either case.
 ASSIGN = r"""(?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -55,6 +55,8 @@ ALLOWED = (
     r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
     r"^(.{1,4})\1+.{0,3}$",
 )
+# Characters of a block in which places of a text are looked up.
+BLOCK = 4096
 # Windows of a long run are folded in pieces of so many, which keeps each step short.
 PIECE = 256
 
@@ -78,18 +80,13 @@ def _pieces(text: Column, pattern: str, anchor: Column) -> Column:
 
 def _placed(pieces: Column) -> Column:
     """Start, end and text of each match, by a running sum of lengths."""
-    start = F.struct(
-        F.lit(0).cast("bigint").alias("at"),
-        F.array().cast("array<struct<start:bigint,end:bigint,match:string>>").alias("spans"),
-    )
 
-    def step(state: Column, piece: Column) -> Column:
-        begin = state["at"] + F.length(piece["gap"])
+    def step(at: Column, piece: Column) -> tuple[Column, Column]:
+        begin = at + F.length(piece["gap"])
         end = begin + F.length(piece["match"])
-        span = F.struct(begin.alias("start"), end.alias("end"), piece["match"].alias("match"))
-        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
+        return end, F.struct(begin.alias("start"), end.alias("end"), piece["match"].alias("match"))
 
-    return F.aggregate(pieces, start, step, lambda state: state["spans"])
+    return scan_array(pieces, F.lit(0).cast("bigint"), step, "struct<start:bigint,end:bigint,match:string>")
 
 
 def _labelled(spans: Column, kind: str, order: int) -> Column:
@@ -104,27 +101,40 @@ def _n_log_n(n: Column) -> Column:
 
 
 def _piece_entropy(chars: Column, window: int) -> Column:
-    """Best window of one piece of a run, given as an array of characters."""
+    """Best window of one piece of a run, given as an array of characters.
+
+    The counts of all characters in the window are kept; a step raises the count of the
+    one that enters, lowers that of the one that leaves, and changes the sum by both.
+    """
+
+    def whole(held: Column) -> Column:
+        known = held["known"]
+
+        def step(state: Column, i: Column) -> Column:
+            come = F.element_at(held["numbers"], i)
+            gone = F.when(i > window, F.element_at(held["numbers"], F.greatest(i - window, F.lit(1)))).otherwise(F.lit(0))
+            had = F.element_at(state["counts"], come)
+            leaving = F.when(gone > 0, F.element_at(state["counts"], F.greatest(gone, F.lit(1))) + F.when(gone == come, 1.0).otherwise(0.0))
+            total = state["total"] + _n_log_n(had + 1) - _n_log_n(had) - F.coalesce(
+                _n_log_n(leaving) - _n_log_n(leaving - 1), F.lit(0.0))
+            counts = F.transform(state["counts"], lambda n, at: (
+                n + F.when(at + 1 == come, 1.0).otherwise(0.0) - F.when(at + 1 == gone, 1.0).otherwise(0.0)))
+            bits = F.when(i >= window, F.log2(F.lit(float(window))) - total / window)
+            return F.struct(counts.alias("counts"), total.alias("total"), F.greatest(state["best"], bits).alias("best"))
 
-    def count(position: Column, first: Column, last: Column) -> Column:
-        """How often the character at ``position`` stands in first..last (from 1)."""
-        part = F.slice(chars, first, F.greatest(last - first + 1, F.lit(0)))
-        wanted = F.element_at(chars, position)
-        return F.size(F.filter(part, lambda c: c == wanted)).cast("double")
+        zero = F.struct(
+            F.transform(known, lambda _: F.lit(0.0)).alias("counts"), F.lit(0.0).alias("total"),
+            F.lit(None).cast("double").alias("best"),
+        )
+        return F.aggregate(F.sequence(F.lit(1), F.size(held["numbers"])), zero, step, lambda s: s["best"])
 
-    def step(state: Column, i: Column) -> Column:
-        # What enters is counted before it does, what leaves while it is still there.
-        had = count(i, F.greatest(i - window + 1, F.lit(1)), i - 1)
-        entered = _n_log_n(had + 1) - _n_log_n(had)
-        gone = F.greatest(i - window, F.lit(1))
-        leaving = count(gone, gone, i - 1)
-        left = F.when(i > window, _n_log_n(leaving) - _n_log_n(leaving - 1)).otherwise(F.lit(0.0))
-        total = state["total"] + entered - left
-        bits = F.when(i >= window, F.log2(F.lit(float(window))) - total / window)
-        return F.struct(total.alias("total"), F.greatest(state["best"], bits).alias("best"))
+    def numbered(c: Column) -> Column:
+        known = F.array_distinct(c)
+        return F.transform(F.array(known), lambda k: F.struct(
+            k.alias("known"), F.transform(c, lambda x: F.array_position(k, x).cast("int")).alias("numbers")))[0]
 
-    zero = F.struct(F.lit(0.0).alias("total"), F.lit(None).cast("double").alias("best"))
-    return F.aggregate(F.sequence(F.lit(1), F.size(chars)), zero, step, lambda s: s["best"])
+    # Variables of the lambdas, so that each array is computed once.
+    return F.transform(F.array(chars), lambda c: F.transform(F.array(numbered(c)), whole)[0])[0]
 
 
 def best_window_entropy(run: Column, window: int) -> Column:
@@ -192,32 +202,68 @@ def scan_secrets(
     return docs.withColumns({base_name: base, name: F.concat(base, extra)})
 
 
+def _between(blocks: Column, begin: Column, end: Column) -> Column:
+    """Characters ``begin`` to ``end`` of a text given in blocks of ``BLOCK`` characters.
+
+    Looking a place up in a long text counts its characters from the front; here only
+    those of one block are counted.
+    """
+    first, last = (F.floor(x / BLOCK).cast("int") for x in (begin, end))
+    head, tail = ((x - b * BLOCK).cast("int") for x, b in ((begin, first), (end, last)))
+    get = lambda k: F.coalesce(F.get(blocks, k), F.lit(""))
+    inner = F.array_join(F.slice(blocks, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+    apart = F.concat(F.substring(get(first), head + 1, F.lit(BLOCK)), inner, F.substring(get(last), F.lit(1), tail))
+    return F.when(first == last, F.substring(get(first), head + 1, tail - head)).otherwise(apart)
+
+
+def masked(text: Column, spans: Column) -> Column:
+    """The text with each span replaced by the mask; overlapping spans become one."""
+
+    def whole(held: Column) -> Column:
+        def step(at: Column, s: Column) -> tuple[Column, Column]:
+            # A span that begins inside the one before only lengthens its mask.
+            part = F.when(s["start"] >= at, F.concat(_between(held["blocks"], at, s["start"]), F.lit(MASK)))
+            end = F.greatest(at, s["end"])
+            return end, F.struct(end.alias("end"), F.coalesce(part, F.lit("")).alias("part"))
+
+        parts = scan_array(held["spans"], F.lit(0).cast("bigint"), step, "struct<end:bigint,part:string>")
+
+        def joined(p: Column) -> Column:
+            last = F.element_at(p, -1)["end"]
+            return F.concat(F.array_join(F.transform(p, lambda x: x["part"]), ""),
+                            _between(held["blocks"], last, held["size"]))
+
+        return F.transform(F.array(parts), joined)[0]
+
+    held = F.struct(
+        F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{BLOCK}}}"), F.lit(0)).alias("blocks"),
+        F.array_sort(spans).alias("spans"), F.length(text).cast("bigint").alias("size"),
+    )
+    return F.when(F.size(spans) > 0, F.transform(F.array(held), whole)[0]).otherwise(text)
+
+
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """Documents with every secret span masked; overlapping spans become one mask.
 
-    The columns stay those of ``docs``; ``n_chars``, if there, follows the new text.
-    Documents without secrets stay as they are.
+    The columns stay those of ``docs``, whatever their names; ``n_chars``, if there,
+    follows the new text. Documents without secrets stay as they are, NULL texts too.
     """
-    scanned = scan_secrets(docs.withColumn("_text", F.col(text)), "_text", "_base", "_spans")
-    zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-
-    def step(state: Column, s: Column) -> Column:
-        gap = F.substring(F.col("_text"), (state["at"] + 1).cast("int"), (s["start"] - state["at"]).cast("int"))
-        apart = F.struct(s["end"].alias("at"), F.concat(state["out"], gap, F.lit(MASK)).alias("out"))
-        joined = F.struct(F.greatest(state["at"], s["end"]).alias("at"), state["out"].alias("out"))
-        # A span that begins inside the one before only lengthens its mask.
-        return F.when(s["start"] >= state["at"], apart).otherwise(joined)
-
-    def finish(state: Column) -> Column:
-        return F.concat(state["out"], F.substring(F.col("_text"), (state["at"] + 1).cast("int"), F.length("_text")))
-
-    masked = F.aggregate(F.array_sort("_spans"), zero, step, finish)
-    new = F.when(F.size("_spans") > 0, masked).otherwise(F.col("_text"))
-    out = scanned.withColumn(text, new)
-    if "n_chars" in docs.columns:
-        changed = F.length(text).cast(docs.schema["n_chars"].dataType)
-        out = out.withColumn("n_chars", F.when(F.size("_spans") > 0, changed).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    # The input travels in one column, so that no name of it meets one used here.
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    body = F.col("row").getField(text)
+    scanned = scan_secrets(packed.withColumn("body", body), "body", "base", "spans")
+    new = scanned.select("row", F.size("spans").alias("n"), masked(F.col("body"), F.col("spans")).alias("new"))
+    found = F.col("n") > 0
+
+    def column(name: str) -> Column:
+        own = F.col("row").getField(name)
+        if name == text:
+            own = F.col("new")
+        elif name == "n_chars":
+            own = F.when(found, F.length("new").cast(docs.schema[name].dataType)).otherwise(own)
+        return own.alias(name)
+
+    return new.select(*[column(c) for c in docs.columns])
 
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -67,7 +67,11 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     else:
         parts = map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(p, SEED) for p in parts], np.uint64)
+    return majority_bits(np.array([digest(p, SEED) for p in parts], np.uint64))
+
+
+def majority_bits(hashes: np.ndarray) -> int:
+    """Signed number of the bits that are set in over half of the hashes."""
     counts = np.zeros(64, np.int64)
     for at in range(0, len(hashes), _SLICE):
         octets = hashes[at:at + _SLICE].astype("<u8").view(np.uint8).reshape(-1, 8)
@@ -270,17 +274,21 @@ def near_duplicates(
 
 
 def keep_one(
-    docs: DataFrame, mark: Callable[[DataFrame], DataFrame] = with_fingerprint,
-    link: Callable[[DataFrame], DataFrame] | None = None,
+    docs: DataFrame, mark: Callable[..., DataFrame] = with_fingerprint,
+    link: Callable[..., DataFrame] | None = None, doc_id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
-    """One document of each component, with the columns of ``docs``.
+    """One document of each component, with the columns of ``docs``, whatever their names.
 
     The document with the smallest id stays (a NULL id only where there is no other).
     ``mark`` adds the fingerprint as ``simhash``; ``link`` gives the links of the marked
-    documents, without it fingerprints within ``MAX_BITS`` link.
+    documents, without it fingerprints within ``MAX_BITS`` link. Both are told where the
+    text is.
     """
-    marked = materialize(mark(docs))
-    groups = near_duplicates(marked, links=link(marked) if link else None)
+    # The input travels in one column, so that no name of it meets one used here.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    marked = materialize(mark(docs.select(row, F.col(f"`{doc_id}`").alias("doc_id")), f"row.`{text}`"))
+    links = link(marked, "doc_id", f"row.`{text}`") if link else None
+    groups = near_duplicates(marked, links=links)
     choice = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "simhash")).alias("c")
     keepers = groups.groupBy("component").agg(choice).select(
         F.col("c.doc_id").alias("keep_id"), F.col("c.simhash").alias("keep_fp")
@@ -289,8 +297,8 @@ def keep_one(
     kept = marked.join(
         keepers,
         (F.col("simhash") == F.col("keep_fp")) & F.col("doc_id").eqNullSafe(F.col("keep_id")),
-    )
-    return kept.dropDuplicates(["simhash", "doc_id"]).select(*docs.columns)
+    ).dropDuplicates(["simhash", "doc_id"])
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -82,3 +82,25 @@ def test_given_weights_and_empty_table(spark):
     assert sum(r.taken for r in plan if r.source == "y") == 0
     assert mixing.mix_plan(docs.where("false")).count() == 0
     assert mixing.mix(docs.where("false")).count() == 0
+
+
+def test_the_cut_decides(spark):
+    """More words are queued than the budget has, and what is taken lies before the cut."""
+    rows = [(i, "word " * (1 + i * 37 % 400), f"s{i % 3}", "") for i in range(90)]
+    plan = mixing.mix_plan(spark.createDataFrame(rows, SCHEMA)).collect()
+    budget = sum(math.floor(t) for t in {r.source: r.target for r in plan}.values())
+    assert sum(r.taken for r in plan) == budget
+    part = [r for r in plan if r.taken % r.size]
+    assert part and all(r.position < budget for r in plan if r.taken)
+    # Only the document in service at the end of its source's share is taken in part.
+    assert len(part) <= 3
+
+
+def test_clashing_columns_stay(spark):
+    names = ["cut0", "cut1", "_own", "_source", "own", "row", "_copy", "span", "col", "a.b"]
+    schema = "doc_id long, text string, source string, " + ", ".join(f"`{n}` string" for n in names)
+    docs = spark.createDataFrame([(i, "a b c", "x", *names) for i in range(8)], schema)
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns
+    rows = mixed.collect()
+    assert len(rows) == 12 and all(tuple(r)[3:] == tuple(names) for r in rows)

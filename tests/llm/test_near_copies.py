@@ -66,3 +66,48 @@ def test_chains_and_large_groups(spark, monkeypatch):
     kept = simhash.keep_one(docs, near_copies.with_set_hash, near_copies.jaccard_links)
     assert sorted(r.doc_id for r in kept.collect()) == plain_kept(rows) == [0, 1_000, 5_000, 5_001, 5_003]
     assert simhash.keep_one(docs.where("false"), near_copies.with_set_hash, near_copies.jaccard_links).count() == 0
+
+
+def test_tables_and_bands_find_all_pairs(spark):
+    """Recall of the candidates by themselves, against all pairs of different texts."""
+    docs = read(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text")
+    marked = near_copies.with_set_hash(docs).drop("text")
+    sketches = {r.simhash: r.sketch for r in marked.collect()}
+    texts = {}
+    for r in near_copies.with_set_hash(docs).select("simhash", "text").collect():
+        texts.setdefault(r.simhash, near_copies.shingle_set(r.text))
+    fps = [f for f in texts if len(texts[f])]
+    close = [(a, b) for i, a in enumerate(fps) for b in fps[:i] if near_copies.jaccard(texts[a], texts[b]) >= 0.8]
+    banded = [p for p in close if set(sketches[p[0]].bands) & set(sketches[p[1]].bands)]
+    near = [p for p in close if any(
+        bin((x ^ y) & (1 << 64) - 1).count("1") <= simhash.MAX_BITS
+        for x, y in zip(sketches[p[0]].fps, sketches[p[1]].fps, strict=True))]
+    assert len(close) >= 5 and len(banded) == len(close)
+    # Close copies come through the pivot tables too.
+    assert len(near) > 0
+
+
+def test_tiles_compare_across_chunks(spark, monkeypatch):
+    monkeypatch.setattr(near_copies, "CHUNK_SHINGLES", 300)
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(500)]
+    base, rows = rng.choices(words, k=90), []
+    for i in range(150):
+        copy = list(base)
+        copy[rng.randrange(90)] = f"x{i}"
+        rows.append((i, " ".join(copy)))
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA)
+    kept = simhash.keep_one(docs, near_copies.with_set_hash, near_copies.jaccard_links)
+    assert sorted(r.doc_id for r in kept.collect()) == plain_kept(rows)
+
+
+NAMES = ["simhash", "sketch", "row", "keep_id", "keep_fp", "fp", "component", "keys", "_bands", "a.b"]
+
+
+@pytest.mark.parametrize("how", [(), (near_copies.with_set_hash, near_copies.jaccard_links)])
+def test_clashing_columns_stay(spark, how):
+    rows = [(1, "one two three", *NAMES), (2, "one two three", *NAMES), (3, None, *NAMES)]
+    schema = "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in NAMES)
+    kept = simhash.keep_one(spark.createDataFrame(rows, schema), *how)
+    assert kept.columns == ["doc_id", "text", *NAMES]
+    assert sorted(map(tuple, kept.collect())) == [rows[0], rows[2]]

@@ -125,3 +125,18 @@ def test_query(spark, encoder):
         assert r.n_pieces == len(ids) and r.lossless
         assert r.ids_sha256 == hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_time_of_one_long_word_grows_in_proportion():
+    """Text without blanks or breaks: twice the characters take about twice as long."""
+    import time
+
+    with open(pieces.MODEL_PATH, "rb") as file:
+        model = pieces.PieceModel.load(file.read())
+    times = []
+    for n in (40_000, 160_000):
+        word = "".join(chr(0x4E00 + i * 7919 % 5000) if i % 3 else "ab+/"[i % 4] for i in range(n))
+        start = time.perf_counter()
+        model.best_path(word)
+        times.append(time.perf_counter() - start)
+    assert times[1] < 6 * times[0] + 0.5, times

@@ -8,8 +8,8 @@ import pandas as pd
 import corpus_pipeline
 from stresslake.llm import mixing, pieces, secrets, toxicity
 from stresslake.llm.common import read
+from tests.llm.test_near_copies import plain_kept
 from tests.llm.test_secrets import plain_base, plain_entropy
-from tests.llm.test_simhash import plain_components, plain_fingerprint
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -35,8 +35,8 @@ def test_run_matches_plain_stages(spark):
     rows = [tuple(r) for r in docs.select(*COLUMNS).orderBy("doc_id").collect()]
 
     rows = [r for r in rows if model is None or model.score(r[1]) < toxicity.THRESHOLD]
-    parts = plain_components([r[0] for r in rows], [plain_fingerprint(r[1]) for r in rows])
-    rows = [r for r, part in zip(rows, parts, strict=True) if r[0] == part]
+    kept = set(plain_kept([r[:2] for r in rows]))
+    rows = [r for r in rows if r[0] in kept]
     masked = []
     for doc_id, text, lang, source, n_chars in rows:
         new, changed = plain_redaction(text)

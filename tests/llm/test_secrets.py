@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import time
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -117,3 +118,51 @@ def test_letters_of_mixed_case_are_judged_by_entropy(spark):
     out = secrets.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string"))
     found = {r.doc_id: [(s.kind, s.start, s.end) for s in r.secret_spans] for r in out.collect()}
     assert found == {1: [("entropy_base64", 4, 24)], 2: [], 3: []}
+
+
+def test_clashing_columns_stay(spark):
+    names = ["_text", "_spans", "_base", "row", "body", "base", "spans", "new", "n", "a.b"]
+    schema = "doc_id long, text string, n_chars int, " + ", ".join(f"`{n}` string" for n in names)
+    rows = [(1, "token=abcdefghijklmnop1", 5, *names), (2, None, None, *names), (3, "plain", 7, *names)]
+    out = secrets.redact(spark.createDataFrame(rows, schema))
+    assert out.columns == ["doc_id", "text", "n_chars", *names]
+    found = {r.doc_id: tuple(r) for r in out.collect()}
+    assert found == {1: (1, secrets.MASK, len(secrets.MASK), *names), 2: rows[1], 3: rows[2]}
+
+
+def seconds(frame):
+    start = time.perf_counter()
+    frame.write.format("noop").mode("overwrite").save()
+    return time.perf_counter() - start
+
+
+def test_time_grows_in_proportion(spark):
+    """Texts of hex lines: four times the text takes about four times as long, not sixteen."""
+    def docs(lines):
+        text = "".join(f"{hashlib.sha256(str(i).encode()).hexdigest()[:32]}\n" for i in range(lines))
+        return spark.createDataFrame([(1, text)], "doc_id long, text string")
+
+    for run in (lambda d: secrets.scan_secrets(d), secrets.redact):
+        seconds(run(docs(500)))
+        short, long = (min(seconds(run(docs(n))) for _ in range(2)) for n in (4_000, 16_000))
+        assert long < 6 * short + 2, (short, long)
+
+
+def test_long_texts_are_masked_in_place(spark):
+    """Spans at the edges of blocks, next to each other, and far apart."""
+    key = "AKIA" + "Z" * 16
+    texts = [f"{'é' * n}{key} {'x ' * 5000}{key}{key} end" for n in (0, 4090, 4096, 8190, 9000)] + [key * 700]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in secrets.redact(docs).collect():
+        assert r.text == plain_mask(texts[r.doc_id])
+
+
+def plain_mask(text):
+    spans = sorted([(s, e) for s, _, _, e in plain_base(text)] + [
+        (s, e) for c in secrets.ENTROPY_CLASSES for s, _, e in plain_entropy(text, c)])
+    out, at = "", 0
+    for s, e in spans:
+        if s >= at:
+            out += text[at:s] + secrets.MASK
+        at = max(at, e)
+    return out + text[at:]
