@@ -13,6 +13,7 @@ names it.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -96,8 +97,17 @@ def _labelled(spans: Column, kind: str, order: int) -> Column:
     ))
 
 
-def _n_log_n(n: Column) -> Column:
-    return F.when(n > 1, n * F.log2(n)).otherwise(F.lit(0.0))
+# Counts of a window's characters lie in words of 60 bits, five bits each.
+COUNT_BITS, COUNTS_PER_WORD = 5, 12
+
+
+def _steps(window: int) -> Column:
+    """By how much c * log2(c) grows when a count rises from 0, 1, 2, ... by one.
+
+    What enters does so before the oldest leaves, so a count exceeds the window by one.
+    """
+    value = lambda c: c * math.log2(c) if c > 1 else 0.0
+    return F.array(*[F.lit(value(c + 1) - value(c)) for c in range(window + 1)])
 
 
 def _piece_entropy(chars: Column, window: int) -> Column:
@@ -106,35 +116,53 @@ def _piece_entropy(chars: Column, window: int) -> Column:
     The counts of all characters in the window are kept; a step raises the count of the
     one that enters, lowers that of the one that leaves, and changes the sum by both.
     """
+    if window + 1 >= 1 << COUNT_BITS:
+        raise ValueError(f"a window has less than {(1 << COUNT_BITS) - 1} characters")
+    grows = _steps(window)
 
     def whole(held: Column) -> Column:
-        known = held["known"]
+        places = held["places"]
 
         def step(state: Column, i: Column) -> Column:
-            come = F.element_at(held["numbers"], i)
-            gone = F.when(i > window, F.element_at(held["numbers"], F.greatest(i - window, F.lit(1)))).otherwise(F.lit(0))
-            had = F.element_at(state["counts"], come)
-            leaving = F.when(gone > 0, F.element_at(state["counts"], F.greatest(gone, F.lit(1))) + F.when(gone == come, 1.0).otherwise(0.0))
-            total = state["total"] + _n_log_n(had + 1) - _n_log_n(had) - F.coalesce(
-                _n_log_n(leaving) - _n_log_n(leaving - 1), F.lit(0.0))
-            counts = F.transform(state["counts"], lambda n, at: (
-                n + F.when(at + 1 == come, 1.0).otherwise(0.0) - F.when(at + 1 == gone, 1.0).otherwise(0.0)))
+            come = F.element_at(places, i)
+            # Before the window is full nothing leaves.
+            gone = F.get(places, i - window - 1)
+
+            def count(place: Column) -> Column:
+                word = F.element_at(state["counts"], place["word"])
+                return F.call_function("shiftright", word, place["shift"]).bitwiseAND(F.lit((1 << COUNT_BITS) - 1))
+
+            same = F.when((gone["word"] == come["word"]) & (gone["shift"] == come["shift"]), F.lit(1)).otherwise(F.lit(0))
+            left = F.when(gone.isNotNull(), F.element_at(grows, (count(gone) + same).cast("int")))
+            total = state["total"] + F.element_at(grows, (count(come) + 1).cast("int")) - F.coalesce(left, F.lit(0.0))
+            unit = lambda place, at: F.when(
+                at + 1 == place["word"], F.call_function("shiftleft", F.lit(1).cast("long"), place["shift"])
+            ).otherwise(F.lit(0).cast("long"))
+            counts = F.transform(state["counts"], lambda n, at: n + unit(come, at) - unit(gone, at))
             bits = F.when(i >= window, F.log2(F.lit(float(window))) - total / window)
             return F.struct(counts.alias("counts"), total.alias("total"), F.greatest(state["best"], bits).alias("best"))
 
+        words = F.sequence(F.lit(1), F.greatest(F.ceil(held["distinct"] / COUNTS_PER_WORD).cast("int"), F.lit(1)))
         zero = F.struct(
-            F.transform(known, lambda _: F.lit(0.0)).alias("counts"), F.lit(0.0).alias("total"),
+            F.transform(words, lambda _: F.lit(0).cast("long")).alias("counts"), F.lit(0.0).alias("total"),
             F.lit(None).cast("double").alias("best"),
         )
-        return F.aggregate(F.sequence(F.lit(1), F.size(held["numbers"])), zero, step, lambda s: s["best"])
+        return F.aggregate(F.sequence(F.lit(1), F.size(places)), zero, step, lambda s: s["best"])
+
+    def placed(known: Column, c: Column) -> Column:
+        """Word (from 1) and shift of each character's count."""
+        def place(x: Column) -> Column:
+            number = (F.array_position(known, x) - 1).cast("int")
+            return F.struct(
+                F.floor(number / COUNTS_PER_WORD + 1).cast("int").alias("word"),
+                (number % COUNTS_PER_WORD * COUNT_BITS).alias("shift"),
+            )
 
-    def numbered(c: Column) -> Column:
-        known = F.array_distinct(c)
-        return F.transform(F.array(known), lambda k: F.struct(
-            k.alias("known"), F.transform(c, lambda x: F.array_position(k, x).cast("int")).alias("numbers")))[0]
+        return F.struct(F.transform(c, place).alias("places"), F.size(known).alias("distinct"))
 
     # Variables of the lambdas, so that each array is computed once.
-    return F.transform(F.array(chars), lambda c: F.transform(F.array(numbered(c)), whole)[0])[0]
+    found = F.transform(F.array(chars), lambda c: F.transform(F.array(F.array_distinct(c)), lambda k: placed(k, c))[0])
+    return F.transform(found, whole)[0]
 
 
 def best_window_entropy(run: Column, window: int) -> Column:
