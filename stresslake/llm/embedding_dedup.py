@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from stresslake.llm.common import materialize, read
 from stresslake.llm.components import connected_components
+from stresslake.llm.simhash import forest
 from stresslake.llm.vectors import is_finite, rows_of
 
 MIN_COSINE = 0.9
@@ -37,7 +38,7 @@ GRID = 2
 # Side of a cell in radii.
 CELL_RADII = 1.5
 # Rows of a cell that one chunk holds; a tile compares two chunks.
-CHUNK = 16_384
+CHUNK = 8_192
 # Rows of a tile whose products are taken at once, and pairs verified at once.
 _SLICE = 512
 _PAIRS = 1 << 16
@@ -171,21 +172,6 @@ def tile_links(
             yield i[good], j[good]
 
 
-def _forest(n: int, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links of each row to the smallest row of its part."""
-    label = np.arange(n)
-    while True:
-        before = label.copy()
-        low = np.minimum(label[left], label[right])
-        np.minimum.at(label, left, low)
-        np.minimum.at(label, right, low)
-        label = label[label]
-        if (label == before).all():
-            break
-    moved = np.flatnonzero(label != np.arange(n))
-    return moved, label[moved]
-
-
 def _tile(min_cosine: float):
     """applyInArrow: counted links per vector, and links that join them."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("links", pa.int64())])
@@ -205,7 +191,7 @@ def _tile(min_cosine: float):
             np.add.at(links, left, copies[right])
             np.add.at(links, right, copies[left])
             # Only links that join parts are kept, so they never outnumber the rows.
-            a, b = _forest(len(node), np.concatenate([a, left]), np.concatenate([b, right]))
+            a, b = forest(len(node), np.concatenate([a, left]), np.concatenate([b, right]))
         linked = np.flatnonzero(links)
         return pa.table([
             pa.array(np.concatenate([node[linked], node[a]])),
@@ -289,3 +275,23 @@ def near_duplicates(
 
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+OP10_SQL = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.9
+), reach(a, b) AS (
+  SELECT a, b FROM links
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), degree AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+least AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
+SELECT e.vec_id, coalesce(d.n, 0)::BIGINT AS n_links, least(e.vec_id, coalesce(l.m, e.vec_id)) AS component_id,
+       e.vec_id = least(e.vec_id, coalesce(l.m, e.vec_id)) AS kept
+FROM embeddings e LEFT JOIN degree d ON e.vec_id = d.a LEFT JOIN least l ON e.vec_id = l.a
+"""

@@ -1,10 +1,10 @@
 """Exact top-k search by inner product with one KD-tree per shard.
 
-Candidates are dealt to shards by a hash of their ids, queries to blocks. A task gets
-one shard and one block: it builds the shard's KD-tree (median splits on the widest
-side, a tight bounding box per node) and searches it best first for each query. The
-largest inner product that a box allows is the bound of a node; a search ends when no
-open node can beat the kth score.
+Candidates are dealt to shards by a hash. A task holds one shard: it builds the shard's
+KD-tree once (median splits on the widest side, a tight bounding box per node), and the
+queries stream past it in batches, each searched best first. The largest inner product
+that a box allows is the bound of a node; a search ends when no open node can beat the
+kth score. Candidates move once per round, and queries once per shard.
 
 The search runs in two rounds. First each query searches one home shard. Its kth
 score there is a lower bound of the final one and travels with the query to all other
@@ -14,6 +14,7 @@ shards, where it prunes from the start. The k best of each shard are then merged
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,9 @@ from stresslake.llm.common import materialize, read
 from stresslake.llm.vectors import is_finite, rows_of
 
 TOP_K = 20
-SHARD_ROWS = 16_384
-BLOCK_QUERIES = 4_096
+SHARD_ROWS = 32_768
+# Queries of a batch that are searched at once; their bounds for all nodes are held.
+BLOCK_QUERIES = 1_024
 LEAF_ROWS = 128
 # Products of whole numbers are exact in doubles up to this sum.
 EXACT = 2.0**53
@@ -59,6 +61,9 @@ class KDTree:
         self.order, self.spans = order, spans
         self.low, self.high = np.array(low), np.array(high)
         self.points = points[order]
+        self.leaves = sum(c is None for c in self.children)
+        # Leaves that searches have looked into.
+        self.visited = 0
 
     def bounds(self, queries: np.ndarray) -> np.ndarray:
         """Largest inner product that each node's box allows, per query."""
@@ -97,6 +102,7 @@ def search(
                 for child in pair:
                     heapq.heappush(open_nodes, (-bound[child], child))
                 continue
+            tree.visited += 1
             begin, end = tree.spans[node]
             scores = points[begin:end] @ wanted[q]
             least = max(floor, best[0][0]) if len(best) == k else floor
@@ -112,30 +118,62 @@ def search(
     return out
 
 
-def _search_shard(k: int):
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+_FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
-    def run(candidates: pa.Table, queries: pa.Table) -> pa.Table:
-        if not len(candidates) or not len(queries):
-            return schema.empty_table()
-        tree = KDTree(rows_of(candidates["vector"], np.int64))
-        ids = candidates["vec_id"].to_numpy()
-        floors = [NO_FLOOR if f is None else f for f in queries["floor"].to_pylist()]
-        rows = search(
-            tree, ids, rows_of(queries["query"], np.int64), queries["query_id"].to_numpy(), floors, k
-        )
-        columns = list(zip(*rows, strict=True)) if rows else [(), (), ()]
-        return pa.table([pa.array(c, pa.int64()) for c in columns], schema=schema)
+
+def _search_shards(k: int):
+    """mapInArrow over rows sorted by shard, candidates before queries."""
+
+    def trees_of(held: list[pa.RecordBatch]) -> dict[int, tuple[KDTree, np.ndarray]]:
+        table = pa.Table.from_batches(held)
+        dims = table["dim"].to_numpy()
+        out = {}
+        for dim in np.unique(dims):
+            rows = table.take(pa.array(np.flatnonzero(dims == dim)))
+            out[dim] = KDTree(rows_of(rows["vector"], np.int64)), rows["vec_id"].to_numpy()
+        return out
+
+    def answers(trees, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        dims = batch.column("dim").to_numpy()
+        for dim in np.unique(dims):
+            if dim not in trees:
+                continue
+            rows = batch.take(pa.array(np.flatnonzero(dims == dim)))
+            floors = [NO_FLOOR if f is None else f for f in rows.column("floor").to_pylist()]
+            vectors, ids = rows_of(rows.column("vector"), np.int64), rows.column("vec_id").to_numpy()
+            for at in range(0, len(ids), BLOCK_QUERIES):
+                part = slice(at, at + BLOCK_QUERIES)
+                found = search(*trees[dim], vectors[part], ids[part], floors[part], k)
+                columns = list(zip(*found, strict=True)) if found else [(), (), ()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=_FOUND)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held, trees = None, [], {}
+        for batch in batches:
+            keys = batch.column("shard").to_numpy().astype(np.int64) * 2 + batch.column("kind").to_numpy()
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1, [len(keys)]])
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if a == b:
+                    continue
+                part, (shard, kind) = batch.slice(a, b - a), divmod(int(keys[a]), 2)
+                if shard != current:
+                    current, held, trees = shard, [], {}
+                if kind == 0:
+                    held.append(part)
+                    continue
+                if held:
+                    trees, held = trees_of(held), []
+                yield from answers(trees, part)
 
     return run
 
 
-def _round(candidates: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    keys = ["dim", "shard", "block"]
-    return (
-        candidates.groupBy(*keys).cogroup(queries.groupBy(*keys))
-        .applyInArrow(_search_shard(k), "query_id long, vec_id long, score long")
-    )
+def _round(candidates: DataFrame, queries: DataFrame, shards: int, k: int) -> DataFrame:
+    columns = ["shard", "kind", "dim", "vec_id", "vector", "floor"]
+    side = candidates.withColumns({"kind": F.lit(0), "floor": F.lit(None).cast("long")})
+    rows = side.select(columns).unionByName(queries.withColumn("kind", F.lit(1)).select(columns))
+    placed = rows.repartitionById(shards, "shard").sortWithinPartitions("shard", "kind")
+    return placed.mapInArrow(_search_shards(k), "query_id long, vec_id long, score long")
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
@@ -162,33 +200,28 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = TOP_K) -> DataFram
     cheap to read twice. Returns query_id, rank (from 1), vec_id and score; ties go to
     the smaller id, and fewer candidates give fewer rows. Only vectors of the query's
     length are compared. Rows that share the query's id count as the query. Repeated
-    candidate rows are separate candidates; a repeated query id is searched once.
-    Empty tables give an empty result.
+    candidate rows are separate candidates; a repeated query id is searched once, with
+    the least of its vectors. Empty tables give an empty result.
     """
     sized = candidates.withColumn("dim", F.size("vector")).where("dim > 0")
-    asked = queries.withColumn("dim", F.size("vector")).where("dim > 0").dropDuplicates(["vec_id"])
-    counts = [sized.count(), asked.count()]
-    shards = max(1, -(-counts[0] // SHARD_ROWS))
-    blocks = max(1, -(-counts[1] // BLOCK_QUERIES))
-    hashed = F.xxhash64("vec_id")
-    sized = sized.withColumn("shard", F.pmod(hashed, F.lit(shards)).cast("int"))
-    asked = asked.select(
-        F.col("vec_id").alias("query_id"), F.col("vector").alias("query"), F.col("dim").alias("dim"),
-        F.pmod(hashed, F.lit(blocks)).cast("int").alias("block"),
-        F.pmod(hashed, F.lit(shards)).cast("int").alias("home"),
-    )
-    # Each shard meets each block of queries.
-    sized = sized.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
-    first = asked.withColumn("shard", F.col("home")).withColumn("floor", F.lit(None).cast("long"))
-    at_home = materialize(_best(_round(sized, first, k), k))
+    asked = queries.where(F.size("vector") > 0).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    asked = asked.withColumn("dim", F.size("vector"))
+    # Small tables are spread over the cores all the same.
+    spread = sized.sparkSession.sparkContext.defaultParallelism
+    shards = max(1, spread, -(-sized.count() // SHARD_ROWS))
+    # The vector takes part, so rows that share an id are spread unless they are equal.
+    sized = sized.withColumn("shard", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(shards)).cast("int"))
+    home = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")
+
+    first = asked.withColumns({"shard": home, "floor": F.lit(None).cast("long")})
+    at_home = materialize(_best(_round(sized, first, shards, k), k))
     # Fewer than k rows at home give no bound.
-    kth = at_home.where(F.col("rank") == k).select("query_id", F.col("score").alias("floor"))
-    elsewhere = F.explode(F.filter(
-        F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != F.col("home")
-    ))
-    second = asked.join(kth, "query_id", "left").withColumn("shard", elsewhere)
-    found = _round(sized, second, k).unionByName(at_home.drop("rank")) if shards > 1 else at_home.drop("rank")
+    kth = at_home.where(F.col("rank") == k).select(F.col("query_id").alias("q"), F.col("score").alias("floor"))
+    elsewhere = F.explode(F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != home))
+    second = asked.join(kth, F.col("vec_id") == F.col("q"), "left").withColumn("shard", elsewhere)
+    found = at_home.drop("rank")
+    if shards > 1:
+        found = found.unionByName(_round(sized, second, shards, k))
     return _best(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 

@@ -26,8 +26,10 @@ from stresslake.llm.common import held_out, materialize, read
 
 ORDER = 4
 MAX_DOCUMENTS = 300
-# Longer texts are not taken for training, which bounds the sample in bytes.
+# Of a longer text an excerpt of this length is learnt from, at a place drawn by hash.
 MAX_TRAINING_CHARS = 50_000
+# Of all languages together; many languages share it equally.
+MAX_SAMPLE_CHARS = 400_000_000
 MAX_CONTEXTS = 12_000
 # Occurrences, over all languages, that a context of two or more bytes needs.
 MIN_COUNT = 8
@@ -170,21 +172,31 @@ def fit(samples: dict[str, list[str]], max_contexts: int = MAX_CONTEXTS) -> PPMM
     )
 
 
-def train(docs: DataFrame, max_documents: int = MAX_DOCUMENTS) -> PPMModel:
+def train(
+    docs: DataFrame, max_documents: int = MAX_DOCUMENTS, max_chars: int = MAX_TRAINING_CHARS,
+    max_sample: int = MAX_SAMPLE_CHARS,
+) -> PPMModel:
     """Fit on texts with a language that are not held out, equally many per language.
 
-    The sample follows a hash of the id. A first cut by the language's size keeps the
-    ranking small, however many texts a language has.
+    The sample follows a hash of the id: ``max_documents`` texts of a language, whatever
+    their length, and of a text over ``max_chars`` characters an excerpt of so many from
+    a place that the hash draws. ``max_sample`` bounds the characters of all languages
+    together: beyond it excerpts are shorter for all alike. Rows without a language or
+    text teach nothing; without any the model has no language. A first cut by the
+    language's size keeps the ranking small, however many texts a language has.
     """
     known = docs.where(
-        F.col("lang").isNotNull() & (F.length("text") > 0) & (F.length("text") <= MAX_TRAINING_CHARS)
-        & ~held_out(F.col("doc_id"))
+        F.col("lang").isNotNull() & (F.length("text") > 0) & ~held_out(F.col("doc_id"))
     ).select("lang", "text", F.xxhash64("doc_id", F.xxhash64("text")).alias("h"))
     # Written, so that Spark knows how small it is and does not move the texts to join it.
     sizes = materialize(known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")))
     # Twice the share wanted, so that chance leaves enough.
     share = F.least(F.lit(1.0), F.lit(2.0 * max_documents + 100) / F.col("n"))
     drawn = known.join(sizes, "lang").where(F.pmod("h", F.lit(1_000_003)) < share * 1_000_003)
+    chars = max(1, min(max_chars, max_sample // max(1, max_documents * sizes.count())))
+    over = F.greatest(F.length("text") - chars, F.lit(0))
+    at = F.pmod(F.xxhash64("h"), over + 1).cast("int") + 1
+    drawn = drawn.select("lang", "h", F.substring("text", at, F.lit(chars)).alias("text"))
     order = W.partitionBy("lang").orderBy("h", "text")
     rows = (
         drawn.withColumn("r", F.row_number().over(order)).where(F.col("r") <= max_documents)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stresslake.llm.common import prepare
 from stresslake.llm.conversation_repair import op13_conversation_repair
-from stresslake.llm.embedding_dedup import op10_embedding_dedup
+from stresslake.llm.embedding_dedup import OP10_SQL, op10_embedding_dedup
 from stresslake.llm.hard_negatives import OP12_SQL, op12_hard_negatives
 from stresslake.llm.knn import OP5_SQL, op5_topk
 from stresslake.llm.language import op6_language
@@ -41,5 +41,6 @@ QUERIES: dict[str, Query] = {
     )
 }
 ORACLE: dict[str, str] = {
-    "op1_mixing": OP1_SQL, "op5_topk": OP5_SQL, "op11_line_dedup": OP11_SQL, "op12_hard_negatives": OP12_SQL,
+    "op1_mixing": OP1_SQL, "op5_topk": OP5_SQL, "op10_embedding_dedup": OP10_SQL,
+    "op11_line_dedup": OP11_SQL, "op12_hard_negatives": OP12_SQL,
 }

@@ -22,11 +22,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stresslake.llm.common import held_out, materialize, read, smallest_hashes
+from stresslake.llm.near_copies import shingle_set
 
 MAX_POSITIVE = 2_000
 MAX_UNLABELLED = 6_000
@@ -44,6 +44,8 @@ STEPS = 200
 LEARNING_RATE = 0.1
 SHRINK = 1e-3
 THRESHOLD = 0.3
+# Values of the sketch that tells near copies in the sample, and the share that must agree.
+SKETCH, SAME = 64, 0.8
 # Prior if no labels tell it.
 DEFAULT_PRIOR = 0.1
 
@@ -76,12 +78,25 @@ class ToxicityModel:
         return float(_sigmoid(margin).mean())
 
 
-def fit_nnpu(x_pos: np.ndarray, x_unl: np.ndarray, prior: float, seed: int, steps: int = STEPS):
-    """One linear classifier by full-batch Adam on the nnPU risk with sigmoid loss.
+def nnpu_risk(x_pos: np.ndarray, x_unl: np.ndarray, w: np.ndarray, prior: float):
+    """Risk of the positives and of the negatives under sigmoid loss, and their slopes.
 
     The loss is bounded, l+(g) = sigmoid(-g) and l-(g) = sigmoid(g), so no single
-    document can dominate the risk. A soft threshold on the weights drops features
-    that do not help.
+    document can dominate the risk. The risk of the negatives is that of all unlabelled
+    rows less that of the positives they hold.
+    """
+    s_pos, s_unl = _sigmoid(x_pos @ w), _sigmoid(x_unl @ w)
+    slope_pos = x_pos.T @ (s_pos * (1 - s_pos) / len(s_pos)).astype(x_pos.dtype)
+    slope_unl = x_unl.T @ (s_unl * (1 - s_unl) / len(s_unl)).astype(x_unl.dtype)
+    positive = prior * (1 - s_pos).mean()
+    negative = s_unl.mean() - prior * s_pos.mean()
+    return positive, negative, -prior * slope_pos, slope_unl - prior * slope_pos
+
+
+def fit_nnpu(x_pos: np.ndarray, x_unl: np.ndarray, prior: float, seed: int, steps: int = STEPS):
+    """One linear classifier by full-batch Adam on the nnPU risk.
+
+    A soft threshold on the weights drops features that do not help.
     """
     rng = np.random.default_rng(seed)
     # A bootstrap of the unlabelled sample makes the classifiers differ.
@@ -95,13 +110,8 @@ def fit_nnpu(x_pos: np.ndarray, x_unl: np.ndarray, prior: float, seed: int, step
     shrink[-1] = 0
     m, v = np.zeros(d), np.zeros(d)
     for step in range(1, steps + 1):
-        s_pos, s_unl = _sigmoid(x_pos @ w), _sigmoid(x_unl @ w)
-        slope_pos = x_pos.T @ (s_pos * (1 - s_pos) / len(s_pos)).astype(np.float32)
-        slope_unl = x_unl.T @ (s_unl * (1 - s_unl) / len(s_unl)).astype(np.float32)
-        # Risk of the negatives: all of U less the positives that it holds.
-        negative = s_unl.mean() - prior * s_pos.mean()
-        d_negative = slope_unl - prior * slope_pos
-        grad = d_negative - prior * slope_pos if negative >= 0 else -d_negative
+        _, negative, d_positive, d_negative = nnpu_risk(x_pos, x_unl, w, prior)
+        grad = d_positive + d_negative if negative >= 0 else -d_negative
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         w = w - LEARNING_RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
         w = (np.sign(w) * np.maximum(np.abs(w) - shrink, 0)).astype(np.float32)
@@ -112,12 +122,27 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _sketch(text: str) -> tuple[int, int, int]:
-    """Smallest shingle hashes under three orders; near copies agree in most."""
-    words = text.lower().split()
-    parts = {" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))}
-    h = np.array([xxhash.xxh32_intdigest(p) for p in parts], np.uint64)
-    return tuple(int((h * np.uint64(k) % np.uint64(2**31 - 1)).min()) for k in (1, 40503, 69069))
+_ORDERS = np.random.default_rng(7).integers(0, 1 << 62, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _sketch(text: str) -> list[int]:
+    """Least shingle hash under each order; the share that agrees estimates the Jaccard
+    similarity of two texts."""
+    hashes = shingle_set(text, 3)
+    if not len(hashes):
+        return [0] * SKETCH
+    # High bits of odd multiples: each order is its own shuffle of the hashes.
+    return [int((hashes * k).min() >> np.uint64(1)) for k in _ORDERS]
+
+
+def fold_copies(sketches: np.ndarray) -> np.ndarray:
+    """Rows that stay: of rows that agree in ``SAME`` of their sketch with one that stays,
+    only that one. Bounded like the sample."""
+    kept: list[int] = []
+    for i, row in enumerate(sketches):
+        if not kept or (sketches[kept] == row).mean(1).max() < SAME:
+            kept.append(i)
+    return np.array(kept, int)
 
 
 def _lowest(ids: DataFrame, bound: int) -> DataFrame:
@@ -137,15 +162,15 @@ def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
         return pa.array([_sketch(t.as_py()) for t in texts], pa.list_(pa.int64()))
 
     found = docs.join(F.broadcast(ids), docs["doc_id"] == ids["id"], "left_semi")
-    found = found.select("text").where("text IS NOT NULL")
-    found = materialize(found.withColumn("s", sketch("text")).select(
-        "text", *[F.col("s")[i].alias(name) for i, name in enumerate("abc")]
-    ))
-    # The smallest text of a group is taken, so that reruns agree.
-    for name in "abc":
-        least = F.min(F.struct("text", "a", "b", "c")).alias("r")
-        found = found.groupBy(F.col(name).alias("key")).agg(least).select("r.*")
-    return found.select("text")
+    found = found.select("text").where("text IS NOT NULL").withColumn("h", F.xxhash64("text"))
+    found = materialize(found.dropDuplicates(["h"]).withColumn("s", sketch("text")))
+    # One small row per text of a bounded sample.
+    rows = found.select("h", "s").orderBy("h").collect()
+    if not rows:
+        return found.select("text")
+    kept = fold_copies(np.array([r["s"] for r in rows], np.int64))
+    ids = found.sparkSession.createDataFrame([(rows[i]["h"],) for i in kept], "h long")
+    return found.join(F.broadcast(ids), "h", "left_semi").select("text")
 
 
 def _feature_lists(texts: DataFrame) -> DataFrame:

@@ -121,3 +121,22 @@ def test_odd_rows(spark):
     nothing = language.train(docs.where("false"))
     assert nothing.predict("text") == ("und", 0.0)
     assert docs.where("false").select(language.predict_columns(model, docs.text)).count() == 0
+
+
+def test_a_language_of_long_texts_is_learnt(spark):
+    long_text = "zq xk vv " * 20_000
+    rows = [(i, long_text, "long") for i in range(12)]
+    rows += [(100 + i, "the quick brown fox jumps over it", "short") for i in range(12)]
+    model = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == ["long", "short"]
+    assert model.predict("vv zq xk zq")[0] == "long" and model.predict("the brown fox")[0] == "short"
+
+
+def test_the_sample_of_many_languages_is_bounded(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(language, "fit", lambda samples: seen.update(samples))
+    rows = [(i, "abc " * 500, f"l{i % 40}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    language.train(docs, max_documents=3, max_chars=1_000, max_sample=12_000)
+    assert len(seen) == 40 and all(len(v) == 3 for v in seen.values())
+    assert sum(len(t) for v in seen.values() for t in v) <= 12_000

@@ -87,3 +87,58 @@ def test_texts_without_a_word_stay_whatever_the_bias(spark, monkeypatch):
     rows = [(1, None, "x"), (2, "", "x"), (3, " 12_ !\n", "x"), (4, "words", "x"), (5, "\u00e9", "x")]
     kept = toxicity.keep_clean(spark.createDataFrame(rows, SCHEMA), None)
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3]
+
+
+def test_risk_and_slopes_equal_a_plain_loop():
+    rng = np.random.default_rng(4)
+    x_pos, x_unl = (rng.random((n, 5)) for n in (20, 50))
+    w, prior = rng.normal(size=5), 0.3
+
+    def plain(w):
+        loss = lambda row, sign: 1 / (1 + np.exp(sign * sum(a * b for a, b in zip(row, w, strict=True))))
+        positive = prior * sum(loss(r, 1) for r in x_pos) / len(x_pos)
+        inner = sum(loss(r, -1) for r in x_unl) / len(x_unl) - prior * sum(loss(r, -1) for r in x_pos) / len(x_pos)
+        return positive, inner
+
+    risks = toxicity.nnpu_risk(x_pos, x_unl, w, prior)
+    assert np.allclose(risks[:2], plain(w))
+    for d in range(5):
+        step = np.eye(5)[d] * 1e-6
+        slopes = [(b - a) / 2e-6 for a, b in zip(plain(w - step), plain(w + step), strict=True)]
+        assert np.allclose([risks[2][d], risks[3][d]], slopes, atol=1e-6)
+
+
+def test_fit_turns_back_when_the_negative_risk_is_negative():
+    """All unlabelled rows look like the positives: the risk must not run below zero."""
+    x = np.ones((50, 3), np.float32)
+    w, b = toxicity.fit_nnpu(x, x * 0 + np.float32(1), 0.9, 1)
+    _, negative, _, _ = toxicity.nnpu_risk(np.hstack([x, x[:, :1]]), np.hstack([x, x[:, :1]]), np.append(w, b), 0.9)
+    assert negative > -0.1
+
+
+def test_query_scores_equal_a_plain_scorer(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, read(spark, folder, "labels"))
+    plain = {}
+    for r in docs.collect():
+        text = (r.text or "").lower()
+        words = {w for w in "".join(c if c.isalpha() else " " for c in text).split()}
+        marks = {w + "$" for w in words if len(w) > 2} | {w[:n] for w in words for n in (4, 5, 6) if len(w) >= n}
+        margins = [b + sum(ws[i] for f, i in model.vocabulary.items() if f in marks)
+                   for ws, b in zip(model.weights, model.bias, strict=True)]
+        plain[r.doc_id] = sum(1 / (1 + np.exp(-m)) for m in margins) / len(margins)
+    found = {r.doc_id: r.score for r in toxicity.op2_toxicity(spark, folder).collect()}
+    assert found.keys() == plain.keys()
+    assert all(abs(found[i] - plain[i]) < 1e-9 for i in plain)
+
+
+def test_only_copies_are_folded():
+    rng = random.Random(1)
+    base = [rng.choices([f"w{i}" for i in range(400)], k=200) for _ in range(4)]
+    near = [*base[0][:198], "x", "y"]
+    half = base[1][:100] + base[2][:100]
+    texts = [" ".join(t) for t in (*base, near, half)]
+    kept = toxicity.fold_copies(np.array([toxicity._sketch(t) for t in texts]))
+    assert kept.tolist() == [0, 1, 2, 3, 5]
+    assert len(toxicity.fold_copies(np.array([toxicity._sketch("") for _ in range(3)]))) == 1
