@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -32,7 +33,8 @@ PATTERN = (
 )
 # Tokens of a block; two bytes each.
 BLOCK_TOKENS = 1 << 16
-# Files over this size are read in slices of a block each.
+# Blocks that one row of the reader stands for.
+RANGE_BLOCKS = 64
 TOKEN_TYPE = "<u2"
 
 
@@ -95,25 +97,41 @@ def write_flat(docs: DataFrame, ranks_path: str = RANKS_PATH) -> tuple[DataFrame
     return blocks, flat.where("data IS NULL").select("file", "ordinal", "doc_id")
 
 
+def _uri(path: str) -> str:
+    """Path as Spark lists it, in the form that Arrow's file systems read."""
+    return f"file://{path.removeprefix('file:')}" if path.startswith("file:/") and not path.startswith("file:///") else path
+
+
 def read_flat(spark: SparkSession, path: str, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """Blocks of raw token files (16-bit little-endian ids) under a path, file by file.
+    """Blocks of raw token files (16-bit little-endian ids) under a path.
 
-    A file is one row of the reader, so files should be of moderate size (shards).
+    Spark lists the files with their lengths only. Ranges of blocks are dealt to the
+    tasks, and a task reads the bytes of its range through Arrow's file systems, a block
+    at a time: a file of any size is read by many tasks and held by none. An odd byte at
+    the end of a file raises an error; empty files have no blocks.
     """
+    step = 2 * block_tokens
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = 2 * block_tokens
         for batch in batches:
-            for name, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-                data = memoryview(content.as_buffer())
-                for number, at in enumerate(range(0, len(data), step)):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([name]), pa.array([number], pa.int64()), pa.array([bytes(data[at:at + step])])],
-                        names=["file", "block", "data"],
-                    )
-
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(run, "file string, block bigint, data binary")
+            for name, first, length in zip(*(batch.column(c).to_pylist() for c in ("path", "first", "length")), strict=True):
+                if length % 2:
+                    raise ValueError(f"{name} does not hold whole tokens")
+                source, inner = fs.FileSystem.from_uri(_uri(name))
+                with source.open_input_file(inner) as file:
+                    last = min(first + RANGE_BLOCKS, -(-length // step))
+                    for number in range(first, last):
+                        data = file.read_at(min(step, length - number * step), number * step)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([name]), pa.array([number], pa.int64()), pa.array([data])],
+                            names=["file", "block", "data"],
+                        )
+
+    files = spark.read.format("binaryFile").load(path).select("path", "length").where("length > 0")
+    last = F.floor((F.col("length") - 1) / step).cast("long")
+    ranges = files.select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(RANGE_BLOCKS).cast("long"))).alias("first"))
+    spread = ranges.repartition(spark.sparkContext.defaultParallelism * 4, "path", "first")
+    return spread.mapInArrow(run, "file string, block bigint, data binary")
 
 
 def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -116,3 +116,27 @@ def test_a_line_that_names_two_licences(spark, model):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "doc_id long, text string")
     for r in licenses.scan_notices(docs, model).collect():
         assert {f.family for f in r.licenses if f.confirmed} == {"mit", "apache-2.0"}
+
+
+def test_recall_and_precision_on_planted_notices(spark, model):
+    """Every line that a plain pattern knows is confirmed, and little else is."""
+    docs = read(spark, "/root/testdata/sf0.1", "documents")
+    known = {re.compile(rf"{re.escape(line)}"): family for line, family in LINES.items()}
+    hit = missed = extra = 0
+    for r in licenses.scan_notices(docs, model).select("text", "licenses").collect():
+        expected = {family for p, family in known.items() if p.search(r.text or "")}
+        found = {f.family for f in r.licenses if f.confirmed}
+        hit += len(expected & found)
+        missed += len(expected - found)
+        extra += len(found - expected)
+    assert hit > 50 and hit / (hit + missed) > 0.97 and hit / (hit + extra) > 0.97, (hit, missed, extra)
+
+
+def test_calibration_is_of_the_probability_in_use():
+    """Margins that are twice too sure are halved."""
+    rng = np.random.default_rng(1)
+    margin = rng.normal(size=4000) * 2
+    is_family = rng.random(4000) < 1 / (1 + np.exp(-margin))
+    z = np.stack([2 * margin, np.zeros(4000)], 1)
+    assert 1.6 < licenses.calibrate(z, np.where(is_family, 0, 1)) < 2.5
+    assert licenses.calibrate(z[:0], np.empty(0, int)) == 1.0

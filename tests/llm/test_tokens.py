@@ -66,3 +66,15 @@ def test_raw_files(spark, tmp_path, block):
         found.setdefault(r.file.rsplit("/", 1)[1], []).append((r.ordinal, r.start, r.n_tokens, r.ended))
     for name, stream in streams.items():
         assert sorted(found.get(name, [])) == plain_documents(stream, end)
+
+
+def test_ranges_of_one_large_file(spark, tmp_path, monkeypatch):
+    """Many ranges of blocks, an odd length, and a file that does not hold whole tokens."""
+    monkeypatch.setattr(tokens, "RANGE_BLOCKS", 3)
+    stream = np.random.default_rng(1).integers(0, 400, 10_007).astype("<u2")
+    (tmp_path / "large.bin").write_bytes(stream.tobytes())
+    rows = sorted((r.block, bytes(r.data)) for r in tokens.read_flat(spark, str(tmp_path), 64).collect())
+    assert [b for b, _ in rows] == list(range(157)) and b"".join(d for _, d in rows) == stream.tobytes()
+    (tmp_path / "odd.bin").write_bytes(b"abc")
+    with pytest.raises(Exception, match="whole tokens"):
+        tokens.read_flat(spark, str(tmp_path), 64).collect()
