@@ -137,11 +137,23 @@ def _sketch(text: str) -> list[int]:
 
 def fold_copies(sketches: np.ndarray) -> np.ndarray:
     """Rows that stay: of rows that agree in ``SAME`` of their sketch with one that stays,
-    only that one. Bounded like the sample."""
+    only that one. Bounded like the sample.
+
+    Rows that agree in so many places agree in a whole band, so only those are compared.
+    """
+    # More bands than places that may differ.
+    bands = int(SKETCH * (1 - SAME)) + 1
+    edges = np.linspace(0, SKETCH, bands + 1).astype(int)
     kept: list[int] = []
+    held: dict[tuple[int, bytes], list[int]] = {}
     for i, row in enumerate(sketches):
-        if not kept or (sketches[kept] == row).mean(1).max() < SAME:
-            kept.append(i)
+        keys = [(k, row[a:b].tobytes()) for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True))]
+        near = sorted({j for key in keys for j in held.get(key, ())})
+        if near and (sketches[near] == row).mean(1).max() >= SAME:
+            continue
+        kept.append(i)
+        for key in keys:
+            held.setdefault(key, []).append(i)
     return np.array(kept, int)
 
 
