@@ -120,32 +120,58 @@ class Tile:
         self.sets: list[np.ndarray] = []
         self.chunks: list[int] = []
         self.fps: list[int] = []
-        self.root = np.empty(0, np.int64)
-        self.holders: dict[int, list[int]] = {}
+        self.parent: list[int] = []
+        # Per key the sets that have it, by the part they were joined to.
+        self.holders: dict[int, dict[int, list[int]]] = {}
         self.links: list[tuple[int, int]] = []
 
+    def root(self, at: int) -> int:
+        while self.parent[at] != at:
+            self.parent[at] = self.parent[self.parent[at]]
+            at = self.parent[at]
+        return at
+
+    def _parts(self, key: int) -> dict[int, list[int]]:
+        """Sets with a key, parts that were joined meanwhile put together."""
+        held = self.holders.setdefault(key, {})
+        for old in [r for r in held if self.parent[r] != r]:
+            members, new = held.pop(old), self.root(old)
+            if new in held and len(held[new]) < len(members):
+                members, held[new] = held[new], members
+            held.setdefault(new, []).extend(members)
+        return held
+
+    def _similar(self, own: int, other: int) -> bool:
+        if not self.both and self.chunks[other] == self.chunks[own]:
+            return False
+        return jaccard(self.sets[other], self.sets[own]) >= SIMILARITY
+
     def add(self, fp: int, chunk: int, keys: list[int], hashes: np.ndarray) -> None:
-        """Compare a set with those that share a key and are not joined to it yet."""
+        """Compare a set with those that share a key and are not joined to it yet.
+
+        Of a part that one comparison joins no more is compared, so a group whose sets
+        are all alike costs a comparison per set.
+        """
         own = len(self.sets)
         self.sets.append(hashes)
         self.chunks.append(chunk)
         self.fps.append(fp)
-        self.root = np.append(self.root, own)
+        self.parent.append(own)
         tried: set[int] = set()
         for key in keys:
-            held = self.holders.setdefault(key, [])
-            if held:
-                others = np.array(held)
-                for other in others[self.root[others] != self.root[own]].tolist():
-                    if other in tried or self.root[other] == self.root[own]:
+            for part, members in self._parts(key).items():
+                if self.root(part) == self.root(own):
+                    continue
+                for other in members:
+                    if other in tried:
                         continue
                     tried.add(other)
-                    if not self.both and self.chunks[other] == chunk:
-                        continue
-                    if jaccard(self.sets[other], hashes) >= SIMILARITY:
+                    if self._similar(own, other):
                         self.links.append((self.fps[other], fp))
-                        self.root[self.root == self.root[own]] = self.root[other]
-            held.append(own)
+                        self.parent[self.root(own)] = self.root(other)
+                        break
+        for key in keys:
+            self._parts(key).setdefault(self.root(own), []).append(own)
 
     def batch(self) -> pa.RecordBatch:
         a, b = zip(*self.links, strict=True) if self.links else ((), ())
