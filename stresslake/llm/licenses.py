@@ -2,7 +2,7 @@
 
 A paragraph is a line. Its word n-grams (one to three words) select weights of a
 softmax regression over licence families and an unknown class; the probabilities are
-calibrated by a temperature fitted on paragraphs set aside. A family is predicted if
+calibrated by a temperature fitted on templates and paragraphs set aside. A family is predicted if
 its probability reaches ``MIN_PROBABILITY``, and the prediction is confirmed if the
 paragraph holds most of the n-grams of one of the family's templates.
 
@@ -113,7 +113,9 @@ class LicenseModel:
     anchors: list[str]
     weights: dict[str, list[float]]
     bias: list[float]
+    # Of the softmax over all classes, and of a family against unknown alone.
     temperature: float
+    pair_temperature: float
     templates: list[tuple[str, list[str]]]
 
 
@@ -136,55 +138,94 @@ def fit(background: list[str], templates: dict[str, list[str]] | None = None, se
     anchors = sorted({w for ts in texts.values() for t in ts for w in t if w not in COMMON_WORDS})
     known = set(anchors)
     foreign = sorted({w for line in background for w in words_of(line)} - known)[:5_000] or ["text"]
-    rows: list[tuple[list[str], int]] = []
+    variants: list[tuple[list[str], int, str]] = []
+    others: list[tuple[list[str], int]] = []
     for label, family in enumerate(families):
         for words in texts[family]:
             for drop in (0, 0, 0, 0.05, 0.1, 0.15):
                 kept = [w for w in words if rng.random() >= drop]
                 around = [[rng.choice(foreign) for _ in range(rng.choice((0, 0, 3, 8)))] for _ in range(2)]
-                rows.append((around[0] + kept + around[1], label))
+                variants.append((around[0] + kept + around[1], label, " ".join(words)))
     unknown = len(families)
     whole = [" ".join(t) for ts in texts.values() for t in ts]
     for line in background:
         words = words_of(line)
         if not any(t in " ".join(words) for t in whole):
-            rows.append((words, unknown))
+            others.append((words, unknown))
     for anchor in anchors:
         for _ in range(3):
             words = [rng.choice(foreign) for _ in range(rng.randint(2, 12))]
             for a in (anchor, rng.choice(anchors))[:rng.randint(1, 2)]:
                 words.insert(rng.randint(0, len(words)), a)
-            rows.append((words, unknown))
+            others.append((words, unknown))
     # Only n-grams of templates that hold an anchor carry weight.
     vocabulary = sorted(
         g for g in set().union(*(grams_of(t) for ts in texts.values() for t in ts)) if known & set(g.split())
     )
     at = {g: i for i, g in enumerate(vocabulary)}
+    target_of = lambda words: [at[g] for g in grams_of(words) if g in at]
+
+    def solve(part: list[tuple[list[str], int]]) -> tuple[np.ndarray, np.ndarray]:
+        x = _presence([target_of(words) for words, _ in part], len(vocabulary))
+        target = np.eye(unknown + 1, dtype=np.float32)[[label for _, label in part]]
+        w, b = np.zeros((len(vocabulary), unknown + 1), np.float32), np.zeros(unknown + 1, np.float32)
+        for _ in range(STEPS):
+            error = _softmax(x @ w + b) - target
+            w -= 5 * (x.T @ error / np.float32(len(part)) + np.float32(1e-5) * w)
+            b -= 5.0 * error.mean(0)
+        return w, b
+
+    rows = [(words, label) for words, label, _ in variants] + others
     rng.shuffle(rows)
-    x = np.zeros((len(rows), len(vocabulary)), np.float32)
-    for i, (words, _) in enumerate(rows):
-        for g in grams_of(words):
-            if g in at:
-                x[i, at[g]] = 1
-    y = np.array([label for _, label in rows])
     part = len(rows) * 4 // 5
-    w, b = np.zeros((len(vocabulary), unknown + 1), np.float32), np.zeros(unknown + 1, np.float32)
-    target = np.eye(unknown + 1, dtype=np.float32)[y]
-    for _ in range(STEPS):
-        error = _softmax(x[:part] @ w + b) - target[:part]
-        w -= 5 * (x[:part].T @ error / np.float32(part) + np.float32(1e-5) * w)
-        b -= 5.0 * error.mean(0)
-    # Temperature: the scale that makes the paragraphs set aside most likely.
-    z = x[part:] @ w + b
+
+    def margins(fitted: list[tuple[list[str], int]], held: list[tuple[list[str], int]]) -> tuple[np.ndarray, np.ndarray]:
+        w, b = solve(fitted)
+        z = _presence([target_of(words) for words, _ in held], len(vocabulary)) @ w + b
+        return z, np.array([label for _, label in held], int)
+
+    # Softmax: the scale that makes the paragraphs set aside most likely.
+    z, labels = margins(rows[:part], rows[part:])
     scales = np.geomspace(0.25, 4, 33)
-    likelihood = [np.log(_softmax(z / t)[np.arange(len(z)), y[part:]] + 1e-12).mean() for t in scales]
+    likelihood = [np.log(_softmax(z / t)[np.arange(len(z)), labels] + 1e-12).mean() for t in scales]
+    # A family against unknown, on templates that the weights were not fitted on: one of
+    # each family and a fifth of the other paragraphs are set aside.
+    last = {(label, " ".join(texts[f][-1])) for label, f in enumerate(families) if len(texts[f]) > 1}
+    aside = [(words, label) for words, label, source in variants if (label, source) in last]
+    seen = [(words, label) for words, label, source in variants if (label, source) not in last]
+    part = len(others) * 4 // 5
+    pair = calibrate(*margins(seen + others[:part], aside + others[part:]))
+    w, b = solve(rows)
     return LicenseModel(
         families, anchors, {g: [float(v) for v in w[i]] for g, i in at.items()}, [float(v) for v in b],
-        float(scales[int(np.argmax(likelihood))]),
+        float(scales[int(np.argmax(likelihood))]), pair,
         [(f, sorted(grams_of(t))) for f in families for t in texts[f]],
     )
 
 
+def _presence(places: list[list[int]], width: int) -> np.ndarray:
+    x = np.zeros((len(places), width), np.float32)
+    for i, found in enumerate(places):
+        x[i, found] = 1
+    return x
+
+
+def calibrate(z: np.ndarray, labels: np.ndarray) -> float:
+    """Scale of the margins that makes the labels likeliest, each family against unknown.
+
+    For a row of a family that family is judged; for an unknown row the likeliest one.
+    """
+    if not len(z):
+        return 1.0
+    unknown = z.shape[1] - 1
+    own = np.where(labels < unknown, labels, z[:, :unknown].argmax(1))
+    margin = z[np.arange(len(z)), own] - z[:, unknown]
+    sign = np.where(labels < unknown, 1.0, -1.0)
+    scales = np.geomspace(0.25, 4, 33)
+    loss = [np.logaddexp(0, -sign * margin / t).mean() for t in scales]
+    return float(scales[int(np.argmin(loss))])
+
+
 def train(docs: DataFrame, max_background: int = MAX_BACKGROUND, text: str = "text") -> LicenseModel:
     """Fit with a bounded number of the corpus's own paragraphs as background.
 
@@ -243,7 +284,9 @@ def _distinctive(model: LicenseModel) -> dict[str, tuple[list[str], list[str]]]:
     return out
 
 
-def _scored(docs: DataFrame, model: LicenseModel, parts: Column, keep, gap: int, name: str) -> DataFrame:
+def _scored(
+    docs: DataFrame, model: LicenseModel, parts: Column, keep, gap: int, name: str, temperature: float,
+) -> DataFrame:
     """``docs`` with an array of the parts that hold an anchor, with n-grams and e.
 
     ``parts`` cover the text with ``gap`` characters between; ``keep`` tells from a
@@ -254,9 +297,11 @@ def _scored(docs: DataFrame, model: LicenseModel, parts: Column, keep, gap: int,
     bias = F.array(*[F.lit(v) for v in model.bias])
 
     # Places of the parts that hold an anchor, with their starts.
+    # The search for any anchor within a word is cheap and leaves little to cut into words.
+    likely = "|".join(sorted({a for a in model.anchors if not any(o in a for o in model.anchors if o != a)}))
     numbered = F.transform(parts, lambda line, i: F.struct(
         i.alias("line"), F.length(line).alias("size"),
-        F.when(keep(line) & F.arrays_overlap(_words(line), anchors), line).alias("body"),
+        F.when(F.lower(line).rlike(likely) & keep(line) & F.arrays_overlap(_words(line), anchors), line).alias("body"),
     ))
     def place(at: Column, part: Column) -> tuple[Column, Column]:
         end = at + part["size"]
@@ -282,7 +327,7 @@ def _scored(docs: DataFrame, model: LicenseModel, parts: Column, keep, gap: int,
 
     return out.withColumn(name, F.transform(name, lambda p: F.struct(
         p["line"].alias("line"), p["start"].alias("start"), p["end"].alias("end"), p["grams"].alias("grams"),
-        F.transform(margins(p["grams"]), lambda z: F.exp(z / model.temperature)).alias("e"),
+        F.transform(margins(p["grams"]), lambda z: F.exp(z / temperature)).alias("e"),
     )))
 
 
@@ -308,7 +353,7 @@ def scan_licenses(docs: DataFrame, model: LicenseModel, text: str = "text", name
     replaced; other columns and repeated rows stay. ``scan_notices`` finds more.
     """
     n_families = len(model.families)
-    out = _scored(docs, model, _lines(text), lambda line: F.lit(True), 1, "_lines")
+    out = _scored(docs, model, _lines(text), lambda line: F.lit(True), 1, "_lines", model.temperature)
     names = F.array(*[F.lit(f) for f in model.families])
 
     def verdict(p: Column) -> Column:
@@ -358,8 +403,11 @@ def scan_notices(docs: DataFrame, model: LicenseModel, text: str = "text", name:
 
     # Cut at the line end before a blank line; the blank one begins the next part.
     paragraphs = F.split(F.coalesce(F.col(text), F.lit("")), r"\n(?=[ \t\r]*+\n)", -1)
-    out = _scored(docs, model, _lines(text), lambda line: F.lit(True), 1, "_lines")
-    out = _scored(out, model, paragraphs, lambda part: part.rlike(r"\S[^\S\n]*+\n\s*+\S"), 1, "_parts")
+    warmth = model.pair_temperature
+    out = _scored(docs, model, _lines(text), lambda line: F.lit(True), 1, "_lines", warmth)
+    # An anchor is one word, so a text without one in any line has none in a paragraph.
+    paragraphs = F.when(F.size("_lines") > 0, paragraphs).otherwise(F.array().cast("array<string>"))
+    out = _scored(out, model, paragraphs, lambda part: part.rlike(r"\S[^\S\n]*+\n\s*+\S"), 1, "_parts", warmth)
     out = out.withColumns({n: F.flatten(F.transform(n, findings)) for n in ("_lines", "_parts")})
 
     def within(p: Column, outer: Column) -> Column:

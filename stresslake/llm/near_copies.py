@@ -5,8 +5,8 @@ have a Jaccard similarity of ``SIMILARITY`` or more. Exact comparison decides. W
 compared has a key in common, and keys come from two tables:
 
 * Each set has ``FINGERPRINTS`` independent SimHashes. Pivot distance tables (see
-  ``simhash``) link all fingerprints within three bits, and a set's keys are the groups
-  of its fingerprints. This finds close copies: at 0.8 fingerprints differ by about ten
+  ``simhash``) link fingerprints within three bits, and a set's keys are its fingerprints
+  and their links. This finds close copies: at 0.8 fingerprints differ by about ten
   bits and by up to twenty, which no table of distances separates from chance.
 * For the rest MinHash: of each set the least values under ``BANDS`` x ``ROWS`` orders
   are taken, ``ROWS`` to a band; a whole band is a key.
@@ -195,16 +195,18 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def candidate_keys(sketches: DataFrame) -> DataFrame:
-    """fp and key of every set with a partner: groups of near fingerprints, and bands.
+    """fp and key of every set with a partner: fingerprints, links of near ones, and bands.
 
     ``sketches`` has one row per set: fp, fps, bands.
     """
     nodes = materialize(sketches.select(F.explode("fps").alias("fp")).distinct())
-    near = materialize(connected_components(fingerprint_links(nodes)))
     tables = sketches.select(F.col("fp").alias("own"), F.explode("fps").alias("node"))
-    grouped = tables.join(near, "node", "left").select(
-        F.col("own").alias("fp"), F.xxhash64(F.lit("table"), F.coalesce("component", "node")).alias("key")
-    )
+    near = fingerprint_links(nodes).select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
+    near = materialize(near.distinct().withColumn("key", F.xxhash64(F.lit("link"), "u", "v")))
+    ends = near.select(F.col("u").alias("end"), "key").unionByName(near.select(F.col("v").alias("end"), "key"))
+    linked = tables.join(ends, F.col("node") == F.col("end")).select(F.col("own").alias("fp"), "key")
+    same = tables.select(F.col("own").alias("fp"), F.xxhash64(F.lit("table"), "node").alias("key"))
+    grouped = same.unionByName(linked)
     keyed = grouped.unionByName(sketches.select("fp", F.explode("bands").alias("key")))
     shared = keyed.groupBy("key").agg(F.min("fp").alias("root"), F.count(F.lit(1)).alias("n")).where("n > 1")
     return keyed.join(shared.select("key", "root"), "key")
