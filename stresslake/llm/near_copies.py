@@ -39,6 +39,8 @@ FINGERPRINTS = 4
 BANDS, ROWS = 40, 6
 # Shingles of one chunk of a group; more are cut into tiles of two chunks each.
 CHUNK_SHINGLES = 1 << 20
+# Parts in which the sets of a group meet the group's size.
+SALTS = 16
 # Hashes that meet all orders at once.
 _SLICE = 256
 _ODD = [random.Random(SEED * 1000 + i).getrandbits(64) | 1 for i in range(FINGERPRINTS + 1)]
@@ -227,11 +229,13 @@ def jaccard_links(marked: DataFrame, doc_id: str = "doc_id", text: str = "text",
     sized = groups.join(sketches.select("fp", "size"), F.col("node") == F.col("fp")).drop("fp")
     sizes = sized.groupBy("component").agg(
         F.ceil(F.sum(F.col("size").cast("long")) / CHUNK_SHINGLES).cast("int").alias("chunks")
-    )
+    ).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    # A large group is many keys this way.
+    salted = groups.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
     # One document of each set gives the text; an id of its own keeps many copies apart.
     first = rows.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull(), "id")).alias("c"))
     members = materialize(
-        groups.join(sizes, "component").join(first, groups["node"] == first["fp"])
+        salted.join(sizes, ["component", "salt"]).join(first, F.col("node") == first["fp"])
         .join(keys, F.col("node") == F.col("holder"))
         .select("node", F.col("c.id").alias("first_id"), "component", "chunks", "keys")
     )
