@@ -92,7 +92,8 @@ MAX_BACKGROUND_CHARS = 5_000
 MIN_PROBABILITY = 0.6
 MIN_CONTAINED = 0.6
 # A paragraph's words: runs of letters and digits in lower case.
-SEPARATOR = r"[^\p{L}\p{N}]+"
+GAP = r"[^\p{L}\p{N}]"
+SEPARATOR = f"{GAP}+"
 
 
 def words_of(line: str) -> list[str]:
@@ -252,15 +253,15 @@ def _literal_map(model: LicenseModel) -> Column:
     return F.create_map(*pairs)
 
 
-def _grams(words: Column) -> Column:
-    """Distinct n-grams of an array of words."""
+def _grams(words: Column, known: Column) -> Column:
+    """Distinct n-grams of an array of words, those that ``known`` lists."""
     size = F.size(words)
 
     def of(n: int) -> Column:
         starts = F.filter(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), lambda i: i + n - 1 <= size)
         return F.transform(starts, lambda i: F.array_join(F.slice(words, i, F.lit(n)), " "))
 
-    return F.array_distinct(F.concat(*[of(n) for n in range(1, MAX_GRAM + 1)]))
+    return F.array_intersect(F.concat(*[of(n) for n in range(1, MAX_GRAM + 1)]), known)
 
 
 def _words(line: Column) -> Column:
@@ -291,17 +292,18 @@ def _scored(
 
     ``parts`` cover the text with ``gap`` characters between; ``keep`` tells from a
     part's text whether it is wanted. ``e`` are the exponentials of the margins.
+    Other n-grams than those of the templates have no weight and confirm nothing.
     """
     weights = _literal_map(model)
-    anchors = F.array(*[F.lit(a) for a in model.anchors])
+    known = F.array(*[F.lit(g) for g in sorted(set().union(model.weights, *(t for _, t in model.templates)))])
     bias = F.array(*[F.lit(v) for v in model.bias])
 
     # Places of the parts that hold an anchor, with their starts.
-    # The search for any anchor within a word is cheap and leaves little to cut into words.
-    likely = "|".join(sorted({a for a in model.anchors if not any(o in a for o in model.anchors if o != a)}))
+    # An anchor is a whole word: what is around it separates words.
+    anchored = rf"(?:^|{GAP})(?:{'|'.join(map(re.escape, model.anchors))})(?![\p{{L}}\p{{N}}])"
     numbered = F.transform(parts, lambda line, i: F.struct(
         i.alias("line"), F.length(line).alias("size"),
-        F.when(F.lower(line).rlike(likely) & keep(line) & F.arrays_overlap(_words(line), anchors), line).alias("body"),
+        F.when(keep(line) & F.lower(line).rlike(anchored), line).alias("body"),
     ))
     def place(at: Column, part: Column) -> tuple[Column, Column]:
         end = at + part["size"]
@@ -318,7 +320,7 @@ def _scored(
     )))
     out = out.withColumn(name, F.transform(name, lambda p: F.struct(
         p["line"].alias("line"), p["start"].alias("start"), p["end"].alias("end"),
-        _grams(p["words"]).alias("grams"),
+        _grams(p["words"], known).alias("grams"),
     )))
     # Margins: the bias and the weights of the n-grams that have any.
     def margins(grams: Column) -> Column:
