@@ -56,7 +56,7 @@ def stored_gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     layout = Layout(writers.scratch_root(spark), undated=(name,))
     spec = SPECS[name]
     silver = priced(domains.domain(spark, sf_dir, name), name)
-    writers.write_partitioned(silver, layout.silver(name), layout.partitions(spec, "silver"))
+    writers.write_partitioned(silver, layout.silver(name), layout.partitions(spec, "silver"), rebalance=False)
     rows = scenario.to_gold(readers.read_table(spark, layout.silver(name)), name, scenario.DECIMAL_SET)
     writers.write_partitioned(rows, layout.gold(name), layout.partitions(spec, "gold"), rebalance=False)
     return readers.read_table(spark, layout.gold(name))

@@ -86,7 +86,7 @@ def _take(
     rows = to_bronze(readers.read_raw_csv(spark, path, spec), spec, as_of).select(load, "*")
     writers.write_partitioned(
         rows.observe(seen, F.count(F.lit(1)).alias("rows")), bronze_path(layout, table),
-        [LOAD, *layout.partitions(spec, "bronze")], touched_only=True,
+        [LOAD, *layout.partitions(spec, "bronze")], rebalance=layout.many_directories(spec), touched_only=True,
     )
     return WRITTEN, seen.get["rows"], ""
 

@@ -2,6 +2,7 @@ import datetime as dt
 import os
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from stresslake.operators import scenario
@@ -159,3 +160,31 @@ def test_registry():
     layout = Layout("/x/", undated=("loans",))
     assert layout.bronze("fx_rates") == "/x/bronze/fx"
     assert layout.partitions(SPECS["loans"], "gold") == ["scenario_id", "region_code"]
+
+
+def test_few_directories_are_written_without_sort_or_exchange(spark, tmp_path, monkeypatch):
+    name, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    save = DataFrameWriter.save
+    monkeypatch.setattr(DataFrameWriter, "save", lambda w, *a: (seen.append(spark.conf.get(name)), save(w, *a))[1])
+    rows = spark.range(0, 90, 1, 1).selectExpr("id % 3 AS k", "id")
+    expected = sorted((i % 3, i) for i in range(90))
+    before = spark.conf.get(name)
+    writers.write_partitioned(rows, str(tmp_path / "t"), ["k"], rebalance=False)
+    writers.write_partitioned(rows, str(tmp_path / "u"), ["k"])
+    assert [int(n) for n in seen] == [writers.OPEN_FILES, 0] and spark.conf.get(name) == before
+    back = readers.read_table(spark, str(tmp_path / "t"))
+    assert sorted((r["k"], r["id"]) for r in back.collect()) == expected
+    monkeypatch.setattr(writers, "OPEN_FILES", 2)  # further directories are sorted, none is lost
+    writers.write_partitioned(rows, str(tmp_path / "t"), ["k"], rebalance=False)
+    back = readers.read_table(spark, str(tmp_path / "t"))
+    assert sorted((r["k"], r["id"]) for r in back.collect()) == expected
+
+
+def test_silver_is_written_from_bronze_rows_in_place(spark, tmp_path):
+    layout = Layout(str(tmp_path), undated=("loans",))
+    assert not layout.many_directories(SPECS["loans"]) and layout.many_directories(SPECS["cash"])
+    rows = raw_rows(spark, "loans", 40)
+    writers.write_csv_drop(rows.unionByName(rows.limit(3)), layout.raw("loans"), "loans", "1")
+    medallion.ingest(spark, layout, ["loans"], as_of="2024-01-05")
+    assert medallion.convert(spark, layout, ["loans"])[0].rows == 40
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
