@@ -70,3 +70,15 @@ def test_dates_hold_no_number(spark):
     df = spark.sql("SELECT DATE '2024-01-01' AS d, true AS b")
     out = cleaning.ensure_numeric(cleaning.ensure_numeric(df, "d", 7.0), "b", 1.0)
     assert out.first()[:] == (7.0, 1.0)
+
+
+def test_dedup_moves_only_rows_of_repeated_hashes(spark):
+    df = spark.sql("""SELECT * FROM VALUES (3, 'a', 0.0D, array(1, 1)), (1, NULL, double('NaN'), NULL), (3, 'a', -0.0D, array(1, 1)),
+        (2, NULL, NULL, NULL), (1, NULL, double('NaN'), NULL), (5, NULL, NULL, array(1, 2)), (5, NULL, NULL, array(1, 3)),
+        (4, 'b', 1.0D, NULL) AS t(id, `a.b`, v, m)""").coalesce(1)
+    repeated = cleaning.repeated_rows(df)
+    assert repeated.count() == 3  # a chance hit too: arrays take no part in the hash
+    once = cleaning.dedup_rows(df, repeated)
+    assert [r["id"] for r in once.collect()][:2] == [2, 4]  # in their place
+    shown = [sorted(map(str, x.selectExpr("id", "`a.b`", "v + 0.0D", "m").collect())) for x in (once, df.dropDuplicates())]
+    assert shown[0] == shown[1] and len(shown[0]) == 6
