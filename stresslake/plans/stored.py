@@ -23,21 +23,19 @@ def stream_gated_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     in bronze or in quarantine.
     """
     layout, table = Layout(writers.scratch_root(spark), undated=("transactions",)), "transactions"
-    full = domains.full_transactions(spark, sf_dir)
-    status = domains.table(spark, sf_dir, "orders").select(
-        F.concat(F.lit("T"), F.col("o_orderkey").cast("string")).alias("transaction_id"), "o_orderstatus"
-    )
-    halves = full.join(status, "transaction_id")
+    orders = domains.table(spark, sf_dir, "orders")
+
+    def half(condition: str) -> DataFrame:
+        only = orders.where(condition).select(F.col("o_orderkey").alias("transaction_id"))
+        return domains.full_transactions(spark, sf_dir, only)
 
     def run() -> None:
         gated.stream_gated(spark, layout, table, as_of=LOADED).awaitTermination()
 
-    first = halves.where("o_orderstatus = 'F'").select(full.columns)
-    writers.write_csv_drop(first, layout.raw(table), table, "1")
+    writers.write_csv_drop(half("o_orderstatus = 'F'"), layout.raw(table), table, "1")
     run()
     run()
-    second = halves.where("o_orderstatus <> 'F'").select(full.columns)
-    writers.write_csv_drop(second, layout.raw(table), table, "2")
+    writers.write_csv_drop(half("o_orderstatus <> 'F'"), layout.raw(table), table, "2")
     writers.write_csv_drop(domains.raw_transactions(spark, sf_dir), layout.raw(table), table, "3")
     run()
 

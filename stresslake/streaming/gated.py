@@ -25,6 +25,7 @@ from stresslake.specs import Layout, spec_for
 
 LOAD = "load_id"
 WAITING = "waiting"
+_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 _LOG = "batch bigint, load_id string, status string, rows bigint, note string"
 
 
@@ -125,10 +126,11 @@ def stream_gated(
     in the gate. A restarted run goes on from its checkpoint.
     """
     folder = layout.raw(spec_for(table).name)
+    # A row per file that holds anything; contents are not selected and so not read.
     arrivals = (
-        spark.readStream.schema("value string").option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv").option("maxFilesPerTrigger", max_files).text(folder)
-        .select(_drop_name(folder).alias("drop"))
+        spark.readStream.format("binaryFile").schema(_FILE).option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.csv").option("maxFilesPerTrigger", max_files).load(folder)
+        .where("length > 0").select(_drop_name(folder).alias("drop"))
     )
     judge = functools.partial(_judge, layout=layout, table=table, as_of=as_of, key=key)
     return (

@@ -79,6 +79,16 @@ def test_a_batch_that_runs_again_changes_nothing(spark, lake):
     assert gated.load_log(spark, lake, "cash").collect()[0]["rows"] == 5
 
 
+def test_arrivals_are_listed_and_not_read(spark, lake, tmp_path):
+    """A file counts once, however many lines it has."""
+    drop(lake, cash(spark, 0, 80).coalesce(2), "1")
+    query = gated.stream_gated(spark, lake, "cash", as_of="2026-12-31")
+    query.awaitTermination()
+    files = list((tmp_path / "raw" / "cash" / "cash_1.csv").glob("*.csv"))
+    assert sum(p["numInputRows"] for p in query.recentProgress) == len(files) == 2
+    assert gated.load_log(spark, lake, "cash").first()["rows"] == 80
+
+
 def test_stream_equals_gated_batch(spark, lake):
     drop(lake, cash(spark, 0, 6), "1")
     run(spark, lake)
