@@ -151,19 +151,23 @@ def _copies_and_violations(
         return [label, rows.alias("total_rows"), copies.alias("_copies"), keys.alias("_keys"),
                 violations.alias("rule_violations")]
 
-    counted = groups.agg(
-        F.coalesce(F.sum("_n"), zero).alias("n"), F.coalesce(F.sum(F.col("_n") - 1), zero).alias("surplus_rows"),
-        F.coalesce(F.sum(F.col("_n") * F.col("broken")), zero).alias("broken"),
+    sums = {"_n": F.sum("_n"), "surplus_rows": F.sum(F.col("_n") - 1), "broken": F.sum(F.col("_n") * F.col("broken"))}
+    # Keys are counted over the groups of rows, so one chain of exchanges serves both.
+    by = ["k1", "k2"] if has_key and not exact else []
+    by_key = groups.groupBy(*by).agg(*[s.alias(c) for c, s in sums.items()])
+    counted = by_key.agg(
+        *[F.coalesce(F.sum(c), zero).alias(c) for c in sums],
+        F.coalesce(F.sum(F.col("_n") - 1), zero).alias("surplus_keys"),
     )
-    own = zero if exact else F.col("surplus_rows")
-    parts = [counted.select(part(copies=own, rows=F.col("n"), violations=F.col("broken")))]
+    own, own_keys = (zero, zero) if exact else (F.col("surplus_rows"), F.col("surplus_keys"))
+    parts = [counted.select(part(own, own_keys if by else zero, F.col("_n"), F.col("broken")))]
     if exact:
         copies = _copies_of(df, df.columns, groups.where("_n > 1"))
         parts.append(copies.select(part(copies=F.col("surplus_rows"))))
-    if has_key:
-        by_key = groups.groupBy(F.col("k1").alias("_1"), F.col("k2").alias("_2")).agg(F.sum("_n").alias("_n"))
-        keys = _copies_of(df, list(key), by_key.where("_n > 1")) if exact else _surplus(by_key)
-        parts.append(keys.select(part(keys=F.col("surplus_rows"))))
+        if has_key:
+            suspects = groups.groupBy(F.col("k1").alias("_1"), F.col("k2").alias("_2")).agg(sums["_n"].alias("_n"))
+            keys = _copies_of(df, list(key), suspects.where("_n > 1"))
+            parts.append(keys.select(part(keys=F.col("surplus_rows"))))
     return (
         reduce(DataFrame.unionByName, parts).groupBy("table_name")
         .agg(*[F.sum(c).alias(c) for c in ("total_rows", "_copies", "_keys", "rule_violations")])
@@ -221,37 +225,41 @@ def _column_list(df: DataFrame, expected: dict[str, str]) -> DataFrame:
 def describe_columns(df: DataFrame, expected: dict[str, str] | None = None) -> DataFrame:
     """One row per column: NULLs, values, what the values read as, semantic type.
 
-    The columns are stacked into (name, value) rows inside the task, each value is
-    read once, and counts per name are folded before the exchange. One small
+    The columns are stacked into (position, value) rows inside the task, each value is
+    read once, and rows are counted per position and kind before the exchange. One small
     expression thus serves any number of columns. ``expected`` adds registry
     columns that the frame lacks; their ``declared`` is NULL.
     """
-    value = [
-        (_ref(c).cast("string") if _declared(df.schema[c].dataType) == "text"
-         else F.when(_ref(c).isNotNull(), F.lit(""))).alias(c)
+    value = F.array(*[
+        _ref(c).cast("string") if _declared(df.schema[c].dataType) == "text"
+        else F.when(_ref(c).isNotNull(), F.lit(""))
         for c in df.columns
-    ]
-    kind = F.col("kind")
+    ])
+    kind, n = F.col("kind"), F.col("_n")
+
+    def held(condition: Column) -> Column:
+        return F.sum(F.when(condition, n).otherwise(0))
+
     counts = (
-        df.select(value)
-        .unpivot([], [_ref(c) for c in df.columns], "column_name", "v")
-        .select("column_name", text_kind(F.col("v")).alias("kind"))
-        .groupBy("column_name")
+        df.select(F.posexplode(value).alias("position", "v"))
+        .groupBy("position", text_kind(F.col("v")).alias("kind"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .groupBy("position")
         .agg(
-            _count(kind.isNull()).alias("null_count"),
-            F.count(kind).alias("filled"),
-            _count(kind == WHOLE).alias("whole"),
-            _count(kind.isin(WHOLE, FRACTION)).alias("number"),
-            _count(kind == MIDNIGHT).alias("midnight"),
-            _count(kind == WORDS).alias("words"),
+            held(kind.isNull()).alias("null_count"),
+            held(kind.isNotNull()).alias("filled"),
+            held(kind == WHOLE).alias("whole"),
+            held(kind.isin(WHOLE, FRACTION)).alias("number"),
+            held(kind == MIDNIGHT).alias("midnight"),
+            held(kind == WORDS).alias("words"),
         )
     )
     # The list leads, so that columns of an empty table are described too.
-    joined = _column_list(df, expected or {}).join(counts, "column_name", "left")
+    joined = _column_list(df, expected or {}).join(counts, "position", "left")
     zero = F.lit(0).cast("bigint")
     filled = joined.select(
         "position", "column_name", "declared", "expected_type",
-        *[F.coalesce(c, zero).alias(c) for c in counts.columns if c != "column_name"],
+        *[F.coalesce(c, zero).alias(c) for c in counts.columns if c != "position"],
     )
     return filled.withColumn("semantic_type", _semantic_type())
 

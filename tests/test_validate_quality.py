@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from stresslake.functions.columns import FRACTION, MIDNIGHT, TIMED, WHOLE, WORDS, text_kind
 from stresslake.operators import quality, validate
 
 
@@ -198,3 +199,28 @@ def test_top_value_ties_and_spellings(spark):
     assert set(found) == {"s", "n"}
     assert (found["s"].top_value, found["s"].top_pct, found["s"].distinct_count) == ("a", 50.0, 2)
     assert (found["n"].kind, found["n"].distinct_count, found["n"].mean_value) == ("numeric", 2, 1.25)
+
+
+# --- cost of the profile ------------------------------------------------------------
+
+
+def test_profile_counts_rows_and_keys_in_one_chain(spark):
+    """Row digests are exchanged once; copies of rows and of keys come out of it."""
+    rows = spark.createDataFrame(
+        [("1", "a"), ("1", "a"), ("1", "b"), ("2", None), (None, "c"), (None, "d")], "loan_id string, loan_type string")
+    report = quality.quality_report(rows, "loans")
+    assert len([e for e in _exchanged(report) if "_1#" in e]) == 1
+    found = report.first()
+    assert (found.total_rows, found.duplicate_rows, found.pk_duplicate_count) == (6, 1, 3)
+    assert found.overall_nulls == 3 and found.major_issues.startswith("loan_id has nulls; duplicate loan_id found")
+
+
+@pytest.mark.parametrize("text, kind", [
+    ("2024-01-01", MIDNIGHT), (" 2024-01-01 ", MIDNIGHT), ("2024-13-45", WORDS), ("abcd-ef-gh", WORDS),
+    ("1.2345e-10", FRACTION), ("1234567890", WHOLE), ("10000-1-01", MIDNIGHT), ("2024-1-1", MIDNIGHT),
+    ("2024-01-01 00:00:00", MIDNIGHT), ("2024-01-01 00:00:01", TIMED), ("2024-01-01T10:00", TIMED),
+    ("31/12/2024", WORDS), ("", WORDS), (None, None),
+])
+def test_kind_of_text(spark, text, kind):
+    row = spark.createDataFrame([(text,)], "v string").select(text_kind(F.col("v")).alias("k"), F.col("v"))
+    assert row.first().k == kind
