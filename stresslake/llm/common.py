@@ -48,14 +48,14 @@ def scratch_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write a table to the shared folder and read it again.
+def materialize(df: DataFrame, **options: int) -> DataFrame:
+    """Write a table to the shared folder and read it again; ``options`` are the writer's.
 
     This cuts the lineage: executors lost later do not bring back the work above.
     The files stay until the owner of the shared folder clears it.
     """
     path = f"{scratch_dir(df.sparkSession)}/llm-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

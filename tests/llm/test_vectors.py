@@ -1,6 +1,7 @@
 """Top-k search and embedding near-duplicates against all pairs."""
 
 import math
+import os
 from collections import Counter
 
 import numpy as np
@@ -122,3 +123,45 @@ def test_dedup_around_the_threshold(spark, monkeypatch, chunk, dim):
 
 def test_dedup_of_nothing(spark):
     assert embedding_dedup.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_dedup_of_doubles_around_the_threshold(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "CHUNK", 40)
+    rng = np.random.default_rng(64)
+    vectors = []
+    for _ in range(25):
+        centre = rng.normal(0, 1, 64)
+        for spread in (0.0, 0.3, 0.44, 0.46, 0.48, 0.5, 0.7):
+            step = rng.normal(0, 1, 64)
+            vectors.append(centre / np.linalg.norm(centre) + spread * step / np.linalg.norm(step))
+    hot = rng.normal(0, 1, 64)
+    vectors += [hot + rng.normal(0, 0.2, 64) for _ in range(60)]
+    # The first ones again in single precision: other values, all of them linked.
+    vectors += [v.astype(np.float32).astype(float) for v in vectors[:9]]
+    signed = [float(k % 3 == 0) for k in range(64)]
+    vectors = [v.tolist() for v in vectors] + [signed, [x or -0.0 for x in signed], signed[:32]]
+    rows = [(7 * i % 1009, v, 1, "x") for i, v in enumerate(vectors)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, vector string")
+    found = embedding_dedup.near_duplicates(table)
+    assert Counter(map(tuple, found.collect())) == plain_groups([r[0] for r in rows], vectors)
+
+
+def test_dedup_disk_grows_with_the_vectors(spark, monkeypatch):
+    """However many chunks there are, a vector is written once and pairs of chunks exchange nothing."""
+    written, plans = [], []
+    store = embedding_dedup.materialize
+
+    def recorded(df, **options):
+        if "links" in df.columns:
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        table = store(df, **options)
+        written.append(sum(os.path.getsize(f.removeprefix("file://")) for f in table.inputFiles()))
+        return table
+
+    monkeypatch.setattr(embedding_dedup, "CHUNK", 50)
+    monkeypatch.setattr(embedding_dedup, "materialize", recorded)
+    points = np.random.default_rng(1).normal(0, 1, (2000, 32)).astype(np.float32).tolist()
+    table = spark.createDataFrame([(i, v, 1, "x") for i, v in enumerate(points)], SCHEMA)
+    assert embedding_dedup.near_duplicates(table).count() == 2000
+    assert sum(written) < 2 * 2000 * 32 * 4
+    assert len(plans) == 1 and "CartesianProduct" in plans[0] and "Exchange" not in plans[0]
