@@ -1,12 +1,13 @@
 import datetime as dt
 import os
+from urllib.parse import unquote
 
 import pytest
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from stresslake.operators import scenario
-from stresslake.plans import medallion
+from stresslake.plans import catalog, medallion
 from stresslake.sources import readers, writers
 from stresslake.specs import SPECS, TRANSFORMABLE, Layout, spec_for
 
@@ -188,3 +189,40 @@ def test_silver_is_written_from_bronze_rows_in_place(spark, tmp_path):
     medallion.ingest(spark, layout, ["loans"], as_of="2024-01-05")
     assert medallion.convert(spark, layout, ["loans"])[0].rows == 40
     assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_ordered_rows_take_less_room(spark, tmp_path):
+    """Amounts that rise together are written as small steps; extracts keep the order of what they read."""
+    rows = spark.range(0, 60_000, 1, 1).selectExpr(
+        "CAST(id % 3 AS INT) AS k", "CAST(pmod(xxhash64(id), 10000000) / 100 AS DECIMAL(18,2)) AS amount",
+    ).withColumn("amount_usd", F.col("amount") * F.lit("1.09").cast("decimal(12,6)"))
+    paths = [str(tmp_path / name) for name in ("plain", "ordered", "report", "nulls")]
+    writers.write_partitioned(rows, paths[0], ["k"], "parquet", rebalance=False)
+    writers.write_partitioned(rows, paths[1], ["k"], "parquet", rebalance=False, order=["amount_usd"])
+    writers.export_report(spark.read.parquet(paths[1]), paths[2], True)
+
+    def size(path):
+        return sum(os.path.getsize(f.removeprefix("file://")) for f in spark.read.parquet(path).inputFiles())
+
+    assert size(paths[1]) < 0.75 * size(paths[0]) and size(paths[2]) < 0.75 * size(paths[0])
+    names, expected = ["k", "amount", "amount_usd"], sorted(map(tuple, rows.collect()))
+    for path in paths[:3]:
+        assert sorted(map(tuple, spark.read.parquet(path).select(names).collect())) == expected
+    empty = rows.withColumn("amount_usd", F.lit(None).cast("decimal(31,8)"))
+    writers.write_partitioned(empty, paths[3], ["k"], "parquet", rebalance=False, order=["amount_usd"])
+    assert spark.read.parquet(paths[3]).where("amount_usd IS NULL").count() == 60_000
+
+
+def test_report_export_orders_silver_by_amount(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(writers, "scratch_root", lambda _: str(tmp_path))
+    catalog.report_export(spark, sf_dir)
+    layout = Layout(str(tmp_path))
+    for table, amount in (("loans", "outstanding_balance_usd"), ("transactions", "transaction_amount_usd")):
+        for path in (layout.silver(table), layout.gold(table), layout.report(table)):
+            falls = rises = 0
+            for file in spark.read.parquet(path).inputFiles():
+                values = [r[0] for r in spark.read.parquet(unquote(file)).select(amount).collect()]
+                falls += sum(a > b for a, b in zip(values, values[1:], strict=False))
+                rises += len(values)
+            # A file may hold a few sorted runs after one another.
+            assert falls < 0.05 * rises
